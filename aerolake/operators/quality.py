@@ -42,11 +42,16 @@ def file_outcomes(docs: DataFrame, path: str = "file_path") -> DataFrame:
     return docs.select(path, ok.alias("ok"), F.greatest(pings, F.lit(0)).cast("bigint").alias("pings"))
 
 
-def line_outcomes(lines: DataFrame, path: str = "file_path") -> DataFrame:
-    """Good and skipped lines of each JSON Lines file."""
+def line_outcomes(lines: DataFrame, path: str = "file_path", key: str = "icao") -> DataFrame:
+    """Good, skipped and id-carrying lines of each JSON Lines file.
+
+    Reading a data column as well is required: Spark refuses to scan JSON for
+    the corrupt-record column alone.
+    """
     return lines.groupBy(path).agg(
         F.count_if(F.col(CORRUPT).isNull()).alias("good_lines"),
         F.count_if(F.col(CORRUPT).isNotNull()).alias("bad_lines"),
+        F.count_if(F.col(CORRUPT).isNull() & F.col(key).isNotNull()).alias("keyed_lines"),
     )
 
 

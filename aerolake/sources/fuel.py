@@ -17,7 +17,9 @@ def scan_fuel(spark: SparkSession, path: str) -> DataFrame:
 def explode_keyed_object(df: DataFrame, text: str, detail: T.DataType, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows ``(key, detail)`` of JSON objects with free keys."""
     keyed = F.from_json(F.col(text), T.MapType(T.StringType(), detail))
-    return df.select(F.explode(keyed).alias("key", "detail"), *keep)
+    # Outer, so that no size filter is inferred that would parse a second time.
+    rows = df.select(F.explode_outer(keyed).alias("key", "detail"), *keep)
+    return rows.where(F.col("key").isNotNull())
 
 
 def fuel_rates(df: DataFrame, text: str, keep: tuple[str, ...] = ()) -> DataFrame:

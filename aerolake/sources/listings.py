@@ -30,7 +30,8 @@ def index_links(
     links = F.array_sort(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1)))
     if limit is not None:
         links = F.slice(links, 1, limit)
-    return pages.select(*keep, F.explode(links).alias("link"))
+    # Outer, so that no size filter is inferred that would search a second time.
+    return pages.select(*keep, F.explode_outer(links).alias("link")).where("link IS NOT NULL")
 
 
 def snapshot_names(days: DataFrame, day: str = "day", limit: int = MAX_FILES) -> DataFrame:

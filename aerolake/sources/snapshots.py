@@ -8,7 +8,6 @@ the usable ones.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable
 
 import pandas as pd
@@ -99,24 +98,30 @@ def payload_text(content: Column | str) -> Column:
     return F.make_valid_utf8(plain.cast("string"))
 
 
-@F.pandas_udf(T.BinaryType())
-def gunzip(content: pd.Series) -> pd.Series:
-    """Inflate gzip payloads; a damaged one gives null."""
-    return content.map(_inflate, na_action="ignore")
+def _gunzip_udf():
+    # Nested, so that it travels by value and executors need not have the package.
+    def inflate(data: bytes) -> bytes | None:
+        import zlib
 
+        parts = []
+        try:
+            while data:
+                member = zlib.decompressobj(wbits=31)
+                parts.append(member.decompress(data) + member.flush())
+                if not member.eof:
+                    return None
+                data = member.unused_data.lstrip(b"\0")
+        except zlib.error:
+            return None
+        return b"".join(parts)
 
-def _inflate(data: bytes) -> bytes | None:
-    parts = []
-    try:
-        while data:
-            member = zlib.decompressobj(wbits=31)
-            parts.append(member.decompress(data) + member.flush())
-            if not member.eof:
-                return None
-            data = member.unused_data.lstrip(b"\0")
-    except zlib.error:
-        return None
-    return b"".join(parts)
+    def gunzip(content: pd.Series) -> pd.Series:
+        return content.map(inflate, na_action="ignore")
+
+    return F.pandas_udf(gunzip, T.BinaryType())
+
+
+gunzip = _gunzip_udf()  # gzip payload to bytes; a damaged one gives null
 
 
 def parse_documents(df: DataFrame, text: str) -> DataFrame:
@@ -169,8 +174,11 @@ def flatten(docs: DataFrame, keep: Iterable[str] = ("file_path", DAY_COLUMN)) ->
     `aerolake.operators.normalize` types them.
     """
     carried = [c for c in keep if c in docs.columns]
-    rows = docs.where(is_usable()).select(
-        F.explode("aircraft").alias("a"), snapshot_time().alias("timestamp"), *carried
+    # Outer explode plus a filter on its output: a filter on the documents would
+    # be pushed below the parsing and make it run twice.
+    entries = F.explode_outer(F.when(is_usable(), F.col("aircraft"))).alias("a")
+    rows = docs.select(entries, snapshot_time().alias("timestamp"), *carried).where(
+        F.col("a").isNotNull()
     )
     return rows.select(
         F.col("a.hex").alias("icao"),

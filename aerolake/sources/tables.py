@@ -89,6 +89,8 @@ def read_jdbc(
     return reader.load()
 
 
-def row_count(spark: SparkSession, path: str) -> int:
+def count_rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a Parquet folder, answered from the file footers."""
-    return spark.read.parquet(path).agg(F.count("*")).first()[0]
+    return (
+        spark.read.option("aggregatePushdown", True).parquet(path).agg(F.count("*").alias("rows"))
+    )
