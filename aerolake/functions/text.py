@@ -83,8 +83,9 @@ def clean_id_argument(value: str) -> str:
 
 
 def is_filled(c: Column | str) -> Column:
-    """Neither null nor empty (never null itself)."""
-    return F.coalesce(_col(c) != "", F.lit(False))
+    """Neither null nor empty; both halves can be pushed to a Parquet scan."""
+    c = _col(c)
+    return c.isNotNull() & (c != "")
 
 
 def _text_columns(df: DataFrame) -> set[str]:

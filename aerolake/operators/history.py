@@ -29,26 +29,14 @@ def one_row_per_key(incoming: DataFrame, key: str = KEY) -> DataFrame:
     return picked.select(*[F.col(key) if c == key else F.col(f"row.{c}") for c in incoming.columns], "copies")
 
 
-def comparable(columns: list[str], schema: T.StructType, side: str) -> Column:
-    """Struct of a side's values in comparable form; text is made canonical."""
-    kinds = {f.name: f.dataType for f in schema.fields}
-    return F.struct(
-        *[
-            (
-                canonical_text(f"{side}.{c}")
-                if isinstance(kinds[c], T.StringType)
-                else F.col(f"{side}.{c}").cast("bigint")
-            ).alias(c)
-            for c in columns
-        ]
-    )
-
-
 def classify(incoming: DataFrame, history: DataFrame, key: str = KEY) -> DataFrame:
     """Incoming rows with ``change``: ``new``, ``changed`` or ``same``."""
     current = current_only(history).select(*FIELDS)
-    joined = incoming.alias("n").join(current.alias("c"), F.col(f"n.{key}") == F.col(f"c.{key}"), "left")
-    return joined.select("n.*", _change(incoming.schema, key).alias("change"))
+    joined = _as_new(incoming).join(current, F.col(f"new_{key}") == F.col(key), "left")
+    return joined.select(
+        *[F.col(f"new_{c}").alias(c) for c in incoming.columns],
+        _change(incoming.schema, key).alias("change"),
+    )
 
 
 def close_rows(
@@ -99,41 +87,39 @@ def merge_current(
     ``current``; rows already there keep theirs.
     """
     load = one_row_per_key(incoming.select(*FIELDS), key).drop("copies")
-    joined = current.alias("c").join(
-        load.alias("n"), F.col(f"c.{key}") == F.col(f"n.{key}"), "full_outer"
-    )
-    at = _timestamp(loaded_at)
     opening = {
         **(lineage or {}),
-        "valid_from": at,
-        "valid_to": F.lit(None),
+        "valid_from": _timestamp(loaded_at),
         "is_current": F.lit(True),
         "version": version if isinstance(version, Column) else F.lit(version),
         "source_date": F.lit(source_date),
     }
+    joined = current.join(_as_new(load), F.col(key) == F.col(f"new_{key}"), "full_outer")
+    change = F.when(F.col(f"new_{key}").isNull(), "kept").otherwise(_change(load.schema, key))
+    joined = joined.withColumns(
+        {"change": change, **{f"open_{c}": value for c, value in opening.items()}}
+    )
 
-    def row(values: dict[str, Column], side: str) -> Column:
-        return F.struct(
-            *[
-                values.get(f.name, F.col(f"{side}.{f.name}")).cast(f.dataType).alias(f.name)
-                for f in current.schema.fields
-            ]
-        )
-
-    kept = row({}, "c")
-    closed = row({"valid_to": at, "is_current": F.lit(False)}, "c")
-    absent = {c: F.lit(None) for c in current.columns if c not in FIELDS}
-    opened = row({**absent, **opening}, "n")
-    change = F.when(F.col(f"n.{key}").isNull(), "kept").otherwise(_change(load.schema, key))
-    outcome = (
-        F.when(F.col("change") == "new", F.array("opened"))
-        .when(F.col("change") == "changed", F.array("closed", "opened"))
-        .otherwise(F.array("kept"))
+    def row(values: dict[str, str]) -> str:
+        columns = [
+            f"'{f.name}', CAST({values.get(f.name, f.name)} AS {f.dataType.simpleString()})"
+            for f in current.schema.fields
+        ]
+        return f"named_struct({', '.join(columns)})"
+
+    kept = row({})
+    closed = row({"valid_to": "open_valid_from", "is_current": "false"})
+    opened = row(
+        {c: "NULL" for c in current.columns}
+        | {c: f"new_{c}" for c in FIELDS}
+        | {c: f"open_{c}" for c in opening}
     )
-    staged = joined.select(
-        change.alias("change"), kept.alias("kept"), closed.alias("closed"), opened.alias("opened")
+    outcome = F.expr(
+        f"""CASE change WHEN 'new' THEN array({opened})
+                        WHEN 'changed' THEN array({closed}, {opened})
+                        ELSE array({kept}) END"""
     )
-    return staged.select(F.explode(outcome).alias("row")).select("row.*")
+    return joined.select(F.explode(outcome).alias("row")).select("row.*")
 
 
 def merge(
@@ -161,11 +147,23 @@ def merge(
     return history.where("NOT is_current").unionByName(after)
 
 
+def _as_new(incoming: DataFrame) -> DataFrame:
+    return incoming.selectExpr(*[f"{c} AS new_{c}" for c in incoming.columns])
+
+
 def _change(schema: T.StructType, key: str) -> Column:
-    """Change of the incoming row (alias n) against the current one (alias c)."""
+    """Change of the incoming row (``new_…``) against the current one."""
+    same = _comparable(schema, key, "new_").eqNullSafe(_comparable(schema, key, ""))
+    return F.when(F.col(key).isNull(), "new").when(same, "same").otherwise("changed")
+
+
+def _comparable(schema: T.StructType, key: str, prefix: str) -> Column:
+    """Values of one side as they are compared: text canonical, the rest whole numbers."""
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     compared = [c for c in FIELDS if c != key]
-    same = comparable(compared, schema, "n").eqNullSafe(comparable(compared, schema, "c"))
-    return F.when(F.col(f"c.{key}").isNull(), "new").when(same, "same").otherwise("changed")
+    text_values = F.array(*[f"{prefix}{c}" for c in compared if c in texts])
+    numbers = F.array(*[F.col(f"{prefix}{c}").cast("bigint") for c in compared if c not in texts])
+    return F.struct(F.transform(text_values, canonical_text).alias("texts"), numbers.alias("numbers"))
 
 
 def _timestamp(at: datetime | Column) -> Column:

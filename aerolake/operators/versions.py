@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aerolake.functions import files
-from aerolake.sources.snapshots import DAY_COLUMN
+from aerolake.sources.paths import DAY_COLUMN
 
 KEEP_VERSIONS = 3
 

@@ -14,7 +14,7 @@ from aerolake.operators.lineage import add_lineage
 from aerolake.operators.normalize import gold_pings, normalize
 from aerolake.schemas import PINGS_GOLD, PINGS_SILVER
 from aerolake.sources import snapshots, tables
-from aerolake.sources.snapshots import DAY_COLUMN
+from aerolake.sources.paths import DAY_COLUMN
 
 
 @dataclass(frozen=True)

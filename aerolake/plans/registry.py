@@ -15,7 +15,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +26,7 @@ from aerolake.operators import history, versions
 from aerolake.operators.lineage import lineage_values
 from aerolake.schemas import REGISTRY, REGISTRY_GOLD, struct
 from aerolake.sources import registry
-from aerolake.sources.snapshots import DAY_COLUMN
+from aerolake.sources.paths import DAY_COLUMN, exists
 
 # Fixed value: how landed registry files are named.
 FILE_PREFIX = "aircrafts_database"
@@ -57,11 +56,9 @@ def silver_listing(spark: SparkSession, silver_root: str, day: str) -> DataFrame
     """Written silver versions of a day; none when the day is not there yet."""
     schema = T.StructType([T.StructField("version", T.IntegerType())])
     folder = f"{silver_root.rstrip('/')}/{DAY_COLUMN}={day_argument(day)}"
-    try:
+    if exists(spark, folder):
         found = spark.read.schema(schema).parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    else:
         found = spark.createDataFrame([], schema)
     return found.select("version").distinct().withColumn(DAY_COLUMN, F.lit(day_argument(day)))
 
@@ -86,12 +83,10 @@ def newest_silver(spark: SparkSession, silver_root: str, day: str) -> str:
 
 
 def read_loads(spark: SparkSession, gold_root: str) -> DataFrame:
-    try:
-        return spark.read.schema(LOADS).parquet(f"{gold_root.rstrip('/')}/loads")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = f"{gold_root.rstrip('/')}/loads"
+    if not exists(spark, path):
         return spark.createDataFrame([], LOADS)
+    return spark.read.schema(LOADS).parquet(path)
 
 
 def _last_version(spark: SparkSession, gold_root: str) -> int:
@@ -100,7 +95,10 @@ def _last_version(spark: SparkSession, gold_root: str) -> int:
 
 def read_history(spark: SparkSession, gold_root: str) -> DataFrame:
     """All registry rows, closed and current, as of the last finished load."""
-    last = _last_version(spark, gold_root)
+    return _history_at(spark, gold_root, _last_version(spark, gold_root))
+
+
+def _history_at(spark: SparkSession, gold_root: str, last: int) -> DataFrame:
     if last == 0:
         return spark.createDataFrame([], REGISTRY_GOLD)
     schema = T.StructType(REGISTRY_GOLD.fields + [T.StructField("_load", T.IntegerType())])
@@ -122,9 +120,10 @@ def to_gold(
     A load without any change leaves no trace and no version.
     """
     loaded_at = loaded_at or datetime.now(timezone.utc)
-    version = _last_version(spark, gold_root) + 1
+    last = _last_version(spark, gold_root)
+    version = last + 1
     silver = spark.read.schema(REGISTRY).parquet(silver_path)
-    current = history.current_only(read_history(spark, gold_root))
+    current = history.current_only(_history_at(spark, gold_root, last))
     merged = history.merge_current(
         current,
         registry.clean_registry(silver),

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from aerolake.functions.files import content_hash
 from aerolake.schemas import PING_COLUMNS
-from aerolake.sources.snapshots import DAY_COLUMN
+from aerolake.sources.paths import DAY_COLUMN
 
 WRITE_MODES = ("days", "refresh", "append")
 
@@ -69,24 +69,11 @@ def write_refresh(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def refresh_table(
-    df: DataFrame,
-    table: str,
-    *,
-    partition: str | None = None,
-    bucket_by: str | None = None,
-    buckets: int = 0,
-) -> None:
-    """Replace a catalog table, optionally bucketed.
-
-    Buckets on icao play the part of an index: per-aircraft aggregates and the
-    registry join then read their input without a shuffle.
-    """
-    writer = df.write.mode("overwrite").format("parquet")
+def refresh_table(df: DataFrame, table: str, *, partition: str | None = None) -> None:
+    """Replace a catalog table."""
+    writer = df.write.mode("overwrite").format("parquet").option("compression", "snappy")
     if partition is not None:
         writer = writer.partitionBy(partition)
-    if bucket_by is not None:
-        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(table)
 
 

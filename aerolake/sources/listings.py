@@ -27,7 +27,7 @@ def index_links(
 ) -> DataFrame:
     """Links of each index page that end in ``suffix``, sorted, first ``limit``."""
     pattern = LINK_PATTERN.format(suffix=suffix.replace(".", r"\."))
-    links = F.array_sort(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1)))
+    links = F.sort_array(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1)))
     if limit is not None:
         links = F.slice(links, 1, limit)
     # Outer, so that no size filter is inferred that would search a second time.

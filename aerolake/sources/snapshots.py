@@ -11,24 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.functions import files, numbers, times
 from aerolake.schemas import CORRUPT, SNAPSHOT_DOC, with_partition
-
-DAY_COLUMN = "_in_date"
-
-
-def day_glob(root: str, days: Iterable[str] | None, partition: str = DAY_COLUMN) -> str:
-    """Path of the wanted day folders, so that no other folder is listed."""
-    root = root.rstrip("/")
-    if days is None:
-        return root
-    return f"{root}/{partition}={{{','.join(sorted(set(days)))}}}"
-
+from aerolake.sources.paths import DAY_COLUMN, day_glob, exists
 
 def scan_snapshots(
     spark: SparkSession,
@@ -44,6 +33,9 @@ def scan_snapshots(
     files give no rows.
     """
     schema = with_partition(SNAPSHOT_DOC, partition)
+    path = day_glob(root, days, partition)
+    if not exists(spark, path):
+        return _no_documents(spark, schema)
     reader = (
         spark.read.schema(schema)
         .option("multiLine", True)
@@ -53,12 +45,7 @@ def scan_snapshots(
     )
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
-    try:
-        docs = reader.json(day_glob(root, days, partition))
-    except AnalysisException as error:
-        _reraise_unless_missing(error)
-        return _no_documents(spark, schema)
-    return docs.select("*", F.col("_metadata.file_path").alias("file_path"))
+    return reader.json(path).select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
 def scan_snapshot_bytes(
@@ -70,14 +57,13 @@ def scan_snapshot_bytes(
     partition: str = DAY_COLUMN,
 ) -> DataFrame:
     """Read files whose payload may be JSON or gzip, whatever they are called."""
+    path = day_glob(root, days, partition)
+    if not exists(spark, path):
+        return _no_documents(spark, with_partition(SNAPSHOT_DOC, partition))
     reader = spark.read.format("binaryFile").option("basePath", root)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
-    try:
-        raw = reader.load(day_glob(root, days, partition))
-    except AnalysisException as error:
-        _reraise_unless_missing(error)
-        return _no_documents(spark, with_partition(SNAPSHOT_DOC, partition))
+    raw = reader.load(path)
     day = F.col(partition).cast("string") if partition in raw.columns else F.lit(None).cast("string")
     texts = raw.select(
         payload_text("content").alias("text"), day.alias(partition), F.col("path").alias("file_path")
@@ -174,10 +160,11 @@ def flatten(docs: DataFrame, keep: Iterable[str] = ("file_path", DAY_COLUMN)) ->
     `aerolake.operators.normalize` types them.
     """
     carried = [c for c in keep if c in docs.columns]
+    entries = F.when(is_usable(), F.col("aircraft")).alias("entries")
+    usable = docs.select(entries, snapshot_time().alias("timestamp"), *carried)
     # Outer explode plus a filter on its output: a filter on the documents would
     # be pushed below the parsing and make it run twice.
-    entries = F.explode_outer(F.when(is_usable(), F.col("aircraft"))).alias("a")
-    rows = docs.select(entries, snapshot_time().alias("timestamp"), *carried).where(
+    rows = usable.select(F.explode_outer("entries").alias("a"), "timestamp", *carried).where(
         F.col("a").isNotNull()
     )
     return rows.select(
@@ -198,8 +185,3 @@ def _no_documents(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame(
         [], T.StructType(schema.fields + [T.StructField("file_path", T.StringType())])
     )
-
-
-def _reraise_unless_missing(error: AnalysisException) -> None:
-    if error.getCondition() != "PATH_NOT_FOUND":
-        raise error

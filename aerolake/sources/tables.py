@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.schemas import PINGS_CSV, with_partition
-from aerolake.sources.snapshots import DAY_COLUMN, day_glob
+from aerolake.sources.paths import DAY_COLUMN, day_glob, exists
 
 
 def read_prepared_csv(
@@ -42,15 +41,14 @@ def read_layer(
     """
     if partition not in schema.fieldNames():
         schema = with_partition(schema, partition)
-    reader = spark.read.schema(schema).option("basePath", root)
-    try:
-        rows = reader.parquet(day_glob(root, days, partition))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = day_glob(root, days, partition)
+    if exists(spark, path):
+        rows = spark.read.schema(schema).option("basePath", root).parquet(path)
+        file_path = F.col("_metadata.file_path")
+    else:
         rows = spark.createDataFrame([], schema)
-        return rows.withColumn("file_path", F.lit(None).cast("string")) if with_file else rows
-    return rows.select("*", F.col("_metadata.file_path").alias("file_path")) if with_file else rows
+        file_path = F.lit(None).cast("string")
+    return rows.select("*", file_path.alias("file_path")) if with_file else rows
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

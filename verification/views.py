@@ -61,8 +61,10 @@ FUEL_SQL = """fuel as (
 
 
 def fuel(spark: SparkSession) -> DataFrame:
-    rates = [("click", 503.0), ("view", 20.0), ("purchase", 12.5), ("signup", None)]
-    return spark.createDataFrame(rates, "aircraft_type string, galph double")
+    return spark.sql(
+        "SELECT * FROM VALUES ('click', 503D), ('view', 20D), ('purchase', 12.5D),"
+        " ('signup', CAST(NULL AS double)) AS f(aircraft_type, galph)"
+    )
 
 
 # --- registry ----------------------------------------------------------------
