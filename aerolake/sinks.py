@@ -12,6 +12,9 @@ from aerolake.sources.paths import DAY_COLUMN
 
 WRITE_MODES = ("days", "refresh", "append")
 
+# Hash slices per day; about 80 MB each for a full day of world traffic.
+DAY_SLICES = 64
+
 # Fixed value: how a missing value is written in tab-separated exports.
 TSV_NULL = "\\N"
 
@@ -39,19 +42,24 @@ def write_layer(
     sort_by: tuple[str, ...] = ("icao", "timestamp"),
     mode: str = "days",
     shuffle: bool = True,
+    slices: int = DAY_SLICES,
 ) -> None:
-    """Snappy Parquet by day, sorted so that icao statistics prune row groups.
+    """Snappy Parquet by day, clustered and sorted by the first ``sort_by`` column.
 
     ``days`` replaces only the days present in ``df`` (which must hold them
-    whole), ``refresh`` replaces everything, ``append`` adds files. With
-    ``shuffle`` rows of a day are brought together by REBALANCE, which splits a
-    heavy day over several tasks and files; pass False when the input already
+    whole), ``refresh`` replaces everything, ``append`` adds files.
+
+    With ``shuffle`` each day is cut into ``slices`` by hash of the first sort
+    column, so one aircraft lies in few files and row-group statistics find it.
+    REBALANCE then fits tasks to the data: small slices and days share a task, a
+    slice made heavy by one aircraft is split. Pass False when the input already
     lies by day.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, got {mode!r}")
     if shuffle:
-        df = df.hint("rebalance", partition)
+        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(sort_by[0]), F.lit(slices)))
+        df = sliced.hint("rebalance", partition, "_slice").drop("_slice")
     writer = (
         df.sortWithinPartitions(partition, *sort_by)
         .write.partitionBy(partition)

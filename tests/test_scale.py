@@ -1,5 +1,7 @@
 """Plans and layouts that must hold when data grows or one key dominates."""
 
+from collections import Counter
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -37,18 +39,27 @@ def hot_pings(spark):
 
 def test_hot_day_is_split_over_files(spark, hot_pings, tmp_path):
     path = str(tmp_path / "silver")
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size)
-    spark.conf.set(size, "128k")
+    wanted = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         write_layer(hot_pings, path)
     finally:
-        spark.conf.set(size, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     files = sorted((tmp_path / "silver" / "_in_date=20231101").glob("*.parquet"))
     assert len(files) > 3
+    holders = Counter()
     for file in files:
         icao = pq.read_table(file, columns=["icao"])["icao"].to_pylist()
         assert icao == sorted(icao)
+        holders.update(set(icao))
+    assert holders["hot"] > 3
+    assert sum(n == 1 for n in holders.values()) > 0.9 * len(holders)
     back = tables.read_layer(spark, path, PINGS_SILVER)
     assert rows(back.agg(F.count("*"), F.sum("alt_baro"))) == rows(
         hot_pings.agg(F.count("*"), F.sum("alt_baro"))
@@ -130,3 +141,30 @@ def test_enrichment_joins_distinct_aircraft(spark, hot_pings):
     folded = fleet.enriched_aircraft(hot_pings, upper, normalize_icao=True)
     assert folded.where("owner = 'ACME'").count() == got.where("owner = 'ACME'").count()
     assert fleet.enriched_aircraft(hot_pings, upper).where("owner = 'ACME'").count() == 0
+
+
+def test_counting_rows_reads_no_column(spark, hot_pings, tmp_path):
+    path = str(tmp_path / "t")
+    hot_pings.write.parquet(path)
+    counted = tables.count_rows(spark, path)
+    assert "ReadSchema: struct<>" in plan(counted)
+    assert counted.first()["rows"] == 40_000
+
+
+def test_expected_files_and_dates(spark):
+    days = spark.sql("SELECT DATE '2023-11-01' AS day")
+    names = rows(listings.snapshot_names(days, limit=17280))
+    assert names[0] == ("20231101", "000000Z.json.gz") and names[1][1] == "000005Z.json.gz"
+    assert names[-1][1] == "235955Z.json.gz" and len(names) == 17280
+    assert listings.snapshot_names(days, limit=0).count() == 0
+    dates = rows(listings.run_dates(spark))
+    assert len(dates) == 13
+    assert dates[0] == ("2023-11-01", "20231101") and dates[-1] == ("2024-11-01", "20241101")
+
+
+def test_index_page_links(spark):
+    html = "<a href=\"../\">..</a>\n" + "\n".join(
+        f'<a href="{n:03d}Z.json.gz">x</a> <i>' for n in range(150, 0, -1)
+    )
+    got = listings.index_links(spark.createDataFrame([("d", html)], "day string, html string"), keep=("day",))
+    assert rows(got) == [("d", f"{n:03d}Z.json.gz") for n in range(1, 101)]
