@@ -14,6 +14,7 @@ SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
 }
 

@@ -321,6 +321,20 @@ def file_outcome_totals(spark, sf_dir):
     return quality.outcome_totals(quality.file_outcomes(_documents(spark, sf_dir)))
 
 
+@query(
+    f"""with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL}
+select file_path, icao, type, coalesce(cast(trunc(try_cast(altitude as double)) as bigint), 0) as alt_baro,
+       {iso_sql('"time"')} as "timestamp" from snapshot_rows"""
+)
+def gzip_fallback(spark, sf_dir):
+    """Landed bytes that may be JSON or gzip, down to typed pings."""
+    payloads = views.snapshot_payloads(spark, sf_dir)
+    texts = payloads.select("file_path", snapshots.payload_text("content").alias("text"))
+    flat = snapshots.flatten(snapshots.parse_documents(texts, "text"), keep=("file_path",))
+    typed = normalize.normalize(flat, "zero_fill")
+    return iso(typed.select("file_path", "icao", "type", "alt_baro", "timestamp"), "timestamp")
+
+
 @query(
     """select event_id, cast(json_extract_string(props, '$.k') as bigint) as k,
        case when event_type = 'error' then null else event_type end as kind from events"""

@@ -7,8 +7,10 @@ branch of the operators is met and every row takes part.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolake.session import configure
 
@@ -156,6 +158,31 @@ def snapshot_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as landed bytes: every other one gzip, by path length."""
+    zipped = (F.length("file_path") % 2 == 0).alias("zipped")
+    texts = snapshot_texts(spark, sf_dir).select("file_path", "text", zipped)
+    plain = F.encode("text", "UTF-8")
+    content = F.when(F.col("zipped"), _gzip(F.when(F.col("zipped"), plain))).otherwise(plain)
+    return texts.select("file_path", content.alias("content"))
+
+
+def _gzip_udf():
+    # Nested, so that it travels by value.
+    def compress(data: bytes) -> bytes:
+        import gzip
+
+        return gzip.compress(data, 1, mtime=0)
+
+    def gzip_bytes(content: pd.Series) -> pd.Series:
+        return content.map(compress, na_action="ignore")
+
+    return F.pandas_udf(gzip_bytes, T.BinaryType())
+
+
+_gzip = _gzip_udf()
+
+
 # Two rows per readable document, straight from the events.
 SNAPSHOT_ROWS_SQL = """snapshot_rows as (
   select concat('events/', event_id, '.json') as file_path,
