@@ -152,18 +152,27 @@ def _as_new(incoming: DataFrame) -> DataFrame:
 
 
 def _change(schema: T.StructType, key: str) -> Column:
-    """Change of the incoming row (``new_…``) against the current one."""
-    same = _comparable(schema, key, "new_").eqNullSafe(_comparable(schema, key, ""))
-    return F.when(F.col(key).isNull(), "new").when(same, "same").otherwise("changed")
-
+    """Change of the incoming row (``new_…``) against the current one.
 
-def _comparable(schema: T.StructType, key: str, prefix: str) -> Column:
-    """Values of one side as they are compared: text canonical, the rest whole numbers."""
-    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    Texts are compared as they stand first; only differing ones are made
+    canonical. Everything else is compared as whole numbers.
+    """
     compared = [c for c in FIELDS if c != key]
-    text_values = F.array(*[f"{prefix}{c}" for c in compared if c in texts])
-    numbers = F.array(*[F.col(f"{prefix}{c}").cast("bigint") for c in compared if c not in texts])
-    return F.struct(F.transform(text_values, canonical_text).alias("texts"), numbers.alias("numbers"))
+    texts = [c for c in compared if isinstance(schema[c].dataType, T.StringType)]
+
+    def text_values(prefix: str) -> Column:
+        return F.array(*[f"{prefix}{c}" for c in texts])
+
+    def numbers(prefix: str) -> Column:
+        others = [c for c in compared if c not in texts]
+        return F.array(*[F.col(f"{prefix}{c}").cast("bigint") for c in others])
+
+    new, old = text_values("new_"), text_values("")
+    same_texts = new.eqNullSafe(old) | F.transform(new, canonical_text).eqNullSafe(
+        F.transform(old, canonical_text)
+    )
+    same = numbers("new_").eqNullSafe(numbers("")) & same_texts
+    return F.when(F.col(key).isNull(), "new").when(same, "same").otherwise("changed")
 
 
 def _timestamp(at: datetime | Column) -> Column:

@@ -203,6 +203,14 @@ def test_pings_job_and_questions(spark, tmp_path):
     assert all(r[0] for r in listed)
 
 
+def test_pings_job_by_spark_reader(spark, tmp_path):
+    bronze = write_snapshots(tmp_path / "bronze", "_in_date", SNAPSHOT_FILES)
+    silver = str(tmp_path / "silver")
+    report = pings.to_silver(spark, bronze, silver, any_payload=False)
+    assert (report.files_ok, report.files_failed) == (4, 2)
+    assert tables.read_layer(spark, silver, pings.PINGS_SILVER).count() == 6
+
+
 def test_prepare_csv_twice(spark, raw, tmp_path):
     out = str(tmp_path / "prepared")
     path = prepare.prepare_csv(spark, raw, out, "2023-11-01")
