@@ -47,7 +47,8 @@ def write_layer(
     """Snappy Parquet by day, clustered and sorted by the first ``sort_by`` column.
 
     ``days`` replaces only the days present in ``df`` (which must hold them
-    whole), ``refresh`` replaces everything, ``append`` adds files.
+    whole; a day without any row keeps what it had), ``refresh`` replaces
+    everything, ``append`` adds files.
 
     With ``shuffle`` each day is cut into ``slices`` by hash of the first sort
     column, so one aircraft lies in few files and row-group statistics find it.

@@ -4,6 +4,7 @@ from collections import Counter
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from aerolake.functions.text import is_filled
@@ -11,7 +12,7 @@ from aerolake.operators import emissions, fleet, quality, versions
 from aerolake.operators.normalize import normalize
 from aerolake.plans import pings as pings_plan
 from aerolake.schemas import PINGS_SILVER
-from aerolake.sinks import write_layer
+from aerolake.sinks import refresh_table, write_layer
 from aerolake.sources import fuel, listings, snapshots, tables
 from tests.conftest import rows
 
@@ -168,3 +169,20 @@ def test_index_page_links(spark):
     )
     got = listings.index_links(spark.createDataFrame([("d", html)], "day string, html string"), keep=("day",))
     assert rows(got) == [("d", f"{n:03d}Z.json.gz") for n in range(1, 101)]
+
+
+def test_counting_files_does_not_parse_again(spark, bronze):
+    docs = snapshots.scan_snapshot_bytes(spark, bronze)
+    watched = docs.observe(Observation(), F.count_if(snapshots.is_usable()).alias("ok"))
+    text = plan(normalize(snapshots.flatten(watched, keep=()), "zero_fill"))
+    assert text.count("ArrowEvalPython") == 1 and text.count("from_json(") == 1
+
+
+def test_catalog_table_is_replaced(spark, hot_pings, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION '{tmp_path}/lake'")
+    try:
+        for rows_kept in (hot_pings, hot_pings.where("icao = 'hot'")):
+            refresh_table(rows_kept, "lake.pings", partition="_in_date")
+        assert spark.table("lake.pings").count() == 20_000
+    finally:
+        spark.sql("DROP DATABASE lake CASCADE")

@@ -130,8 +130,8 @@ select icao, registration, type from (
     order by "timestamp" desc, registration desc, type desc) as rn
   from pings where icao <> '' and registration <> '' and type <> '') where rn = 1"""
 DISTINCT_SQL = f"""with {PINGS_SQL}
-select distinct icao, registration, type from pings
-where icao is not null and registration is not null and type is not null"""
+select icao, registration, type from pings
+group by icao, registration, type having concat(icao, registration, type) = icao || registration || type"""
 
 
 @query(LAST_WINS_SQL)
@@ -167,8 +167,7 @@ def positions_page(spark, sf_dir):
     f"""with {PINGS_SQL}
 select icao, coalesce(max(alt_baro), 0) as max_altitude_baro,
        coalesce(max(ground_speed), 0) as max_ground_speed,
-       max(case when emergency is not null and emergency <> '' and emergency <> 'none'
-           then 1 else 0 end) = 1 as had_emergency
+       bool_or(coalesce(emergency, '') not in ('', 'none')) as had_emergency
 from pings group by icao"""
 )
 def stats_sql(spark, sf_dir):
@@ -197,12 +196,15 @@ def stats_one_aircraft(spark, sf_dir):
     return fleet.stats(views.pings(spark, sf_dir), "000008")
 
 
-ENRICHED_SQL = f"""with {PINGS_SQL}, {HISTORY_SQL}
-select distinct a.icao, a.registration, a.type, nullif(r.owner, '') as owner,
-       nullif(r.manufacturer, '') as manufacturer, nullif(r.model, '') as model
-from pings a left join history r on a.icao = r.icao and r.is_current
-where (a.icao is not null and a.icao <> '') or (a.registration is not null and a.registration <> '')
-   or (a.type is not null and a.type <> '')"""
+ENRICHED_SQL = f"""with {PINGS_SQL}, {HISTORY_SQL},
+seen as (
+  select icao, registration, type from pings
+  where length(concat(icao, registration, type)) > 0 group by all),
+known as (
+  select icao, nullif(owner, '') as owner, nullif(manufacturer, '') as manufacturer,
+         nullif(model, '') as model
+  from history where is_current group by all)
+select icao, registration, type, owner, manufacturer, model from seen left join known using (icao)"""
 
 
 @query(ENRICHED_SQL)
@@ -212,7 +214,7 @@ def list_enriched(spark, sf_dir):
 
 @query(
     ENRICHED_SQL
-    + " order by a.icao, a.registration nulls first, a.type, owner, manufacturer, model limit 50 offset 50"
+    + " order by icao, registration nulls first, type, owner, manufacturer, model limit 50 offset 50"
 )
 def list_enriched_page(spark, sf_dir):
     return fleet.list_enriched(
