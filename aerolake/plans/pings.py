@@ -73,8 +73,9 @@ def to_gold(
 ) -> None:
     """Load the days' silver into gold.
 
-    ``refresh`` rebuilds the table from the given days; otherwise only those
-    days are replaced. Silver lies by day already, so nothing is shuffled.
+    ``refresh`` empties the table and rebuilds it from the given days; otherwise
+    only those days are replaced, each when the job commits, which is what a
+    daily load wants. Silver lies by day already, so nothing is shuffled.
     """
     silver = tables.read_layer(spark, silver_root, PINGS_SILVER, _source_dates(days), with_file=True)
     rows = gold_pings(silver, truncate_icao=truncate_icao)

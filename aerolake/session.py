@@ -7,9 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Results depend on them: day boundaries and ISO text are computed in
-# UTC, bad casts must go through try_cast, and skewed shuffles need AQE. The
-# last bounds what one Arrow batch of file contents may weigh.
+# Results depend on the first two: day boundaries and ISO text are computed in
+# UTC, bad values must go through try_cast. AQE splits skewed shuffles; small
+# shuffle partitions are joined up to the advisory size, so writes leave few
+# files; the last bounds what one Arrow batch of file contents may weigh.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
