@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -55,3 +55,8 @@ def day_argument(day: str | date) -> str:
             raise ValueError(f"day must be YYYY-MM-DD, got {day!r}")
         day = datetime.strptime(day, "%Y-%m-%d").date()
     return day.strftime("%Y%m%d")
+
+
+def utc(moment: datetime) -> datetime:
+    """A moment without zone is UTC, not the zone of the host."""
+    return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)

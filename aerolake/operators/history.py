@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.functions.text import canonical_text
+from aerolake.functions.times import utc
 from aerolake.operators.filters import current_only
 from aerolake.schemas import REGISTRY
 
@@ -176,4 +177,4 @@ def _change(schema: T.StructType, key: str) -> Column:
 
 
 def _timestamp(at: datetime | Column) -> Column:
-    return at if isinstance(at, Column) else F.lit(at).cast("timestamp")
+    return at if isinstance(at, Column) else F.lit(utc(at)).cast("timestamp")

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from aerolake import sinks
 from aerolake.functions.files import name_version
-from aerolake.functions.times import day_argument
+from aerolake.functions.times import day_argument, utc
 from aerolake.operators import history, versions
 from aerolake.operators.lineage import lineage_values
 from aerolake.schemas import REGISTRY, REGISTRY_GOLD, struct
@@ -119,7 +119,7 @@ def to_gold(
 
     A load without any change leaves no trace and no version.
     """
-    loaded_at = loaded_at or datetime.now(timezone.utc)
+    loaded_at = utc(loaded_at or datetime.now(timezone.utc))
     last = _last_version(spark, gold_root)
     version = last + 1
     silver = spark.read.schema(REGISTRY).parquet(silver_path)

@@ -1,11 +1,17 @@
 import gzip
 import json
+import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
+# Collected timestamps are shown in the zone of the Python process.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from aerolake.session import configure  # noqa: E402
