@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, packing, token_counts, wavelet_store
+from aerolake.llm import bpe_codec, packing, token_counts, toxicity, wavelet_store
 from aerolake.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,20 @@ def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a quarter by hash of doc_id is held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = toxicity.fit(docs, labels, ~held_out)
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op9_wavelet_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as the wavelet shards give it back."""
