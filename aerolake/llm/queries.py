@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, packing, token_counts, toxicity, wavelet_store
+from aerolake.llm import bpe_codec, jaccard_join, packing, token_counts, toxicity, wavelet_store
 from aerolake.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,12 @@ def query(function):
     return function
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every document."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and what they decode to, as digests."""
