@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, jaccard_join, packing, token_counts, toxicity, wavelet_store
+from aerolake.llm import (
+    bpe_codec,
+    jaccard_join,
+    packing,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    wavelet_store,
+)
 from aerolake.llm.common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +28,15 @@ def query(function):
     return function
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without windows of 50 words seen before."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of every document."""
