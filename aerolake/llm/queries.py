@@ -12,6 +12,7 @@ from aerolake.llm import (
     bpe_codec,
     jaccard_join,
     packing,
+    spotsigs,
     substring_dedup,
     token_counts,
     toxicity,
@@ -101,3 +102,9 @@ def op9_wavelet_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path
     )
     return wavelet_store.read_documents(wavelet_store.read_shards(spark, path))
+
+
+@query
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited form, and their likeness."""
+    return spotsigs.compare_with_next(table(spark, sf_dir, "documents"))
