@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from aerolake.llm import (
     bpe_codec,
     jaccard_join,
+    kneser_ney,
     packing,
     spotsigs,
     substring_dedup,
@@ -70,6 +71,15 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document; a tenth by hash of doc_id is held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return kneser_ney.score_documents(table(spark, sf_dir, "documents"), held_out).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and what they decode to, as digests."""

@@ -149,8 +149,8 @@ def _kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     hit = known[at] == code
     row, at, value = row[hit], at[hit], value[hit]
     out = np.zeros((len(words), len(landmarks)))
-    for a in range(0, len(row), 100_000):
-        part = slice(a, a + 100_000)
+    for a in range(0, len(row), 10_000):
+        part = slice(a, a + 10_000)
         np.add.at(out, row[part], dense[at[part]] * value[part, None])
     return out
 
