@@ -267,7 +267,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
         F.lit(False).alias("member"),
         F.col("hub").alias("node"),
     )
-    wanted = members.unionByName(hubs).join(nodes.select("node", "doc_id"), "node")
+    # written, so that the union is no side of a join
+    wanted = stored(members.unionByName(hubs), "pairs").join(nodes.select("node", "doc_id"), "node")
     return (
         wanted.join(docs.select("doc_id", "text"), "doc_id")
         .repartition(parts(docs.sparkSession), "hub", "copy")
@@ -317,7 +318,7 @@ def _unsettled(ties: DataFrame, found: DataFrame, docs: DataFrame, nodes: DataFr
     open_hubs = both.where("component <> own").select("hub").distinct()
     members = both.join(open_hubs, "hub").select("hub", "node", "component")
     centres = labelled(open_hubs.select("hub", F.col("hub").alias("node")), "node", "component")
-    members = members.unionByName(centres.select("hub", "node", "component"))
+    members = stored(members.unionByName(centres.select("hub", "node", "component")), "open-hubs")
 
     def make():
         def step(batch: pa.RecordBatch):
@@ -384,7 +385,7 @@ def join(docs: DataFrame) -> DataFrame:
     best = ties.groupBy("node").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
     links = stored(_verify(best, docs, nodes), "links")
     found = stored(components(links), "components")
-    more = _unsettled(ties, found, docs, nodes)
+    more = stored(_unsettled(ties, found, docs, nodes), "near")
     rest = stored(_verify(more, docs, nodes), "links")
     if not rest.isEmpty():
         found = stored(components(links.unionByName(rest)), "components")
