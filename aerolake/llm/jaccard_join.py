@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.llm.common import map_arrow, parts, stored
@@ -71,7 +71,7 @@ def _identity(own: np.ndarray) -> int:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node: the number of its shingle set (-1: empty)."""
+    """doc_id, key, n_shingles, node: the number of its shingle set (-1: empty)."""
 
     def make():
         def step(batch: pa.RecordBatch):
@@ -81,13 +81,20 @@ def describe(docs: DataFrame) -> DataFrame:
                 nodes += map(_identity, sets)
             yield {
                 "doc_id": batch["doc_id"],
+                "key": batch["key"],
                 "n_shingles": pa.array(sizes, pa.int64()),
                 "node": pa.array(nodes, pa.int64()),
             }
 
         return step
 
-    return map_arrow(docs, make, "doc_id long, n_shingles long, node long")
+    keyed = docs.withColumn("key", row_key())
+    return map_arrow(keyed, make, "doc_id long, key long, n_shingles long, node long")
+
+
+def row_key() -> Column:
+    """Names a row by doc_id and text; repeated rows have the same."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
 def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -225,6 +232,20 @@ def _tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of each group of near duplicates the row with the least doc_id (none counts
+    as least), with all its columns; texts without shingles stay, repeated or not."""
+    found = stored(join(docs), "groups")
+    first = found.where("component is not null").groupBy("component").agg(
+        F.min_by("key", F.struct("doc_id", "key")).alias("_key")
+    )
+    alone = found.where("component is null").select(F.col("key").alias("_key")).distinct()
+    keyed = docs.withColumn("_key", row_key())
+    kept = keyed.join(stored(first.select("_key"), "first"), "_key", "left_semi").dropDuplicates(["_key"])
+    blank = keyed.join(stored(alone, "blank"), "_key", "left_semi")
+    return kept.unionByName(blank).drop("_key")
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sorted sets reach the threshold."""
     if min(len(a), len(b)) * 100 < PERCENT * max(len(a), len(b)):
@@ -360,11 +381,13 @@ def _unsettled(ties: DataFrame, found: DataFrame, docs: DataFrame, nodes: DataFr
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row.
+    """doc_id, n_shingles, component_id, key, component of every row.
 
     component_id is the least doc_id that links lead to. Null, empty and blank
     texts have no shingles and are linked with nothing; rows without doc_id get no
     component_id but are compared like all others. Repeated rows give a row each.
+    ``key`` is the row's ``row_key``; ``component`` numbers the group, null for
+    texts without shingles.
     Other columns are not looked at. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -395,7 +418,7 @@ def join(docs: DataFrame) -> DataFrame:
         .groupBy("component")
         .agg(F.min("doc_id").alias("component_id"))
     )
-    by_node = found.join(least, "component").select("node", F.col("component_id").alias("near"))
+    by_node = found.join(least, "component").select("node", "component", F.col("component_id").alias("near"))
     alone = nodes.select("node", F.col("doc_id").alias("least"))
     return (
         about.join(alone, "node", "left")
@@ -404,5 +427,7 @@ def join(docs: DataFrame) -> DataFrame:
             "doc_id",
             "n_shingles",
             F.when(F.col("doc_id").isNotNull(), F.coalesce("near", "least", "doc_id")).alias("component_id"),
+            "key",
+            F.when(F.col("node") >= 0, F.coalesce("component", "node")).alias("component"),
         )
     )

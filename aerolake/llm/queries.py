@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm import (
@@ -68,7 +68,9 @@ ORACLES["op2_topk"] = """
 @query
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of every document."""
-    return jaccard_join.join(table(spark, sf_dir, "documents"))
+    return jaccard_join.join(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
 
 
 @query
@@ -104,23 +106,30 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def packed(docs: DataFrame) -> DataFrame:
     """Every document's pieces with their place in a sequence."""
-    tokens = packing.tokenize(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
-    )
+    tokens = packing.tokenize(docs, public_tokenizers.path("word_bpe_49k.json"))
     cut = packing.pieces(tokens).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(cut).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
 
 
+@query
+def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents packed into sequences of 2048 tokens."""
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def held_out_of_four() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; a quarter by hash of doc_id is held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    held_out = held_out_of_four()
     model = toxicity.fit(docs, labels, ~held_out)
     return toxicity.score(docs.select("doc_id", "text"), model).select(
         "doc_id",

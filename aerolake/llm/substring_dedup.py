@@ -308,7 +308,7 @@ def _search(length: int):
     return run
 
 
-def _cover(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
+def _cover(docs: DataFrame, spans: DataFrame, length: int, untouched: bool) -> DataFrame:
     """Every row with its text without the words of repeated windows."""
     kept = [c for c in docs.columns if c not in ("key", "text", "kept", "n_words", "n_removed")]
 
@@ -333,7 +333,7 @@ def _cover(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
                     stay = np.cumsum(change[:-1]) == 0
                     words = [words[i] for i in np.flatnonzero(stay).tolist()]
                 removed.append(counts[-1] - len(words))
-                texts.append(b" ".join(words))
+                texts.append((text or "").encode() if untouched and not removed[-1] else b" ".join(words))
             yield {
                 **{c: batch[c] for c in kept},
                 "kept": pa.array(texts, pa.binary()),
@@ -350,11 +350,12 @@ def _cover(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     return out.withColumn("kept", F.col("kept").cast("string"))
 
 
-def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, untouched: bool = False) -> DataFrame:
     """Every row (all columns but text) with kept, n_words and n_removed.
 
     ``kept`` is the text's words joined by a space, without those covered by a
-    window of ``length`` words that a document with a smaller doc_id has too.
+    window of ``length`` words that a document with a smaller doc_id has too; with
+    ``untouched``, texts that lose nothing stay as they are.
     Windows are judged on the texts given, not on what is left of them. Null and
     empty texts have no words. Rows without doc_id lose nothing and take nothing;
     rows of one doc_id take nothing from each other. Columns named like the new
@@ -399,7 +400,7 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .where("mask <> 0")
         .distinct()
     )
-    return _cover(docs, stored(spans, "spans"), length)
+    return _cover(docs, stored(spans, "spans"), length, untouched)
 
 
 def _single_windows(docs: DataFrame, runs: DataFrame, segments: DataFrame, crowded: DataFrame, length: int):
