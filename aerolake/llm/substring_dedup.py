@@ -310,12 +310,12 @@ def _search(length: int):
 
 def _cover(docs: DataFrame, spans: DataFrame, length: int, untouched: bool) -> DataFrame:
     """Every row with its text without the words of repeated windows."""
-    kept = [c for c in docs.columns if c not in ("key", "text", "kept", "n_words", "n_removed")]
+    kept = [c for c in docs.columns if c not in ("_key", "text", "kept", "n_words", "n_removed")]
 
     def make():
         def step(batch: pa.RecordBatch):
             texts, counts, removed = [], [], []
-            for text, runs in zip(batch["text"].to_pylist(), batch["runs"].to_pylist(), strict=True):
+            for text, runs in zip(batch["text"].to_pylist(), batch["_runs"].to_pylist(), strict=True):
                 words = (text or "").encode().split()
                 counts.append(len(words))
                 if runs:
@@ -343,8 +343,10 @@ def _cover(docs: DataFrame, spans: DataFrame, length: int, untouched: bool) -> D
 
         return step
 
-    by_text = spans.groupBy("key").agg(F.collect_list(F.struct("first", "mask")).alias("runs"))
-    joined = docs.join(by_text, "key", "left").select(*kept, "text", "runs")
+    by_text = spans.groupBy(F.col("key").alias("_key")).agg(
+        F.collect_list(F.struct("first", "mask")).alias("_runs")
+    )
+    joined = docs.join(by_text, "_key", "left").select(*(f"`{c}`" for c in kept), "text", "_runs")
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     out = map_arrow(joined, make, f"{fields}, kept binary, n_words long, n_removed long")
     return out.withColumn("kept", F.col("kept").cast("string"))
@@ -364,8 +366,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, untouched: bool = False) -> Dat
     if not ANCHOR < length <= ANCHOR + 61:
         raise ValueError("length must be from 9 to 69 words")
     docs = docs.withColumn("text", F.col("text").cast("string"))
-    docs = docs.withColumn("key", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    own = docs.where("doc_id is not null").select("key", F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    own = docs.where("doc_id is not null").select(F.col("_key").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     runs = stored(_find_runs(own, length), "runs")
     shared = (
         runs.groupBy("anchor")

@@ -153,7 +153,7 @@ def search_block(
 def _search(k: int):
     def run(rows: pa.Table) -> pa.Table:
         out = {c: [] for c in ("query_id", "query_block", "query_place", "score", "vec_id", "block", "place")}
-        queries = [r for r in rows.select(["query_id", "query_block", "query_place", "query"]).to_pylist() if r["query"]]
+        queries = [r for r in rows.select(["query_id", "query_block", "query_place", "query"]).to_pylist() if r["query"] is not None]
         bests = [_Best(k) for _ in queries]
         vectors = [np.frombuffer(q["query"], "<f8") for q in queries]
         for row in rows.select(["block", "dimensions", "ids", "matrix"]).to_pylist():
