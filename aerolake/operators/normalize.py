@@ -46,11 +46,11 @@ def conform(df: DataFrame, schema: T.StructType, keep: list[str] = ()) -> DataFr
     return df.select(*[c.alias(f.name) for c, f in zip(wanted, schema.fields)], *keep)
 
 
-def gold_pings(silver: DataFrame, *, truncate_icao: bool = True) -> DataFrame:
+def gold_pings(silver: DataFrame, *, truncate_icao: bool = False) -> DataFrame:
     """Silver pings under the gold conventions: no null but the time.
 
-    Ids longer than six characters are cut by default, which lets distinct
-    non-ICAO addresses (``~abc123``, ``~abc124``) fall together.
+    ``truncate_icao`` cuts ids to six characters, which lets distinct non-ICAO
+    addresses (``~abc123``, ``~abc124``) fall together.
     """
     filled = text.null_to_default(
         silver,

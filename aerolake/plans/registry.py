@@ -15,18 +15,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake import sinks
-from aerolake.functions.files import name_version
+from aerolake.functions.files import content_hash, name_version
 from aerolake.functions.times import day_argument, utc
 from aerolake.operators import history, versions
 from aerolake.operators.lineage import lineage_values
 from aerolake.schemas import REGISTRY, REGISTRY_GOLD, struct
+from aerolake.session import require
 from aerolake.sources import registry
-from aerolake.sources.paths import DAY_COLUMN, exists
+from aerolake.sources.paths import DAY_COLUMN, entries, exists, remove
+from aerolake.sources.snapshots import payload_text
 
 # Fixed value: how landed registry files are named.
 FILE_PREFIX = "aircrafts_database"
@@ -38,9 +40,12 @@ LOADS = struct(
 
 @dataclass(frozen=True)
 class LoadReport:
+    """``duplicates``: rows passed over because their key had another one."""
+
     version: int | None
     opened: int
     closed: int
+    duplicates: int = 0
 
 
 def bronze_listing(spark: SparkSession, bronze_root: str, day: str) -> DataFrame:
@@ -54,13 +59,11 @@ def bronze_listing(spark: SparkSession, bronze_root: str, day: str) -> DataFrame
 
 def silver_listing(spark: SparkSession, silver_root: str, day: str) -> DataFrame:
     """Written silver versions of a day; none when the day is not there yet."""
-    schema = T.StructType([T.StructField("version", T.IntegerType())])
     folder = f"{silver_root.rstrip('/')}/{DAY_COLUMN}={day_argument(day)}"
-    if exists(spark, folder):
-        found = spark.read.schema(schema).parquet(folder)
-    else:
-        found = spark.createDataFrame([], schema)
-    return found.select("version").distinct().withColumn(DAY_COLUMN, F.lit(day_argument(day)))
+    # from the folder names: a version without rows is a version too
+    names = [path.rsplit("=", 1)[1] for path, _, is_folder in entries(spark, f"{folder}/version=*") if is_folder]
+    found = spark.createDataFrame([(int(n),) for n in names if n.isdigit()], struct("version int"))
+    return found.withColumn(DAY_COLUMN, F.lit(day_argument(day)))
 
 
 def to_silver(spark: SparkSession, bronze_root: str, silver_root: str, day: str) -> str:
@@ -75,6 +78,69 @@ def to_silver(spark: SparkSession, bronze_root: str, silver_root: str, day: str)
     return sinks.write_versioned(records, silver_root, day_argument(day), version)
 
 
+def land(
+    spark: SparkSession, source: str, bronze_root: str, day: str, loaded_at: datetime | None = None
+) -> str:
+    """Keep a delivered file unchanged as the day's next bronze version.
+
+    The copy is compared with the source by hash, and recorded under
+    ``bronze_root/_manifest``. Returns the version's folder.
+    """
+    require(spark)
+    written = day_argument(day)
+    given = spark.read.format("binaryFile").load(source)
+    wanted = spark.range(1).select(F.lit(written).alias(DAY_COLUMN))
+    number = versions.next_version(landed(spark, bronze_root, day), wanted).first()["next_version"]
+    folder = f"{bronze_root.rstrip('/')}/{DAY_COLUMN}={written}/{FILE_PREFIX}_v{number}.parquet"
+    kept = given.select("path", "length", "content", content_hash("content").alias("file_hash"))
+    kept.write.mode("overwrite").parquet(folder)
+    copy = spark.read.parquet(folder)
+    bad = copy.where(content_hash("content") != F.col("file_hash")).count()
+    if bad or copy.count() != given.select("path").count():
+        raise OSError(f"the copy in {folder} differs from {source}")
+    record = copy.select(
+        F.lit(folder).alias("path"),
+        F.lit(written).alias(DAY_COLUMN),
+        F.lit(number).cast("int").alias("version"),
+        F.col("length").alias("size"),
+        "file_hash",
+        F.col("path").alias("source"),
+        F.lit(utc(loaded_at or datetime.now(timezone.utc))).alias("_loaded_time"),
+    )
+    record.coalesce(1).write.mode("append").parquet(f"{bronze_root.rstrip('/')}/_manifest")
+    return folder
+
+
+def landed(spark: SparkSession, bronze_root: str, day: str) -> DataFrame:
+    """path, version and day of what was landed for a day."""
+    top = f"{bronze_root.rstrip('/')}/{DAY_COLUMN}={day_argument(day)}"
+    names = [path for path, _, is_folder in entries(spark, f"{top}/{FILE_PREFIX}_v*") if is_folder]
+    found = spark.createDataFrame([(p,) for p in names], struct("path string"))
+    return found.select("path", name_version("path").alias("version")).withColumn(
+        DAY_COLUMN, F.lit(day_argument(day))
+    )
+
+
+def superseded(spark: SparkSession, bronze_root: str, day: str) -> DataFrame:
+    """Landed versions of a day beyond the newest ones that are kept."""
+    return versions.superseded_versions(landed(spark, bronze_root, day))
+
+
+def landed_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, day: str) -> str:
+    """Newest landed version of the day to the next silver version; its folder."""
+    newest = versions.latest_version(landed(spark, bronze_root, day)).first()
+    if newest is None:
+        raise FileNotFoundError(f"no registry was landed for {day}")
+    kept = spark.read.parquet(newest["path"])
+    lines = kept.select(
+        F.explode(F.split(payload_text("content"), "\r?\n")).alias("line"), F.col("path").alias("file_path")
+    ).where("line <> ''")
+    records = registry.registry_records(registry.parse_registry_lines(lines, "line"))
+    wanted = spark.range(1).select(F.lit(day_argument(day)).alias(DAY_COLUMN))
+    following = versions.next_version(silver_listing(spark, silver_root, day), wanted)
+    return sinks.write_versioned(records, silver_root, day_argument(day), following.first()["next_version"])
+
+
 def newest_silver(spark: SparkSession, silver_root: str, day: str) -> str:
     version = silver_listing(spark, silver_root, day).agg(F.max("version")).first()[0]
     if version is None:
@@ -114,41 +180,60 @@ def to_gold(
     gold_root: str,
     day: str,
     loaded_at: datetime | None = None,
+    *,
+    refuse_duplicates: bool = False,
+    keep: int = 2,
 ) -> LoadReport:
     """Merge one silver version into the history.
 
-    A load without any change leaves no trace and no version.
+    Changes are looked for first: a load without any writes nothing and has no
+    version. Of rows with the same key the smallest counts, unless
+    ``refuse_duplicates`` raises. Current rows of all but the last ``keep`` loads
+    are removed, so readers that began before this load still find theirs.
     """
+    require(spark)
     loaded_at = utc(loaded_at or datetime.now(timezone.utc))
     last = _last_version(spark, gold_root)
     version = last + 1
     silver = spark.read.schema(REGISTRY).parquet(silver_path)
     current = history.current_only(_history_at(spark, gold_root, last))
+    incoming = registry.clean_registry(silver)
+    picked = history.one_row_per_key(incoming.select(*history.FIELDS))
+    found = history.classify(picked, current).agg(
+        F.count_if(F.col("change") == "new").alias("new"),
+        F.count_if(F.col("change") == "changed").alias("changed"),
+        F.coalesce(F.sum("copies") - F.count("*"), F.lit(0)).alias("duplicates"),
+    ).first()
+    opened, closed, duplicates = found["new"] + found["changed"], found["changed"], found["duplicates"]
+    if duplicates and refuse_duplicates:
+        raise ValueError(f"{duplicates} rows of {silver_path} repeat a key")
+    if opened == 0:
+        return LoadReport(None, 0, 0, duplicates)
     merged = history.merge_current(
         current,
-        registry.clean_registry(silver),
+        incoming,
         loaded_at=loaded_at,
         source_date=day_argument(day),
         version=version,
         lineage=lineage_values(F.lit(silver_path)),
     )
-    counts = Observation("registry load")
-    merged = merged.observe(
-        counts,
-        F.count_if(F.col("is_current") & (F.col("version") == version)).alias("opened"),
-        F.count_if(~F.col("is_current")).alias("closed"),
-    )
     merged.write.mode("overwrite").partitionBy("is_current").parquet(
         f"{gold_root.rstrip('/')}/rows/_load={version}"
     )
-    opened, closed = counts.get["opened"], counts.get["closed"]
-    if opened == 0:
-        return LoadReport(None, 0, 0)
     line = [(version, loaded_at, day_argument(day), opened, closed)]
     spark.createDataFrame(line, LOADS).coalesce(1).write.mode("append").parquet(
         f"{gold_root.rstrip('/')}/loads"
     )
-    return LoadReport(version, opened, closed)
+    drop_old_current(spark, gold_root, version - keep)
+    return LoadReport(version, opened, closed, duplicates)
+
+
+def drop_old_current(spark: SparkSession, gold_root: str, last: int) -> None:
+    """Remove the copies of current rows that loads up to ``last`` wrote; closed
+    rows stay where they are."""
+    for path, _, _ in entries(spark, f"{gold_root.rstrip('/')}/rows/_load=*/is_current=true"):
+        if int(path.split("/_load=", 1)[1].split("/", 1)[0]) <= last:
+            remove(spark, path)
 
 
 def run_registry(
@@ -160,5 +245,5 @@ def run_registry(
     loaded_at: datetime | None = None,
 ) -> LoadReport:
     """Newest landed file of a day through silver into the history."""
-    to_silver(spark, bronze_root, silver_root, day)
-    return to_gold(spark, newest_silver(spark, silver_root, day), gold_root, day, loaded_at)
+    silver_path = to_silver(spark, bronze_root, silver_root, day)
+    return to_gold(spark, silver_path, gold_root, day, loaded_at)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -17,6 +16,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
+    # A repeated key in repaired JSON keeps its last value, like other parsers.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -30,12 +31,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder on storage that every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    (tests) may fall back to a temporary folder of this machine.
+    It lies under ``spark.checkpoint.dir`` or, where that is unset, under the
+    warehouse folder, which every session has.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="aerolake-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/aerolake/{label}-{uuid.uuid4().hex}"
+
+
+def require(spark: SparkSession) -> None:
+    """Raise unless the settings that results depend on are as `configure` sets them."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        if spark.conf.get(key).lower() != SESSION_SETTINGS[key].lower():
+            raise RuntimeError(f"{key} must be {SESSION_SETTINGS[key]}; call aerolake.configure(spark)")

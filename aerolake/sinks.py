@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from aerolake.functions.files import content_hash
 from aerolake.schemas import PING_COLUMNS
-from aerolake.sources.paths import DAY_COLUMN
+from aerolake.sources.paths import DAY_COLUMN, day_files, remove
 
 WRITE_MODES = ("days", "refresh", "append")
 
@@ -43,12 +43,15 @@ def write_layer(
     mode: str = "days",
     shuffle: bool = True,
     slices: int = DAY_SLICES,
+    days: list[str] | None = None,
+    all_days: bool = False,
 ) -> None:
     """Snappy Parquet by day, clustered and sorted by the first ``sort_by`` column.
 
-    ``days`` replaces only the days present in ``df`` (which must hold them
-    whole; a day without any row keeps what it had), ``refresh`` replaces
-    everything, ``append`` adds files.
+    ``days`` mode replaces only the days present in ``df`` (which must hold them
+    whole), ``refresh`` replaces everything, ``append`` adds files. A day named in
+    ``days`` (any day, with ``all_days``) that ``df`` has no row of is emptied too;
+    others keep what they had.
 
     With ``shuffle`` each day is cut into ``slices`` by hash of the first sort
     column, so one aircraft lies in few files and row-group statistics find it.
@@ -69,8 +72,15 @@ def write_layer(
     if mode == "append":
         writer.mode("append").parquet(root)
         return
+    stale = mode == "days" and (all_days or days)
+    before = day_files(df.sparkSession, root, None if all_days else days, partition) if stale else {}
     overwrite = "dynamic" if mode == "days" else "static"
     writer.mode("overwrite").option("partitionOverwriteMode", overwrite).parquet(root)
+    after = day_files(df.sparkSession, root, None if all_days else days, partition) if before else {}
+    for folder, names in before.items():
+        # files are replaced with the day; what is still there was not written now
+        if names & after.get(folder, set()):
+            remove(df.sparkSession, folder)
 
 
 def write_refresh(df: DataFrame, path: str) -> None:
@@ -94,18 +104,13 @@ def write_versioned(df: DataFrame, root: str, day: str, version: int) -> str:
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    r"""Tab-separated text without header for bulk loads.
+    r"""Tab-separated text without header for bulk loads; `read_tsv` undoes it.
 
-    Null is ``\N``, tabs and line ends inside text are written as escapes, and
-    arrays as ``{a,b}``.
+    Null is ``\N``; backslashes are doubled and tabs and line ends written as
+    escapes, so each row is a line; arrays are ``{"a","b",NULL}``.
     """
-    df.select(*[_tsv_column(f).alias(f.name) for f in df.schema.fields]).write.mode(
-        "overwrite"
-    ).option("sep", "\t").option("quote", "").option("nullValue", TSV_NULL).option(
-        "emptyValue", ""
-    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option(
-        "timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    ).csv(path)
+    columns = [F.coalesce(_tsv_column(f), F.lit(TSV_NULL)) for f in df.schema.fields]
+    df.select(F.concat_ws("\t", *columns).alias("value")).write.mode("overwrite").text(path)
 
 
 def archive_bytes(files_df: DataFrame, root: str, mode: str = "days") -> None:
@@ -116,7 +121,7 @@ def archive_bytes(files_df: DataFrame, root: str, mode: str = "days") -> None:
     rows = files_df.select(
         "path", "length", content_hash("content").alias("sha256"), "content", DAY_COLUMN
     )
-    write_layer(rows, root, sort_by=("path",), mode=mode, shuffle=False)
+    write_layer(rows, root, sort_by=(), mode=mode, shuffle=False)
 
 
 def write_jdbc(
@@ -147,10 +152,23 @@ def write_jdbc(
 
 
 def _tsv_column(field: T.StructField):
-    c = F.col(field.name)
+    c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.ArrayType):
-        c = F.concat(F.lit("{"), F.array_join(c.cast("array<string>"), ","), F.lit("}"))
-    if isinstance(field.dataType, (T.StringType, T.ArrayType)):
-        for raw, escape in (("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
-            c = F.replace(c, F.lit(raw), F.lit(escape))
+        quoted = F.transform(
+            c.cast("array<string>"),
+            lambda x: F.coalesce(
+                F.concat(
+                    F.lit('"'),
+                    F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')),
+                    F.lit('"'),
+                ),
+                F.lit("NULL"),
+            ),
+        )
+        c = F.concat(F.lit("{"), F.array_join(quoted, ","), F.lit("}"))
+    elif isinstance(field.dataType, T.TimestampType):
+        c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    c = c.cast("string")
+    for raw, escape in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(raw), F.lit(escape))
     return c

@@ -15,11 +15,17 @@ def scan_fuel(spark: SparkSession, path: str) -> DataFrame:
 
 
 def explode_keyed_object(df: DataFrame, text: str, detail: T.DataType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows ``(key, detail)`` of JSON objects with free keys."""
+    """Rows ``(key, detail)`` of JSON objects with free keys; of a key that is
+    repeated within an object the last."""
     keyed = F.from_json(F.col(text), T.MapType(T.StringType(), detail))
     # Outer, so that no size filter is inferred that would parse a second time.
-    rows = df.select(F.explode_outer(keyed).alias("key", "detail"), *keep)
-    return rows.where(F.col("key").isNotNull())
+    rows = df.withColumn("_object", F.monotonically_increasing_id()).select(
+        "_object", F.posexplode_outer(keyed).alias("_place", "key", "detail"), *keep
+    )
+    last = rows.groupBy("_object", "key").agg(
+        F.max_by("detail", "_place").alias("detail"), *[F.first(c).alias(c) for c in keep]
+    )
+    return last.where(F.col("key").isNotNull()).drop("_object")
 
 
 def fuel_rates(df: DataFrame, text: str, keep: tuple[str, ...] = ()) -> DataFrame:

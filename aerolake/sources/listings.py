@@ -7,9 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Files kept per day, seconds between snapshots, shape of a
-# snapshot file name, how a link is written, and the months whose first day is loaded.
-MAX_FILES = 100
+# Seconds between snapshots, shape of a snapshot file name, how a link is written, and the months whose first day is loaded.
 SNAPSHOT_SECONDS = 5
 FILE_NAME_FORMAT = "HHmmss'Z.json.gz'"
 LINK_PATTERN = r'href="([^\n]*?{suffix})"'
@@ -22,10 +20,10 @@ def index_links(
     html: str = "html",
     *,
     suffix: str = ".gz",
-    limit: int | None = MAX_FILES,
+    limit: int | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Links of each index page that end in ``suffix``, sorted, first ``limit``."""
+    """Links of each index page that end in ``suffix``, sorted; all, or the first ``limit``."""
     pattern = LINK_PATTERN.format(suffix=suffix.replace(".", r"\."))
     links = F.sort_array(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1)))
     if limit is not None:
@@ -34,8 +32,10 @@ def index_links(
     return pages.select(*keep, F.explode_outer(links).alias("link")).where("link IS NOT NULL")
 
 
-def snapshot_names(days: DataFrame, day: str = "day", limit: int = MAX_FILES) -> DataFrame:
-    """Expected snapshot file names of each day, every 5 seconds from midnight."""
+def snapshot_names(days: DataFrame, day: str = "day", limit: int | None = None) -> DataFrame:
+    """Expected snapshot file names of each day, every 5 seconds from midnight:
+    the whole day, or the first ``limit``."""
+    limit = 24 * 60 * 60 // SNAPSHOT_SECONDS if limit is None else limit
     slots = F.explode(F.sequence(F.lit(0), F.lit(limit - 1))) if limit > 0 else F.explode(
         F.array().cast("array<int>")
     )

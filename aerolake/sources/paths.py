@@ -26,3 +26,43 @@ def exists(spark: SparkSession, path: str) -> bool:
     store = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     found = store.globStatus(hadoop_path)
     return found is not None and len(found) > 0
+
+
+def entries(spark: SparkSession, pattern: str) -> list[tuple[str, int, bool]]:
+    """(path, length, is a folder) of all that matches the glob."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    store = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.globStatus(hadoop_path)
+    return [(str(f.getPath()), f.getLen(), f.isDirectory()) for f in found or []]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a layer with all it holds."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def day_files(
+    spark: SparkSession, root: str, days: Iterable[str] | None, partition: str = DAY_COLUMN
+) -> dict[str, set[str]]:
+    """Data files of each wanted day folder, by folder."""
+    top = day_glob(root, days, partition)
+    found: dict[str, set[str]] = {}
+    for path, _, folder in entries(spark, f"{top}/*" if days is not None else f"{top}/{partition}=*/*"):
+        name = path.rsplit("/", 1)[1]
+        if not folder and not name.startswith(("_", ".")):
+            found.setdefault(path.rsplit("/", 1)[0], set()).add(name)
+    return found
+
+
+def empty_files(
+    spark: SparkSession, root: str, days: Iterable[str] | None, name_glob: str | None, partition: str = DAY_COLUMN
+) -> list[tuple[str, str]]:
+    """(path, day) of files without any byte, which Spark's readers pass over."""
+    top = day_glob(root, days, partition)
+    pattern = f"{top}/{name_glob or '*'}" if days is not None else f"{top}/{partition}=*/{name_glob or '*'}"
+    return [
+        (path, path.split(f"/{partition}=", 1)[1].split("/", 1)[0])
+        for path, length, folder in entries(spark, pattern)
+        if not folder and not length and f"/{partition}=" in path and not path.rsplit("/", 1)[1].startswith(("_", "."))
+    ]

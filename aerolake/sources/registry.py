@@ -24,6 +24,13 @@ def scan_registry_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
+def parse_registry_lines(lines: DataFrame, line: str) -> DataFrame:
+    """The same from a column of lines, with the other columns."""
+    parsed = F.from_json(F.col(line), REGISTRY_LINE, {"columnNameOfCorruptRecord": CORRUPT})
+    rest = [c for c in lines.columns if c != line]
+    return lines.select(parsed.alias("parsed"), *rest).select("parsed.*", *rest)
+
+
 def registry_records(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed registry rows of the readable lines, defaults for absent fields."""
     source = {"owner": "ownop"}

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from aerolake.functions import files, numbers, times
 from aerolake.schemas import CORRUPT, SNAPSHOT_DOC, with_partition
-from aerolake.sources.paths import DAY_COLUMN, day_glob, exists
+from aerolake.sources.paths import DAY_COLUMN, day_glob, empty_files, exists
+
 
 def scan_snapshots(
     spark: SparkSession,
@@ -27,25 +28,13 @@ def scan_snapshots(
     name_glob: str | None = None,
     partition: str = DAY_COLUMN,
 ) -> DataFrame:
-    """Read plain ``.json`` and compressed ``.gz`` files by Spark's JSON reader.
+    """Read plain ``.json`` and compressed ``.gz`` files, inflated by Spark by name.
 
     ``days`` (``YYYYMMDD``) restricts the listing to those folders; days without
-    files give no rows.
+    files give no rows. What counts as a document is the same as in
+    `scan_snapshot_bytes`.
     """
-    schema = with_partition(SNAPSHOT_DOC, partition)
-    path = day_glob(root, days, partition)
-    if not exists(spark, path):
-        return _no_documents(spark, schema)
-    reader = (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("basePath", root)
-    )
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.json(path).select("*", F.col("_metadata.file_path").alias("file_path"))
+    return _scan(spark, root, days, name_glob, partition, spark.read.option("wholetext", True).format("text"))
 
 
 def scan_snapshot_bytes(
@@ -57,16 +46,41 @@ def scan_snapshot_bytes(
     partition: str = DAY_COLUMN,
 ) -> DataFrame:
     """Read files whose payload may be JSON or gzip, whatever they are called."""
+    return _scan(spark, root, days, name_glob, partition, spark.read.format("binaryFile"))
+
+
+def _scan(spark, root, days, name_glob, partition, reader) -> DataFrame:
+    """Documents of all files. Those without any byte, which the readers pass over,
+    are taken from the listing as unreadable."""
+    days = None if days is None else list(days)
     path = day_glob(root, days, partition)
     if not exists(spark, path):
         return _no_documents(spark, with_partition(SNAPSHOT_DOC, partition))
-    reader = spark.read.format("binaryFile").option("basePath", root)
+    reader = reader.option("basePath", root)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     raw = reader.load(path)
     day = F.col(partition).cast("string") if partition in raw.columns else F.lit(None).cast("string")
-    texts = raw.select(
-        payload_text("content").alias("text"), day.alias(partition), F.col("path").alias("file_path")
+    text = payload_text("content") if "content" in raw.columns else F.make_valid_utf8("value")
+    texts = raw.select(text.alias("text"), day.alias(partition), F.col("_metadata.file_path").alias("file_path"))
+    empty = empty_files(spark, root, days, name_glob, partition)
+    if empty:
+        missing = spark.createDataFrame([("", d, p) for p, d in empty], texts.schema)
+        texts = texts.unionByName(missing)
+    return parse_documents(texts, "text")
+
+
+def scan_archive(spark: SparkSession, root: str, days: Iterable[str] | None = None) -> DataFrame:
+    """Documents of snapshot files kept by `aerolake.sinks.archive_bytes`: a few
+    Parquet files a day instead of thousands of small ones."""
+    path = day_glob(root, days)
+    if not exists(spark, path):
+        return _no_documents(spark, with_partition(SNAPSHOT_DOC, DAY_COLUMN))
+    kept = spark.read.option("basePath", root).parquet(path)
+    texts = kept.select(
+        payload_text("content").alias("text"),
+        F.col(DAY_COLUMN).cast("string").alias(DAY_COLUMN),
+        F.col("path").alias("file_path"),
     )
     return parse_documents(texts, "text")
 
@@ -110,11 +124,22 @@ def _gunzip_udf():
 gunzip = _gunzip_udf()  # gzip payload to bytes; a damaged one gives null
 
 
+def one_json_value(c: Column) -> Column:
+    """Whether a text holds exactly one JSON value and nothing after it."""
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1, F.lit(False))
+
+
 def parse_documents(df: DataFrame, text: str) -> DataFrame:
-    """Parse a column of snapshot documents; unreadable text is marked corrupt."""
-    parsed = F.from_json(F.col(text), SNAPSHOT_DOC, {"columnNameOfCorruptRecord": CORRUPT})
+    """Parse a column of snapshot documents; unreadable text is marked corrupt.
+
+    A document is one JSON object: lists, several documents, text after the
+    object and a byte-order mark before it are refused.
+    """
+    whole = F.ltrim(F.col(text)).startswith("{") & one_json_value(F.col(text))
     rest = [c for c in df.columns if c != text]
-    docs = df.select(parsed.alias("doc"), F.col(text).isNull().alias("unreadable"), *rest)
+    checked = df.select(F.when(whole, F.col(text)).alias("whole"), *rest)
+    parsed = F.from_json("whole", SNAPSHOT_DOC, {"columnNameOfCorruptRecord": CORRUPT})
+    docs = checked.select(parsed.alias("doc"), F.col("whole").isNull().alias("unreadable"), *rest)
     return docs.select(
         "doc.now",
         "doc.aircraft",
@@ -124,12 +149,18 @@ def parse_documents(df: DataFrame, text: str) -> DataFrame:
 
 
 def lenient_json(c: Column | str) -> Column:
-    """Parse JSON text; if that fails, repair commas and bare keys and retry."""
+    """Parse JSON text; if that fails, repair commas and bare keys and retry.
+
+    Text after the value is refused; of a repeated key the last value stays.
+    """
     c = F.col(c) if isinstance(c, str) else c
     repaired = c
     for pattern, replacement in JSON_REPAIRS:
         repaired = F.regexp_replace(repaired, pattern, replacement)
-    return F.coalesce(F.try_parse_json(c), F.try_parse_json(repaired))
+    return F.coalesce(
+        F.when(one_json_value(c), F.try_parse_json(c)),
+        F.when(one_json_value(repaired), F.try_parse_json(repaired)),
+    )
 
 
 # A comma before a closing bracket, and a property name

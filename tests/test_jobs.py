@@ -186,6 +186,7 @@ def test_pings_job_and_questions(spark, tmp_path):
     stored = pings.read_gold(spark, gold)
     assert rows(stored.drop("_loaded_time", "_file_location")) == before
     assert pings.read_gold(spark, gold, ["2023-12-01"]).count() == 1
+    assert (report.gold.total_records, report.gold.unique_aircraft, report.gold.unique_dates) == (8, 4, 2)
 
     rates = run_fuel(spark, tmp_path)
     assert rows(co2(stored, rates, "a1", "2023-11-01")) == [("a1", "2023-11-01", 0.004167, 0.022125)]
@@ -255,7 +256,7 @@ def test_tsv_text(spark, tmp_path):
     write_tsv(df.coalesce(1), path)
     lines = next(Path(path).glob("part-*")).read_text().splitlines()
     assert sorted(lines) == sorted(
-        ["a\\tb\t\\N\tsay \"hi\"\t{x,y}\t pad ", "\t2\tl1\\nl2\t{}\tz"]
+        ["a\\tb\t\\N\tsay \"hi\"\t{\"x\",\"y\"}\t pad ", "\t2\tl1\\nl2\t{}\tz"]
     )
 
 

@@ -168,7 +168,11 @@ def test_index_page_links(spark):
         f'<a href="{n:03d}Z.json.gz">x</a> <i>' for n in range(150, 0, -1)
     )
     got = listings.index_links(spark.createDataFrame([("d", html)], "day string, html string"), keep=("day",))
-    assert rows(got) == [("d", f"{n:03d}Z.json.gz") for n in range(1, 101)]
+    assert rows(got) == [("d", f"{n:03d}Z.json.gz") for n in range(1, 151)]
+    first = listings.index_links(
+        spark.createDataFrame([("d", html)], "day string, html string"), keep=("day",), limit=100
+    )
+    assert first.count() == 100
 
 
 def test_counting_files_does_not_parse_again(spark, bronze):

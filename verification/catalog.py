@@ -20,7 +20,9 @@ from aerolake.operators import (
     versions,
 )
 from aerolake.operators.lineage import add_lineage
+from aerolake.plans import fuel as fuel_plan
 from aerolake.plans import pings as pings_plan
+from aerolake.plans import prepare as prepare_plan
 from aerolake.plans import registry as registry_plan
 from aerolake.schemas import (
     PING_COLUMNS,
@@ -295,14 +297,23 @@ def normalize_zero(spark, sf_dir):
 
 @query(
     f"""with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL}
-select substr(icao, 1, 6) as icao, coalesce(registration, '') as registration,
+select cut, case when cut then substr(id, 1, 6) else id end as icao,
+       coalesce(registration, '') as registration,
        coalesce(type, '') as type, coalesce(emergency, '') as emergency, count(*) as pings,
        max(coalesce(cast(trunc(try_cast(altitude as double)) as int), 0)) as top_altitude
-from snapshot_rows group by 1, 2, 3, 4"""
+from (select *, case when icao like '~%' then concat(icao, '-tis-b') else icao end as id from snapshot_rows),
+     (values (true), (false)) c(cut)
+group by 1, 2, 3, 4, 5"""
 )
 def gold_conventions(spark, sf_dir):
-    gold = normalize.gold_pings(_flat(spark, sf_dir, "zero_fill"))
-    return gold.groupBy("icao", "registration", "type", "emergency").agg(
+    """Ids of more than six characters, as they are and cut."""
+    silver = _flat(spark, sf_dir, "zero_fill")
+    longer = F.when(F.col("icao").startswith("~"), F.concat("icao", F.lit("-tis-b"))).otherwise(F.col("icao"))
+    silver = silver.withColumn("icao", longer)
+    both = [
+        normalize.gold_pings(silver, truncate_icao=cut).withColumn("cut", F.lit(cut)) for cut in (True, False)
+    ]
+    return both[0].unionByName(both[1]).groupBy("cut", "icao", "registration", "type", "emergency").agg(
         F.count("*").alias("pings"), F.max("alt_baro").alias("top_altitude")
     )
 
@@ -520,7 +531,7 @@ def index_links_first(spark, sf_dir):
 @query(
     """select strftime(day, '%Y%m%d') as source_date,
        strftime(day + to_seconds(slot * 5), '%H%M%SZ.json.gz') as file_name
-from (select distinct date_trunc('day', ts) as day from events), range(100) r(slot)"""
+from (select distinct date_trunc('day', ts) as day from events), range(17280) r(slot)"""
 )
 def snapshot_grid(spark, sf_dir):
     days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()
@@ -792,41 +803,52 @@ def silver_day_scan(spark, sf_dir):
     return days.groupBy("_in_date").agg(F.count("*").alias("pings"))
 
 
+# Texts that text formats stumble over, by the user's number.
+AWKWARD = """case user_id % 8 when 0 then '' when 1 then null when 2 then concat('a', chr(9), 'b')
+    when 3 then concat('l1', chr(10), 'l2') when 4 then concat(chr(92), 'N')
+    when 5 then concat('back', chr(92), 'slash ', chr(92), 't') when 6 then 'say "hi", {x}' else event_type end"""
+
+
+def _awkward(spark, sf_dir):
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id", f"{AWKWARD} AS text", "value", "cast(ts AS timestamp) AS timestamp", "user_id"
+    )
+
+
 @query(
-    f"""with {PINGS_SQL} select icao, coalesce(registration, '') as registration, type,
-       cast(lat as varchar) as lat, cast(alt_baro as varchar) as alt_baro,
-       {iso_sql('"timestamp"')} as "timestamp", emergency from pings"""
+    f"""select cast(event_id as varchar) as icao, coalesce({AWKWARD}, '') as registration,
+       cast(value as varchar) as lat, cast(value as varchar) as lon, '' as alt_baro, '' as ground_speed,
+       {iso_sql('ts')} as "timestamp", '' as type, '' as emergency from events"""
 )
 def csv_roundtrip(spark, sf_dir):
+    """The nine columns come back as given; null as empty text."""
     path = scratch_path(spark, "csv")
-    rows = normalize.normalize(views.pings(spark, sf_dir), "raw")
-    sinks.write_prepared_csv(rows.drop("source_date"), path)
-    return tables.read_prepared_csv(spark, path).select(
-        "icao", "registration", "type", "lat", "alt_baro", "timestamp", "emergency"
+    given = _awkward(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("icao"),
+        F.col("text").alias("registration"),
+        *[F.lit(None).cast("string").alias(c) for c in ("type", "alt_baro", "ground_speed", "emergency")],
+        F.col("value").cast("string").alias("lat"),
+        F.col("value").cast("string").alias("lon"),
+        times.iso_timestamp("timestamp").alias("timestamp"),
     )
+    sinks.write_prepared_csv(given, path)
+    return tables.read_prepared_csv(spark, path)
 
 
 @query(
-    f"""with {PINGS_SQL} select icao, registration, concat(type, '\\t', emergency) as type, alt_baro, lat,
-       {iso_sql('"timestamp"')} as "timestamp", concat('{{', icao, ',', type, '}}') as parts from pings"""
+    f"""select event_id, {AWKWARD} as text, value, user_id,
+       {iso_sql('ts')} as "timestamp", 2 as n,
+       concat_ws('|', coalesce({AWKWARD}, 'none'), cast(user_id as varchar)) as parts
+from events"""
 )
 def tsv_roundtrip(spark, sf_dir):
+    """Texts and arrays of texts come back as given."""
     path = scratch_path(spark, "tsv")
-    rows = views.pings(spark, sf_dir).select(
-        "icao",
-        "registration",
-        F.concat_ws("\t", "type", "emergency").alias("type"),
-        "alt_baro",
-        "lat",
-        "timestamp",
-        F.array("icao", "type").alias("parts"),
-    )
-    sinks.write_tsv(rows, path)
-    schema = struct(
-        "icao string, registration string, type string, alt_baro int, lat double,"
-        " timestamp timestamp, parts string"
-    )
-    return iso(tables.read_tsv(spark, path, schema), "timestamp")
+    given = _awkward(spark, sf_dir).withColumn("parts", F.array("text", F.col("user_id").cast("string")))
+    sinks.write_tsv(given, path)
+    back = tables.read_tsv(spark, path, given.schema)
+    shown = F.array_join("parts", "|", "none")
+    return iso(back.withColumn("n", F.size("parts")).withColumn("parts", shown), "timestamp")
 
 
 @query(
@@ -943,3 +965,175 @@ def parquet_row_count(spark, sf_dir):
     views.configure(spark)
     return tables.count_rows(spark, f"{sf_dir}/events.parquet")
 
+
+
+# --- jobs from landed files ----------------------------------------------------------------
+
+LANDED_SQL = """landed as (
+  select e.*, strftime(ts, '%Y%m%d') as day, user_id % 8 as slot,
+         min(ts) over (partition by strftime(ts, '%Y%m%d'), user_id % 8) as now from events e)"""
+
+
+def _landed(spark, sf_dir, label):
+    """A snapshot file for each day and eighth of the users: plain, gzip, cut off
+    (slot 7) and with text after the document (slot 6)."""
+    root = f"{scratch_path(spark, label)}/bronze"
+    entry = F.struct(
+        F.expr("lpad(lower(hex(user_id)), 6, '0')").alias("hex"),
+        F.expr("if(user_id % 7 = 0, null, concat('N', user_id))").alias("r"),
+        F.col("event_type").alias("t"),
+        F.col("value").alias("lat"),
+        (F.col("value") / 2).alias("lon"),
+        F.expr("cast(get_json_object(props, '$.k') AS int) * 100").alias("alt_baro"),
+        F.col("value").alias("gs"),
+        F.expr("if(event_type = 'error', 'general', 'none')").alias("emergency"),
+    )
+    docs = (
+        table(spark, sf_dir, "events")
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+        .groupBy(F.date_format("ts", "yyyyMMdd").alias("_in_date"), (F.col("user_id") % 8).alias("slot"))
+        .agg(F.min("ts").alias("at"), F.collect_list(entry).alias("aircraft"))
+        .withColumn("text", F.to_json(F.struct((F.unix_micros("at") / 1e6).alias("now"), "aircraft")))
+    )
+    text = (
+        F.when(F.col("slot") == 7, F.expr("substr(text, 1, length(text) - 3)"))
+        .when(F.col("slot") == 6, F.concat("text", F.lit(" more")))
+        .otherwise(F.col("text"))
+    )
+    files_df = docs.select(text.alias("value"), "_in_date", "slot")
+    for packed, compression in ((0, "none"), (1, "gzip")):
+        files_df.where(F.col("slot") % 2 == packed).write.mode("append").option(
+            "compression", compression
+        ).partitionBy("_in_date", "slot").text(root)
+    return root
+
+
+LANDED_ROWS = f"""lpad(lower(hex(user_id)), 6, '0') as icao,
+       case when user_id % 7 = 0 then '' else concat('N', user_id) end as registration, event_type as type,
+       value as lat, value / 2 as lon, cast(json_extract_string(props, '$.k') as int) * 100 as alt_baro,
+       {iso_sql('now')} as "timestamp", value as ground_speed,
+       case when event_type = 'error' then 'general' else 'none' end as emergency"""
+
+
+@query(
+    f"""with {LANDED_SQL} select {LANDED_ROWS}, day as source_date, 'bronze,silver,gold' as systems
+from landed where slot < 6"""
+)
+def snapshot_job(spark, sf_dir):
+    """Files to gold, twice; the second run replaces the days with the same."""
+    bronze = _landed(spark, sf_dir, "snapshot-job")
+    silver, gold = bronze.replace("bronze", "silver"), bronze.replace("bronze", "gold")
+    for any_payload in (True, False):
+        pings_plan.run_pings(spark, bronze, silver, gold, any_payload=any_payload)
+    stored = pings_plan.read_gold(spark, gold)
+    return iso(
+        stored.select(*PING_COLUMNS, "source_date", F.array_join("_systems_passed", ",").alias("systems")),
+        "timestamp",
+    )
+
+
+@query(
+    f"""with {LANDED_SQL}, docs as (select day, slot, count(*) as n from landed group by day, slot)
+select count(*) filter (slot < 6) as files_ok, count(*) filter (slot >= 6) as files_failed,
+       (select count(*) from landed where slot < 6) as total_records,
+       (select count(distinct user_id) from landed where slot < 6) as unique_aircraft,
+       (select count(distinct day) from landed where slot < 6) as unique_dates from docs"""
+)
+def snapshot_job_report(spark, sf_dir):
+    bronze = _landed(spark, sf_dir, "snapshot-report")
+    report = pings_plan.run_pings(
+        spark, bronze, bronze.replace("bronze", "silver"), bronze.replace("bronze", "gold")
+    )
+    gold = report.gold
+    row = (report.files_ok, report.files_failed, gold.total_records, gold.unique_aircraft, gold.unique_dates)
+    return spark.createDataFrame(
+        [row],
+        struct("files_ok bigint, files_failed bigint, total_records bigint, unique_aircraft bigint, unique_dates bigint"),
+    )
+
+
+@query(f"with {LANDED_SQL} select {LANDED_ROWS}, day as _in_date from landed where slot < 6")
+def bronze_to_silver_archive(spark, sf_dir):
+    """Files kept as bytes in Parquet, and documents read from there."""
+    bronze = _landed(spark, sf_dir, "archive-job")
+    archive = bronze.replace("bronze", "archive")
+    sinks.archive_bytes(versions.scan_files(spark, bronze), archive)
+    flat = snapshots.flatten(snapshots.scan_archive(spark, archive), keep=("_in_date",))
+    typed = normalize.normalize(flat, "zero_fill")
+    filled = text.null_to_default(typed, {"registration": ""})
+    return iso(filled.withColumn("alt_baro", F.col("alt_baro").cast("int")), "timestamp")
+
+
+@query(f"with {SCD_SQL} select {SHOWN} from merged")
+def registry_job(spark, sf_dir):
+    """Three deliveries of compressed JSON Lines through landing, silver and
+    history, the last one twice: a load without changes adds nothing."""
+    root = scratch_path(spark, "registry-job")
+    first = views.registry_history(spark, sf_dir)
+    deliveries = (
+        (first.where("NOT is_current"), "2023-10-01", views.EARLIEST),
+        (first.where("is_current"), "2023-11-01", views.EARLIER),
+        (views.registry_load(spark, sf_dir), "2024-02-01", LOADED_AT),
+        (views.registry_load(spark, sf_dir), "2024-02-01", "2024-02-02 06:00:00"),
+    )
+    for number, (rows, day, at) in enumerate(deliveries):
+        fields = [F.col(c).alias("ownop" if c == "owner" else c) for c in history.FIELDS]
+        lines = rows.select(F.to_json(F.struct(*fields)).alias("value"))
+        lines.write.option("compression", "gzip").text(f"{root}/in/{number}")
+        registry_plan.land(spark, f"{root}/in/{number}", f"{root}/bronze", day)
+        path = registry_plan.landed_to_silver(spark, f"{root}/bronze", f"{root}/silver", day)
+        registry_plan.to_gold(spark, path, f"{root}/gold", day, datetime.fromisoformat(f"{at}+00:00"))
+    stored = registry_plan.read_history(spark, f"{root}/gold").select(*history.HISTORY_FIELDS)
+    return iso(stored, "valid_from", "valid_to")
+
+
+@query(
+    """select p_name as aircraft_type, max(p_brand) as name, max(cast(p_size as double)) as galph
+from part group by p_name"""
+)
+def fuel_job(spark, sf_dir):
+    """A landed JSON object through silver to gold; a repeated key keeps its last."""
+    root = scratch_path(spark, "fuel-job")
+    part = table(spark, sf_dir, "part").groupBy("p_name").agg(
+        F.max("p_brand").alias("name"), F.max("p_size").alias("galph")
+    )
+    part.select(
+        F.concat(
+            F.lit('{"'), "p_name", F.lit('":{"galph":0},"'), "p_name", F.lit('":'),
+            F.to_json(F.struct("name", "galph")), F.lit("}"),
+        ).alias("value")
+    ).write.option("maxRecordsPerFile", 1).text(f"{root}/fuel")
+    fuel_plan.run_fuel(spark, f"{root}/fuel", f"{root}/silver", f"{root}/gold")
+    return fuel_plan.read_gold(spark, f"{root}/gold").select("aircraft_type", "name", "galph")
+
+
+@query(f"with {PINGS_SQL} select icao, type, count(*) as pings from pings group by icao, type")
+def table_refresh_twice(spark, sf_dir):
+    """A table folder that held other rows holds only the new ones."""
+    path = scratch_path(spark, "refresh")
+    rows = views.pings(spark, sf_dir)
+    sinks.write_refresh(rows.withColumn("type", F.upper("type")), path)
+    sinks.write_refresh(rows, path)
+    return spark.read.parquet(path).groupBy("icao", "type").agg(F.count("*").alias("pings"))
+
+
+@query(
+    f"""with {LANDED_SQL}, first_day as (select min(day) as d from landed)
+select {LANDED_ROWS.replace("case when user_id % 7 = 0 then '' else", "case when user_id % 7 = 0 then null else")}
+from landed, first_day where slot < 6 and day = d"""
+)
+def prepare_table(spark, sf_dir):
+    """One raw day to the typed table, by either reader."""
+    raw = _landed(spark, sf_dir, "prepare-table")
+    day = table(spark, sf_dir, "events").agg(F.date_format(F.min("ts"), "yyyy-MM-dd")).first()[0]
+    root = raw.replace("bronze", "table")
+    prepared = prepare_plan.read_day(spark, raw, day, partition="_in_date")
+    sinks.write_refresh(normalize.typed_table(prepared).select(*PING_COLUMNS), root)
+    return iso(spark.read.parquet(root), "timestamp")
+
+
+@query("select cast(1 as bigint) as found from (select count(*) as n from customer) where n > 0")
+def found_check(spark, sf_dir):
+    """A known aircraft passes the check for being there."""
+    known = filters.current_only(views.registry_history(spark, sf_dir))
+    return filters.require_rows(known, "any aircraft").agg((F.count("*") > 0).cast("bigint").alias("found"))
