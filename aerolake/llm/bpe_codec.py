@@ -10,17 +10,19 @@ each block, so no key is hot, and text itself is never shuffled.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.llm.bpe import merger, pre_tokens, ranks_of
-from aerolake.llm.common import parts, stored
+from aerolake.llm.common import parts, scratch
 
 #: Pre-tokens after which a block is closed; a document is never divided.
 BLOCK_PIECES = 1_500_000
@@ -37,17 +39,39 @@ class _Numbers(dict):
 
 def _pack(words: list[bytes]) -> bytes:
     sizes = np.fromiter(map(len, words), "<u4", len(words))
-    return zlib.compress(np.uint32(len(words)).tobytes() + sizes.tobytes() + b"".join(words), 1)
+    return zstandard.compress(np.uint32(len(words)).tobytes() + sizes.tobytes() + b"".join(words), 1)
 
 
 def _unpack(pack: bytes) -> list[bytes]:
-    raw = zlib.decompress(pack)
+    raw = zstandard.decompress(pack)
     n = int(np.frombuffer(raw, "<u4", 1)[0])
     ends = np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64) + 4 + 4 * n
     starts = np.concatenate(([4 + 4 * n], ends[:-1])) if n else ends
     return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
+#: Ranks below the first take one byte, below the second two, others five.
+_ONE, _TWO = 192, 192 + 63 * 256
+
+
+def _write_ranks(ranks: np.ndarray) -> bytes:
+    """Numbers, mostly small, as streams of first, second and further bytes."""
+    two, more = (ranks >= _ONE) & (ranks < _TWO), ranks >= _TWO
+    first = np.where(two, _ONE + (ranks - _ONE >> 8), np.where(more, 255, ranks)).astype(np.uint8)
+    second = (ranks[two] - _ONE & 255).astype(np.uint8)
+    rest = ranks[more].astype("<u4")
+    return np.array([len(ranks), len(second)], "<u8").tobytes() + first.tobytes() + second.tobytes() + rest.tobytes()
+
+
+def _read_ranks(raw: bytes) -> np.ndarray:
+    n, m = (int(x) for x in np.frombuffer(raw, "<u8", 2))
+    ranks = np.frombuffer(raw, np.uint8, n, 16).astype(np.int64)
+    two, more = (ranks >= _ONE) & (ranks < 255), ranks == 255
+    ranks[two] = (ranks[two] - _ONE << 8) + np.frombuffer(raw, np.uint8, m, 16 + n) + _ONE
+    ranks[more] = np.frombuffer(raw[16 + n + m :], "<u4")
+    return ranks
+
+
 def spread(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """values[starts[i] : starts[i] + sizes[i]] for all i, one after the other."""
     ends = np.cumsum(sizes)
@@ -59,8 +83,13 @@ def _blocks(buckets: int):
     """Cut the documents of a task into blocks; rows of kind "words" and "places"."""
 
     def close(block: int, numbers: _Numbers, places: list, heads: list) -> pa.RecordBatch:
-        words = [w.encode() for w in numbers]
-        at = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+        line = np.concatenate(places) if places else np.zeros(0, np.uint32)
+        names = list(numbers)
+        by_use = np.argsort(-np.bincount(line, minlength=len(names)), kind="stable")
+        rank = np.empty(len(names), np.int64)
+        rank[by_use] = np.arange(len(names))
+        words = [names[i].encode() for i in by_use]
+        at = np.fromiter((zlib.crc32(w) % buckets for w in words), "<u4", len(words))
         order = np.argsort(at, kind="stable")  # within a pack words keep their order
         bounds = np.searchsorted(at[order], np.arange(buckets + 1))
         packs = []
@@ -68,16 +97,12 @@ def _blocks(buckets: int):
             if bounds[k] < bounds[k + 1]:
                 packs.append((k, _pack([words[i] for i in order[bounds[k] : bounds[k + 1]]])))
         head = np.array(heads, _HEAD).tobytes()
-        line = np.concatenate(places) if places else np.zeros(0, np.uint32)
-        number = np.empty(len(words), np.uint32)  # place of a word in the packs' order
-        number[order] = np.arange(len(words), dtype=np.uint32)
-        body = number[line].astype("<u4").tobytes()
-        payload = np.uint64(len(head)).tobytes() + head + body
+        payload = np.array([len(head), len(at)], "<u8").tobytes() + head + at.tobytes() + _write_ranks(rank[line])
         return pa.RecordBatch.from_pydict(
             {
                 "block": pa.array([block] * (1 + len(packs)), pa.int64()),
                 "bucket": pa.array([-1, *(k for k, _ in packs)], pa.int32()),
-                "payload": pa.array([zlib.compress(payload, 1), *(p for _, p in packs)], pa.binary()),
+                "payload": pa.array([zstandard.compress(payload, 1), *(p for _, p in packs)], pa.binary()),
             }
         )
 
@@ -128,26 +153,27 @@ def _encode_words(path: str):
     return run
 
 
-def _reassemble(rows: pa.Table) -> pa.Table:
+def _reassemble(own: pa.Table, encoded: pa.Table) -> pa.Table:
     """Ids of the documents of one block."""
-    # each pack as an array of its own: together they can pass 2 GB
-    by = sorted(zip(rows["bucket"].to_pylist(), rows["payload"].to_pylist(), strict=True))
     sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, "<u4")]
-    for _, pack in by[1:]:
-        raw = zlib.decompress(pack)
+    for _, pack in sorted(zip(encoded["bucket"].to_pylist(), encoded["payload"].to_pylist(), strict=True)):
+        raw = zstandard.decompress(pack)
         n = int(np.frombuffer(raw, "<u4", 1)[0])
         sizes.append(np.frombuffer(raw, "<u4", n, 4).astype(np.int64) // 4)
         ids.append(np.frombuffer(raw, "<u4", -1, 4 + 4 * n))
     sizes, ids = np.concatenate(sizes), np.concatenate(ids)
     starts = np.cumsum(sizes) - sizes
-    raw = zlib.decompress(by[0][1])
-    head_size = int(np.frombuffer(raw, "<u8", 1)[0])
-    heads = np.frombuffer(raw[8 : 8 + head_size], _HEAD)
-    line = np.frombuffer(raw, "<u4", -1, 8 + head_size)
+    raw = zstandard.decompress(own["payload"][0].as_py())
+    head_size, words = (int(x) for x in np.frombuffer(raw, "<u8", 2))
+    heads = np.frombuffer(raw[16 : 16 + head_size], _HEAD)
+    at = np.frombuffer(raw, "<u4", words, 16 + head_size)
+    place = np.empty(words, np.int64)  # of each word, in the order of the packs
+    place[np.argsort(at, kind="stable")] = np.arange(words)
+    line = place[_read_ranks(raw[16 + head_size + 4 * words :])]
     out, at = [], 0
     for n in heads["pieces"].tolist():
-        own = line[at : at + n]
-        out.append(spread(ids, starts[own], sizes[own]).tobytes())
+        pieces = line[at : at + n]
+        out.append(spread(ids, starts[pieces], sizes[pieces]).tobytes())
         at += n
     return pa.table(
         {
@@ -168,7 +194,15 @@ def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
     buckets = parts(spark)
     schema = "block long, bucket int, payload binary"
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cut = stored(own.mapInArrow(_blocks(buckets), schema), "bpe-blocks")
+    name = f"bpe_blocks_{uuid.uuid4().hex}"
+    (
+        own.mapInArrow(_blocks(buckets), schema)
+        .write.option("path", scratch(spark, "bpe-blocks"))
+        .option("compression", "zstd")
+        .bucketBy(buckets, "block")
+        .saveAsTable(name)
+    )
+    cut = spark.table(name)
     words = (
         cut.where("bucket >= 0")
         .repartition(buckets, "bucket")
@@ -176,8 +210,8 @@ def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
     )
     return (
         cut.where("bucket < 0")
-        .unionByName(words)
         .groupBy("block")
+        .cogroup(words.groupBy("block"))
         .applyInArrow(_reassemble, "doc_id long, n_tokens long, ids binary")
     )
 
