@@ -8,18 +8,24 @@ from __future__ import annotations
 import gzip
 import json
 import os
+import statistics
 import sys
-import tempfile
 import time
 from pathlib import Path
+from urllib.parse import urlparse
 
 import pyarrow.parquet as pq
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from aerolake import sinks  # noqa: E402
+from aerolake.operators import emissions, fleet  # noqa: E402
 from aerolake.plans import pings, prepare  # noqa: E402
-from aerolake.session import configure  # noqa: E402
+from aerolake.schemas import PINGS_TYPED  # noqa: E402
+from aerolake.session import configure, scratch_path  # noqa: E402
+from aerolake.sources import tables  # noqa: E402
+from verification import views  # noqa: E402
 from verification.catalog import QUERIES  # noqa: E402
 
 SNAPSHOT_FILES = 1000
@@ -80,7 +86,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    root = landed_snapshots(sf_dir, Path(tempfile.mkdtemp(prefix="aerolake-bench-")))
+    root = landed_snapshots(sf_dir, Path(urlparse(scratch_path(spark, "bench")).path))
 
     def registered(name, folder=sf_dir):
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
@@ -109,6 +115,24 @@ def main() -> None:
             spark, f"{root}/_in_date", f"{root}/silver", f"{root}/gold", ["2024-01-01"]
         ),
     )
+    # one aircraft from the gold layer, sorted by id, and list pages called again and again
+    gold = f"{root}/events-gold"
+    sinks.write_layer(views.pings(spark, sf_dir), gold, partition="source_date")
+    seen = tables.read_layer(spark, gold, PINGS_TYPED, partition="source_date")
+    timed("stats_one_aircraft_gold", lambda: fleet.stats(seen, "000008").collect())
+    timed(
+        "co2_one_aircraft_day_gold",
+        lambda: emissions.co2(seen, views.fuel(spark), "000008", "2024-01-01").collect(),
+    )
+    spread = {}
+    for name in ("list_distinct_page", "list_enriched_page"):
+        calls = []
+        for _ in range(5):
+            start = time.perf_counter()
+            QUERIES[name](spark, sf_dir).collect()
+            calls.append(time.perf_counter() - start)
+        seconds[f"{name}_5_calls"] = round(sum(calls), 3)
+        spread[name] = round(statistics.pstdev(calls), 3)
     spark.stop()
     print(
         json.dumps(
@@ -119,6 +143,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": Path(sf_dir).name.removeprefix("sf"),
                 "snapshot_files": SNAPSHOT_FILES,
+                "spread_of_5_calls": spread,
             }
         )
     )
