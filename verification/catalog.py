@@ -249,50 +249,46 @@ def _flat(spark, sf_dir, profile):
     return normalize.normalize(flat, profile)
 
 
-@query(
-    f"""with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL}
-select icao, registration, type, {iso_sql('"time"')} as "timestamp", emergency
-from snapshot_rows"""
-)
+FOUND = f"""icao, registration, type, lat, cast(null as double) as lon, altitude as alt_baro,
+       {iso_sql('"time"')} as "timestamp", gs as ground_speed, emergency"""
+
+
+@query(f"with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL} select {FOUND} from snapshot_rows")
 def flatten_snapshots(spark, sf_dir):
     flat = snapshots.flatten(_documents(spark, sf_dir), keep=())
-    return iso(flat.drop("lat", "lon", "alt_baro", "ground_speed"), "timestamp")
+    numbers_of = {c: F.col(c).try_cast("double") for c in ("lat", "lon", "ground_speed")}
+    return iso(flat.withColumns(numbers_of).withColumn("alt_baro", _token_text("alt_baro")), "timestamp")
 
 
-@query(
-    f"""with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL}
-select icao, type, altitude as alt_baro, {iso_sql('"time"')} as "timestamp" from snapshot_rows"""
-)
+def _token_text(column):
+    return F.trim(F.col(column).cast("string"), F.lit('"'))
+
+
+@query(f"with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL} select {FOUND} from snapshot_rows")
 def normalize_raw(spark, sf_dir):
-    return _flat(spark, sf_dir, "raw").select("icao", "type", "alt_baro", "timestamp")
+    raw = _flat(spark, sf_dir, "raw").select(*PING_COLUMNS)
+    return raw.withColumns({c: F.col(c).try_cast("double") for c in ("lat", "lon", "ground_speed")})
 
 
 @query(
     f"""with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL}
-select icao, type, lat, cast(null as double) as lon,
+select icao, registration, type, emergency, lat, cast(null as double) as lon,
        cast(trunc(try_cast(altitude as double)) as int) as alt_baro,
        gs as ground_speed, {iso_sql('"time"')} as "timestamp"
 from snapshot_rows"""
 )
 def normalize_int(spark, sf_dir):
-    rows = _flat(spark, sf_dir, "int_or_null")
-    return iso(
-        rows.select("icao", "type", "lat", "lon", "alt_baro", "ground_speed", "timestamp"), "timestamp"
-    )
+    return iso(_flat(spark, sf_dir, "int_or_null").select(*PING_COLUMNS), "timestamp")
 
 
-@query(
-    f"""with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL}
-select icao, type, coalesce(lat, 0) as lat, cast(0 as double) as lon,
+ZERO_FILLED = f"""icao, registration, type, emergency, coalesce(lat, 0) as lat, cast(0 as double) as lon,
        coalesce(cast(trunc(try_cast(altitude as double)) as bigint), 0) as alt_baro,
-       coalesce(gs, 0) as ground_speed, {iso_sql('"time"')} as "timestamp"
-from snapshot_rows"""
-)
+       coalesce(gs, 0) as ground_speed, {iso_sql('"time"')} as "timestamp\""""
+
+
+@query(f"with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL} select {ZERO_FILLED} from snapshot_rows")
 def normalize_zero(spark, sf_dir):
-    rows = _flat(spark, sf_dir, "zero_fill")
-    return iso(
-        rows.select("icao", "type", "lat", "lon", "alt_baro", "ground_speed", "timestamp"), "timestamp"
-    )
+    return iso(_flat(spark, sf_dir, "zero_fill").select(*PING_COLUMNS), "timestamp")
 
 
 @query(
@@ -334,18 +330,14 @@ def file_outcome_totals(spark, sf_dir):
     return quality.outcome_totals(quality.file_outcomes(_documents(spark, sf_dir)))
 
 
-@query(
-    f"""with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL}
-select file_path, icao, type, coalesce(cast(trunc(try_cast(altitude as double)) as bigint), 0) as alt_baro,
-       {iso_sql('"time"')} as "timestamp" from snapshot_rows"""
-)
+@query(f"with {READABLE_SQL}, {SNAPSHOT_ROWS_SQL} select file_path, {ZERO_FILLED} from snapshot_rows")
 def gzip_fallback(spark, sf_dir):
     """Landed bytes that may be JSON or gzip, down to typed pings."""
     payloads = views.snapshot_payloads(spark, sf_dir)
     texts = payloads.select("file_path", snapshots.payload_text("content").alias("text"))
     flat = snapshots.flatten(snapshots.parse_documents(texts, "text"), keep=("file_path",))
     typed = normalize.normalize(flat, "zero_fill")
-    return iso(typed.select("file_path", "icao", "type", "alt_baro", "timestamp"), "timestamp")
+    return iso(typed.select("file_path", *PING_COLUMNS), "timestamp")
 
 
 @query(
@@ -512,13 +504,16 @@ def time_or_floor(spark, sf_dir):
 
 # --- listings ------------------------------------------------------------------------
 
-LINKS_SQL = """select page_id, unnest(list_sort(regexp_extract_all(html, 'href="(.*?)"', 1))) as link from pages"""
+LINKS_SQL = """select page_id,
+       unnest(list_sort(list_transform(regexp_extract_all(html, 'href="(.*?)"', 1), lambda x: concat(x, '.gz')))) as link
+from pages"""
 
 
 @query(LINKS_SQL)
 def index_links(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
-    return listings.index_links(pages, suffix="", limit=None, keep=("page_id",))
+    """Every link, each made one to a compressed file."""
+    zipped = F.regexp_replace("html", r'href="([^\n]*?)"', 'href="$1.gz"')
+    return listings.index_links(table(spark, sf_dir, "pages").withColumn("html", zipped), keep=("page_id",))
 
 
 @query(
