@@ -369,11 +369,13 @@ def dedup(docs: DataFrame, length: int = LENGTH, untouched: bool = False) -> Dat
     docs = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "text"))
     own = docs.where("doc_id is not null").select(F.col("_key").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     runs = stored(_find_runs(own, length), "runs")
-    shared = (
+    # written, so that the join's sides are plain shuffles and a hot anchor can be split
+    shared = stored(
         runs.groupBy("anchor")
         .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
         .where("a < b")
-        .select("anchor")
+        .select("anchor"),
+        "shared-anchors",
     )
     runs = stored(runs.join(shared, "anchor"), "shared-runs")
     segments = runs.groupBy("anchor", "content").agg(
@@ -393,7 +395,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, untouched: bool = False) -> Dat
         .groupBy("shard")
         .applyInArrow(_search(length), "anchor long, content long, mask long")
     )
-    known = segments.select("anchor", "content", "least").join(masks, ["anchor", "content"])
+    known = stored(segments.select("anchor", "content", "least").join(masks, ["anchor", "content"]), "masks")
     # all windows of a segment that an earlier document has whole
     every = F.expr("shiftleft(1L, last - first + 1) - 1")
     spans = (
