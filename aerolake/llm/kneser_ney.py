@@ -549,32 +549,38 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     hot = np.sort(np.array(list(model.hot), np.uint64))
 
     def run(rows: pa.Table) -> pa.Table:
-        lookup, tables = _Lookup(model, rows["shard"][0].as_py()), []
-        for flush, value in zip(rows["flush"].to_pylist(), rows["pack"], strict=True):
+        lookup, sums = _Lookup(model, rows["shard"][0].as_py()), []
+        for value in rows["pack"]:
             place, tokens, known, base, own = lookup.score(value.as_py())
-            tables.append(
-                pa.table(
-                    {
-                        "flush": pa.array([flush] * len(place), pa.int64()),
-                        "place": pa.array(place, pa.int64()),
-                        "n_tokens": pa.array(tokens, pa.int64()),
-                        "n_known": pa.array(known, pa.int64()),
-                        "base_score": pa.array(base, pa.float64()),
-                        "score": pa.array(own, pa.float64()),
-                    }
-                )
-            )
-        return pa.concat_tables(tables)
+            sums.append(freeze(place=_narrow(place), tokens=_narrow(tokens), known=_narrow(known), base=base, own=own))
+        return pa.table({"flush": rows["flush"], "pack": pa.array(sums, pa.binary())})
+
+    def add(rows: pa.Table) -> pa.Table:
+        packs = [thaw(v.as_py()) for v in rows["pack"]]
+        place = np.concatenate([p["place"] for p in packs]).astype(np.int64)
+        n = int(place.max()) + 1
+        total = {c: np.bincount(place, np.concatenate([p[c] for p in packs]), minlength=n) for c in ("tokens", "known", "base", "own")}
+        at = np.flatnonzero(total["tokens"])
+        return pa.table(
+            {
+                "flush": pa.array([rows["flush"][0].as_py()] * len(at), pa.int64()),
+                "place": pa.array(at, pa.int64()),
+                "n_tokens": pa.array(total["tokens"][at].astype(np.int64), pa.int64()),
+                "n_known": pa.array(total["known"][at].astype(np.int64), pa.int64()),
+                "base_score": pa.array(total["base"][at], pa.float64()),
+                "score": pa.array(total["own"][at], pa.float64()),
+            }
+        )
 
     sums = (
         texts.select("text")
         .mapInArrow(_deal(shards, hot, False), "shard int, flush long, pack binary")
         .groupBy("shard")
+        .applyInArrow(run, "flush long, pack binary")
+        .groupBy("flush")
         .applyInArrow(
-            run, "flush long, place long, n_tokens long, n_known long, base_score double, score double"
+            add, "flush long, place long, n_tokens long, n_known long, base_score double, score double"
         )
-        .groupBy("flush", "place")
-        .agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
     )
     numbered = texts.select("text", "doc_id", "held_out").mapInArrow(
         _number, "flush long, place long, doc_id long, held_out boolean"
