@@ -8,6 +8,8 @@ by set length: it cannot exceed the ratio of the lengths.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,38 +29,55 @@ SKIPPED = 20
 #: Below this ratio of set lengths two texts count as unlike.
 LENGTH_RATIO = 0.05
 
-_A = "(?:" + "|".join(sorted(ANCHORS, key=len, reverse=True)) + ")"
-_SKIP = f"(?: {_A}(?= )){{0,{SKIPPED}}}+"
-_SIGNATURE = f" (?=({_A}(?:{_SKIP} [^ ]+){{{CHAIN}}}) )"
+# In marked texts an anchor begins with this character, which no word has.
+_MARK = "\\x01"
+_SKIP = f"(?: {_MARK}[^ ]+){{0,{SKIPPED}}}+"
+_SIGNATURE = f" (?=({_MARK}[^ ]+(?:{_SKIP} [^ ]+){{{CHAIN}}}) )"
 _ANY_CHAIN = " (?=([^ ]+(?: [^ ]+){" + str(CHAIN) + "}) )"
 
 
-def signatures(text: Column) -> Column:
-    """Sorted distinct hashes of a text's signatures.
+def _marked(text: Column) -> Column:
+    """The text's words in lower case with a space around each, anchors marked."""
+    words = F.split(F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " ")), " ")
+    marked = F.transform(words, lambda w: F.when(w.isin(ANCHORS), F.concat(F.lit("\x01"), w)).otherwise(w))
+    return F.concat(F.lit(" "), F.array_join(marked, " "), F.lit(" "))
+
+
+def _hashes(found: Column) -> Column:
+    return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.crc32(s.cast("binary")))))
+
+
+def with_signatures(df: DataFrame, texts: dict[str, str]) -> DataFrame:
+    """Add, for each text column (new name: text), the sorted distinct hashes of
+    its signatures.
 
     Texts with no anchor before content words give all chains of three words, and
     those of fewer words the whole text; null and empty texts give an empty set.
+    What a step uses twice is a column of the step before, so it is computed once.
     """
-    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " ")), F.lit(" "))
-    spots = F.transform(
-        F.regexp_extract_all(words, F.lit(_SIGNATURE), F.lit(1)),
-        lambda s: F.crc32(F.regexp_replace(s, f" (?:{_A} )+", " ").cast("binary")),
-    )
-    chains = F.transform(
-        F.regexp_extract_all(words, F.lit(_ANY_CHAIN), F.lit(1)), lambda s: F.crc32(s.cast("binary"))
+    marked = df.withColumns({f"_m_{n}": _marked(F.coalesce(F.col(t), F.lit(""))) for n, t in texts.items()})
+    spots = marked.withColumns(
+        {f"_s_{n}": F.regexp_extract_all(f"_m_{n}", F.lit(_SIGNATURE), F.lit(1)) for n in texts}
     )
-    found = (
-        F.when(F.length(words) <= 2, F.array().cast("array<bigint>"))
-        .when(F.regexp_like(words, F.lit(_SIGNATURE)), spots)
-        .when(F.regexp_like(words, F.lit(_ANY_CHAIN)), chains)
-        .otherwise(F.array(F.crc32(words.cast("binary"))))
+
+    def chosen(n: str) -> Column:
+        words, found = F.col(f"_m_{n}"), F.col(f"_s_{n}")
+        chains = F.regexp_extract_all(words, F.lit(_ANY_CHAIN), F.lit(1))
+        return (
+            F.when(F.size(found) > 0, F.transform(found, lambda s: F.regexp_replace(s, f" (?:{_MARK}[^ ]+ )+", " ")))
+            .when(F.length(words) <= 2, F.array().cast("array<string>"))
+            .when(F.regexp_like(words, F.lit(_ANY_CHAIN)), chains)
+            .otherwise(F.array(words))
+        )
+
+    return spots.withColumns({n: _hashes(chosen(n)) for n in texts}).drop(
+        *(f"_{kind}_{n}" for kind in "ms" for n in texts)
     )
-    return F.coalesce(F.array_sort(F.array_distinct(found)), F.array().cast("array<bigint>"))
 
 
 def fingerprint(found: Column) -> Column:
-    """The set as text, eight hex digits a signature."""
-    return F.array_join(F.transform(found, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
+    """The set as text, nine hex digits a signature, the first always 1."""
+    return F.array_join(F.transform(found, lambda x: F.hex(x + 2**32)), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -73,27 +92,40 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def _followers(keys: DataFrame) -> DataFrame:
-    """key, next_key: the next distinct (doc_id, key), the first after the last."""
-    spark = keys.sparkSession
-    ordered = stored(
-        keys.distinct()
-        .repartitionByRange(parts(spark), "doc_id", "key")
-        .withColumn("part", F.spark_partition_id()),
-        "ordered-keys",
+def _block(bounds: list[int]) -> Column:
+    """How many of the sorted bounds are not above doc_id, in two steps of about
+    the root of their number."""
+    each = max(1, math.isqrt(len(bounds)))
+    coarse, fine = F.lit(bounds[each - 1 :: each]), F.lit(bounds)
+    below = F.size(F.filter(coarse, lambda x: x <= F.col("doc_id"))) * each
+    return below + F.size(F.filter(F.slice(fine, below + 1, each), lambda x: x <= F.col("doc_id")))
+
+
+def _with_next(own: DataFrame) -> DataFrame:
+    """Add the next document's text. Documents are dealt to blocks of consecutive
+    doc_ids, and each block also gets the first document of the one after it, so
+    texts are shuffled once."""
+    count = parts(own.sparkSession)
+    steps = F.lit([i / count for i in range(1, count)] or [0.5])
+    # one number for each partition
+    bounds = own.agg(F.percentile_approx("doc_id", steps, F.lit(100_000))).first()[0] or [0]
+    blocks = own.withColumn("block", _block(sorted(set(bounds)))).withColumn("guest", F.lit(False))
+    order = F.struct("doc_id", F.xxhash64("text"))
+    # at most one document for each block
+    firsts = stored(
+        blocks.groupBy("block").agg(F.min_by(F.struct("doc_id", "text"), order).alias("first")), "first-documents"
     )
-    inside = Window.partitionBy("part").orderBy("doc_id", "key")
-    # one row per range partition
-    firsts = ordered.groupBy("part").agg(F.min_by("key", F.struct("doc_id", "key")).alias("first"))
-    over = Window.orderBy("part")
+    over = Window.orderBy("block")
     every = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = firsts.select(
-        "part", F.coalesce(F.lead("first").over(over), F.first("first").over(every)).alias("following")
-    )
+    guests = firsts.select(
+        F.coalesce(F.lag("block").over(over), F.last("block").over(every)).alias("block"), "first.*"
+    ).withColumn("guest", F.lit(True))
+    inside = Window.partitionBy("block").orderBy("guest", "doc_id", F.xxhash64("text"))
     return (
-        ordered.withColumn("next_key", F.lead("key").over(inside))
-        .join(following, "part")
-        .select("key", F.coalesce("next_key", "following").alias("next_key"))
+        blocks.unionByName(guests)
+        .withColumn("next_text", F.lead("text").over(inside))
+        .where(~F.col("guest"))
+        .select("doc_id", "text", "next_text")
     )
 
 
@@ -102,21 +134,18 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 
     The edited text has its last half (rounded down) replaced by as much of the
     start of the next document's, by ascending doc_id, the first following the
-    last; rows of one doc_id follow each other by a hash of the text, and repeated
-    rows count as one document. Null texts are empty. Rows without doc_id have no
-    next document: an empty text stands for it. Other columns are not looked at.
+    last; rows of one doc_id, repeated ones too, follow each other by a hash of the
+    text. Null texts are empty. Rows without doc_id have no next document: an
+    empty text stands for it. Other columns are not looked at.
     """
     own = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    ).withColumn("key", F.xxhash64("doc_id", "text"))
-    follows = _followers(own.where("doc_id is not null").select("doc_id", "key"))
-    texts = own.select(F.col("key").alias("next_key"), F.col("text").alias("next_text"))
-    texts = texts.repartition(parts(docs.sparkSession), "next_key").dropDuplicates(["next_key"])
+    )
     half = F.floor(F.length("text") / 2).cast("int")
+    numbered = _with_next(own.where("doc_id is not null"))
+    loose = own.where("doc_id is null").withColumn("next_text", F.lit(""))
     rows = (
-        own.join(follows, "key", "left")
-        .join(texts, "next_key", "left")
-        .withColumn("next_text", F.coalesce("next_text", F.lit("")))
+        numbered.unionByName(loose)
         .withColumn(
             "edited",
             F.concat(
@@ -124,15 +153,10 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
                 F.substring("next_text", F.lit(1), half),
             ),
         )
-        .select(
-            "doc_id",
-            F.length("text").cast("long").alias("n_chars"),
-            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-            signatures(F.col("text")).alias("a"),
-            signatures(F.col("edited")).alias("b"),
-            signatures(F.col("next_text")).alias("c"),
-        )
+        .withColumn("n_chars", F.length("text").cast("long"))
+        .withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
     )
+    rows = with_signatures(rows, {"a": "text", "b": "edited", "c": "next_text"})
     return rows.select(
         "doc_id",
         "n_chars",
