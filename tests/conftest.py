@@ -18,12 +18,13 @@ from aerolake.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("aerolake-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
