@@ -201,11 +201,21 @@ def _sum_by(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return ordered[starts], order[starts], *sums
 
 
+def _head(batch: pa.RecordBatch, start: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """doc_id (0 for null) of some rows, and flags: 1 held out, 2 not known to be, 4 no doc_id."""
+    ids, held = batch["doc_id"].slice(start, n), batch["held_out"].slice(start, n)
+    flags = held.fill_null(False).to_numpy(zero_copy_only=False).astype(np.uint8)
+    flags += 2 * held.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
+    flags += 4 * ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
+    return ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), flags
+
+
 def _deal(shards: int, hot: np.ndarray, training: bool):
     """Packs of pairs by shard: counted ones of the training texts, or each with
-    its text for scoring."""
+    its text for scoring. Then a pack of the texts' doc_id and held_out by place
+    goes with them, under a shard below 0 of its own."""
 
-    def close(flush: int, firsts: list, seconds: list, docs: list, ids: list) -> pa.RecordBatch:
+    def close(flush: int, firsts: list, seconds: list, docs: list, heads: list) -> pa.RecordBatch:
         first, second, doc = np.concatenate(firsts), np.concatenate(seconds), np.concatenate(docs)
         if training:
             _, at, doc = _sum_by(_pair(first, second), np.ones(len(first), np.int64))
@@ -218,9 +228,12 @@ def _deal(shards: int, hot: np.ndarray, training: bool):
             for k in range(shards)
             if len(own := order[bounds[k] : bounds[k + 1]])
         ]
+        if heads:
+            ids, flags = map(np.concatenate, zip(*heads, strict=True))
+            packs.append((-1 - flush, freeze(doc_id=ids, flags=flags)))
         return pa.RecordBatch.from_pydict(
             {
-                "shard": pa.array([k for k, _ in packs], pa.int32()),
+                "shard": pa.array([k for k, _ in packs], pa.int64()),
                 "flush": pa.array([flush] * len(packs), pa.int64()),
                 "pack": pa.array([p for _, p in packs], pa.binary()),
             }
@@ -228,45 +241,26 @@ def _deal(shards: int, hot: np.ndarray, training: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial, size, texts = TaskContext.get().partitionId() << 32, 0, 0, 0
-        firsts, seconds, docs = [], [], []
+        firsts, seconds, docs, heads = [], [], [], []
         for batch in batches:
-            for _, first, second, doc in _pairs(batch["text"]):
+            for start, first, second, doc in _pairs(batch["text"]):
+                n = int(doc[-1]) + 1
                 firsts.append(first)
                 seconds.append(second)
                 docs.append(doc + texts)
-                size, texts = size + len(first), texts + int(doc[-1]) + 1
+                if not training:
+                    heads.append(_head(batch, start, n))
+                size, texts = size + len(first), texts + n
                 if size >= FLUSH_TOKENS or texts >= FLUSH_TEXTS:
-                    yield close(task + serial, firsts, seconds, docs, [])
+                    yield close(task + serial, firsts, seconds, docs, heads)
                     serial, size, texts = serial + 1, 0, 0
-                    firsts, seconds, docs = [], [], []
+                    firsts, seconds, docs, heads = [], [], [], []
         if firsts:
-            yield close(task + serial, firsts, seconds, docs, [])
+            yield close(task + serial, firsts, seconds, docs, heads)
 
     return run
 
 
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The place in the packs of every row, by the same rule as they are dealt."""
-    task, serial, size, texts = TaskContext.get().partitionId() << 32, 0, 0, 0
-    for batch in batches:
-        flushes, places = [], []
-        for _, first, _, doc in _pairs(batch["text"]):
-            n = int(doc[-1]) + 1
-            flushes += [task + serial] * n
-            places += range(texts, texts + n)
-            size, texts = size + len(first), texts + n
-            if size >= FLUSH_TOKENS or texts >= FLUSH_TEXTS:
-                serial, size, texts = serial + 1, 0, 0
-        yield pa.RecordBatch.from_pydict(
-            {
-                "flush": pa.array(flushes, pa.int64()),
-                "place": pa.array(places, pa.int64()),
-                "doc_id": batch["doc_id"],
-                "held_out": batch["held_out"],
-            }
-        )
-
-
 # ---- counting --------------------------------------------------------------
 
 
@@ -411,7 +405,7 @@ def fit(docs: DataFrame, path: str) -> Model:
     if not total:
         return Model(path, 0, 0)
     counted = stored(
-        texts.mapInArrow(_deal(shards, hot, True), "shard int, flush long, pack binary")
+        texts.mapInArrow(_deal(shards, hot, True), "shard long, flush long, pack binary")
         .groupBy("shard")
         .applyInArrow(_count(path, hot, shards), "part int, pack binary"),
         "pair-counts",
@@ -549,45 +543,46 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     hot = np.sort(np.array(list(model.hot), np.uint64))
 
     def run(rows: pa.Table) -> pa.Table:
-        lookup, sums = _Lookup(model, rows["shard"][0].as_py()), []
+        shard = rows["shard"][0].as_py()
+        if shard < 0:  # doc_id and held_out of a flush
+            return rows.select(["flush", "pack"]).append_column("head", pa.array([True] * len(rows)))
+        lookup, sums = _Lookup(model, shard), []
         for value in rows["pack"]:
             place, tokens, known, base, own = lookup.score(value.as_py())
             sums.append(freeze(place=_narrow(place), tokens=_narrow(tokens), known=_narrow(known), base=base, own=own))
-        return pa.table({"flush": rows["flush"], "pack": pa.array(sums, pa.binary())})
+        return pa.table(
+            {"flush": rows["flush"], "pack": pa.array(sums, pa.binary()), "head": pa.array([False] * len(sums))}
+        )
 
     def add(rows: pa.Table) -> pa.Table:
-        packs = [thaw(v.as_py()) for v in rows["pack"]]
+        packs = [(h.as_py(), thaw(v.as_py())) for h, v in zip(rows["head"], rows["pack"], strict=True)]
+        (head,) = (p for h, p in packs if h)
+        packs = [p for h, p in packs if not h]
         place = np.concatenate([p["place"] for p in packs]).astype(np.int64)
-        n = int(place.max()) + 1
-        total = {c: np.bincount(place, np.concatenate([p[c] for p in packs]), minlength=n) for c in ("tokens", "known", "base", "own")}
-        at = np.flatnonzero(total["tokens"])
+        flags, n = head["flags"], len(head["doc_id"])
+        tokens, known, base, own = (
+            np.bincount(place, np.concatenate([p[c] for p in packs]), minlength=n) for c in ("tokens", "known", "base", "own")
+        )
         return pa.table(
             {
-                "flush": pa.array([rows["flush"][0].as_py()] * len(at), pa.int64()),
-                "place": pa.array(at, pa.int64()),
-                "n_tokens": pa.array(total["tokens"][at].astype(np.int64), pa.int64()),
-                "n_known": pa.array(total["known"][at].astype(np.int64), pa.int64()),
-                "base_score": pa.array(total["base"][at], pa.float64()),
-                "score": pa.array(total["own"][at], pa.float64()),
+                "doc_id": pa.array(head["doc_id"], pa.int64(), mask=flags & 4 > 0),
+                "held_out": pa.array(flags & 1 > 0, pa.bool_(), mask=flags & 2 > 0),
+                "n_tokens": pa.array(tokens.astype(np.int64), pa.int64()),
+                "n_known": pa.array(known.astype(np.int64), pa.int64()),
+                "base_score": pa.array(base, pa.float64()),
+                "score": pa.array(own, pa.float64()),
             }
         )
 
-    sums = (
-        texts.select("text")
-        .mapInArrow(_deal(shards, hot, False), "shard int, flush long, pack binary")
+    return (
+        texts.mapInArrow(_deal(shards, hot, False), "shard long, flush long, pack binary")
         .groupBy("shard")
-        .applyInArrow(run, "flush long, pack binary")
+        .applyInArrow(run, "flush long, pack binary, head boolean")
         .groupBy("flush")
         .applyInArrow(
-            add, "flush long, place long, n_tokens long, n_known long, base_score double, score double"
+            add, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
         )
     )
-    numbered = texts.select("text", "doc_id", "held_out").mapInArrow(
-        _number, "flush long, place long, doc_id long, held_out boolean"
-    )
-    return numbered.join(sums, ["flush", "place"]).select(
-        "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"
-    )
 
 
 def score_documents(docs: DataFrame, held_out) -> DataFrame:

@@ -254,6 +254,18 @@ def test_kneser_ney_equals_reference(spark, monkeypatch, shard):
         assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], abs=1e-5)
 
 
+def test_kneser_ney_scores_stay_with_long_texts(spark, monkeypatch):
+    """Batches of texts over 8 KB end by bytes, and several flushes come from one task."""
+    monkeypatch.setattr(kneser_ney, "FLUSH_TOKENS", 1_000)
+    docs = tune(spark).range(0, 5_000, 1, 1).select(
+        F.col("id").alias("doc_id"), F.expr("concat(repeat('w ', int(id % 97) + 1), repeat('x', 9000))").alias("text")
+    )
+    rows = kneser_ney.score_documents(docs, F.col("doc_id") % 10 == 0).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(5_000))
+    assert [r["doc_id"] for r in rows if r["n_tokens"] != r["doc_id"] % 97 + 3] == []
+    assert all(r["held_out"] == (r["doc_id"] % 10 == 0) for r in rows)
+
+
 def test_kneser_ney_of_odd_rows(odd, none):
     rows = kneser_ney.score_documents(odd, F.col("doc_id") == 1).collect()
     assert len(rows) == len(ODD) and all(math.isfinite(r["score"]) and r["score"] <= 0 for r in rows)
