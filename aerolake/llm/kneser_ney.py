@@ -1,15 +1,19 @@
-"""Interpolated modified Kneser-Ney model of word pairs.
-
-Pairs are counted where their first word is dealt to; that shard then knows the
-word's every follower, and writes its pairs and first words as sorted hash arrays
-to one file of the shared folder. The shards' second words make the vocabulary,
-dealt by word and written alike. For scoring, pairs of all texts go to their
-shard, whose task maps the file into memory, looks them up in order and gives each
-text's share of the sum.
-
-A first word that is frequent beyond a shard's share is dealt by both words of the
-pair; there are at most a few such words for each shard, and their totals are
-summed on the driver. Pairs travel in packs: words once each, runs by first word.
+"""Interpolated modified Kneser-Ney model of runs of words, of any order from 2.
+
+Runs of ``order`` words are counted where their last word but one is dealt to. The
+shorter runs a run ends with, and the words each of these follows, share that word:
+so the shard knows the counts of every length, and writes runs and contexts of each
+length as sorted hash arrays to one file of the shared folder. The longest runs
+count their uses, shorter ones the words seen before them, and their uses if they
+begin a text. The shards' last words make the vocabulary, dealt by word and written
+alike. For scoring, runs of all texts go to their shard, whose task maps the file
+into memory, looks them up in order and gives each text's share of the sum.
+
+A last word but one that is frequent beyond a shard's share is dealt together with
+the last word; there are at most a few such words for each shard. Their totals as
+contexts of one word are summed on the driver; longer contexts that end in them are
+summed by hash and written like the vocabulary. Runs travel in packs: words once
+each, sorted by the last two words.
 """
 
 from __future__ import annotations
@@ -132,23 +136,22 @@ def _find(arrays: dict[str, np.ndarray], name: str, keys: np.ndarray) -> np.ndar
     return np.where(found, a, -1)
 
 
-# ---- pairs of texts --------------------------------------------------------
+# ---- runs of words ---------------------------------------------------------
 
 
 def _route(first: np.ndarray, second: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
-    by = mix(first)
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, first), len(hot) - 1)
-        by = np.where(hot[at] == first, _pair(first, second), by)
-    return ((by >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
+    return _dealt(np.where(_is_hot(first, hot), _pair(first, second), mix(first)), shards)
 
 
 def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * _TWO + mix(second))
 
 
-def _pairs(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first text, first words, second words, text of each pair), with begin and end."""
+def _pairs(
+    column: pa.Array, order: int = 2
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """(first text, first words, second words, text of each pair, words before the
+    first one, nearest first), with begin and end."""
     for start, words, offsets in word_hashes(column, True):
         n = len(offsets) - 1
         sizes = np.diff(offsets)
@@ -162,17 +165,59 @@ def _pairs(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.n
         first = np.empty(len(second), np.uint64)
         first[1:] = second[:-1]
         first[ends - sizes] = BEGIN
-        yield start, first, second, doc
+        before = [first]
+        for _ in range(order - 2):
+            last = np.empty(len(second), np.uint64)
+            last[1:] = before[-1][:-1]
+            last[ends - sizes] = BEGIN
+            before.append(last)
+        yield start, first, second, doc, before[1:]
+
+
+def _runs(first: np.ndarray, second: np.ndarray, before: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of the runs of 2, 3, ... words."""
+    out = [_pair(first, second)]
+    for words in before:
+        out.append(_pair(words, out[-1]))
+    return out
+
+
+def _contexts(first: np.ndarray, before: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of the contexts of 1, 2, ... words."""
+    out = [mix(first)]
+    for words in before:
+        out.append(_pair(words, out[-1]))
+    return out
+
+
+def _is_hot(first: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    if not len(hot):
+        return np.zeros(len(first), bool)
+    return hot[np.minimum(np.searchsorted(hot, first), len(hot) - 1)] == first
+
+
+def _dealt(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((hashes >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+
+
+def _by_part(route: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the rows of each part that has any."""
+    order = np.argsort(route, kind="stable")
+    bounds = np.searchsorted(route[order], np.arange(parts + 1)).tolist()
+    for k in range(parts):
+        if bounds[k] < bounds[k + 1]:
+            yield k, order[bounds[k] : bounds[k + 1]]
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype("<u2" if not len(values) or int(values.max()) < 65536 else "<u4")
 
 
-def _pack(first: np.ndarray, second: np.ndarray, extra: np.ndarray, **more: np.ndarray) -> bytes:
+def _pack(first: np.ndarray, second: np.ndarray, extra: np.ndarray, before: list[np.ndarray]) -> bytes:
     order = np.lexsort((second, first))
     first, second, extra = first[order], second[order], extra[order]
-    words = np.concatenate((first, second))
+    before = [b[order] for b in before]
+    words = np.concatenate((first, second, *before))
     words.sort()
     words = words[np.concatenate(([True], words[1:] != words[:-1]))]
     new = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
@@ -182,14 +227,19 @@ def _pack(first: np.ndarray, second: np.ndarray, extra: np.ndarray, **more: np.n
         size=_narrow(np.diff(new, append=len(first))),
         second=_narrow(np.searchsorted(words, second)),
         extra=_narrow(extra),
-        **more,
+        **{f"before{i}": _narrow(np.searchsorted(words, b)) for i, b in enumerate(before)},
     )
 
 
-def _unpack(value: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+def _before(pack: dict[str, np.ndarray]) -> list[np.ndarray]:
+    return [pack["words"][pack[f"before{i}"]] for i in range(len(pack) - 5)]
+
+
+def _unpack(value: bytes) -> tuple[np.ndarray, ...]:
+    """First and second words, counts, and the words before, of a pack."""
     pack = thaw(value)
     first = np.repeat(pack["words"][pack["run"]], pack["size"])
-    return first, pack["words"][pack["second"]], pack["extra"].astype(np.int64), pack
+    return first, pack["words"][pack["second"]], pack["extra"].astype(np.int64), *_before(pack)
 
 
 def _sum_by(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -210,23 +260,19 @@ def _head(batch: pa.RecordBatch, start: int, n: int) -> tuple[np.ndarray, np.nda
     return ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), flags
 
 
-def _deal(shards: int, hot: np.ndarray, training: bool):
-    """Packs of pairs by shard: counted ones of the training texts, or each with
+def _deal(shards: int, hot: np.ndarray, training: bool, length: int):
+    """Packs of runs of ``length`` words by shard: counted ones of the training texts, or each with
     its text for scoring. Then a pack of the texts' doc_id and held_out by place
     goes with them, under a shard below 0 of its own."""
 
-    def close(flush: int, firsts: list, seconds: list, docs: list, heads: list) -> pa.RecordBatch:
-        first, second, doc = np.concatenate(firsts), np.concatenate(seconds), np.concatenate(docs)
+    def close(flush: int, texts: list, heads: list) -> pa.RecordBatch:
+        first, second, doc, *before = map(np.concatenate, zip(*texts, strict=True))
         if training:
-            _, at, doc = _sum_by(_pair(first, second), np.ones(len(first), np.int64))
-            first, second = first[at], second[at]
-        route = _route(first, second, hot, shards)
-        order = np.argsort(route, kind="stable")
-        bounds = np.searchsorted(route[order], np.arange(shards + 1)).tolist()
+            _, at, doc = _sum_by(_runs(first, second, before)[-1], np.ones(len(first), np.int64))
+            first, second, before = first[at], second[at], [b[at] for b in before]
         packs = [
-            (k, _pack(first[own], second[own], doc[own]))
-            for k in range(shards)
-            if len(own := order[bounds[k] : bounds[k + 1]])
+            (k, _pack(first[own], second[own], doc[own], [b[own] for b in before]))
+            for k, own in _by_part(_route(first, second, hot, shards), shards)
         ]
         if heads:
             ids, flags = map(np.concatenate, zip(*heads, strict=True))
@@ -241,22 +287,20 @@ def _deal(shards: int, hot: np.ndarray, training: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial, size, texts = TaskContext.get().partitionId() << 32, 0, 0, 0
-        firsts, seconds, docs, heads = [], [], [], []
+        found, heads = [], []
         for batch in batches:
-            for start, first, second, doc in _pairs(batch["text"]):
+            for start, first, second, doc, before in _pairs(batch["text"], length):
                 n = int(doc[-1]) + 1
-                firsts.append(first)
-                seconds.append(second)
-                docs.append(doc + texts)
+                found.append((first, second, doc + texts, *before))
                 if not training:
                     heads.append(_head(batch, start, n))
                 size, texts = size + len(first), texts + n
                 if size >= FLUSH_TOKENS or texts >= FLUSH_TEXTS:
-                    yield close(task + serial, firsts, seconds, docs, heads)
+                    yield close(task + serial, found, heads)
                     serial, size, texts = serial + 1, 0, 0
-                    firsts, seconds, docs, heads = [], [], [], []
-        if firsts:
-            yield close(task + serial, firsts, seconds, docs, heads)
+                    found, heads = [], []
+        if found:
+            yield close(task + serial, found, heads)
 
     return run
 
@@ -271,8 +315,11 @@ class Model:
     path: str
     shards: int
     vocabulary_shards: int
-    hot: dict[int, tuple[int, int, int, int]] = field(default_factory=dict)
-    pair_discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
+    order: int = 2
+    hot: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    hot_totals: dict[int, tuple[int, int, int, int]] = field(default_factory=dict)
+    #: Discounts of the runs of 2, 3, ... words.
+    discounts: list[tuple[float, float, float]] = field(default_factory=list)
     word_discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
     tokens: int = 0
     words: int = 0
@@ -286,7 +333,7 @@ def _frequent(docs: DataFrame) -> tuple[list[tuple[int, int]], int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
         for batch in batches:
-            for _, first, _, _ in _pairs(batch["text"]):
+            for _, first, *_ in _pairs(batch["text"]):
                 total += len(first)
                 own, _, n = _sum_by(first, np.ones(len(first), np.int64))
                 words, counts = np.concatenate((words, own)), np.concatenate((counts, n))
@@ -310,49 +357,61 @@ def _frequent(docs: DataFrame) -> tuple[list[tuple[int, int]], int]:
     return [(r["word"], r["n"]) for r in rows], total
 
 
-def _count(path: str, hot: np.ndarray, parts: int):
-    """Count a shard's pairs and write its arrays; gives packs of second words and
-    the shard's numbers."""
+def _context_arrays(keys: np.ndarray, stats: list[np.ndarray], n: int) -> dict[str, np.ndarray]:
+    """Sorted contexts of one length with total and numbers of runs seen once, twice
+    and more; those with one run that was seen once are kept apart."""
+    plain = (stats[0] == 1) & (stats[1] == 1)
+    return (
+        _short(keys[plain], f"once{n}")
+        | _short(keys[~plain], f"word{n}")
+        | {f"{c}_{n}": v[~plain].astype("<u4") for c, v in zip(("total", "n1", "n2", "n3"), stats, strict=True)}
+    )
+
+
+def _count(path: str, hot: np.ndarray, parts: int, length: int):
+    """Count a shard's runs and write its arrays; gives packs of second words, of
+    longer contexts that end in hot words, and the shard's numbers."""
 
     def run(rows: pa.Table) -> pa.Table:
         shard = rows["shard"][0].as_py()
-        firsts, seconds, counts = [], [], []
-        for value in rows["pack"].to_pylist():
-            first, second, count, _ = _unpack(value)
-            firsts.append(first)
-            seconds.append(second)
-            counts.append(count)
-        first, second, count = map(np.concatenate, (firsts, seconds, counts))
-        del firsts, seconds, counts
-        keys, at, count = _sum_by(_pair(first, second), count)
-        first, second = first[at], second[at]
-        one, two, three = (count == 1).astype(np.int64), (count == 2).astype(np.int64), (count > 2).astype(np.int64)
-        words, _, total, n1, n2, n3 = _sum_by(first, count, one, two, three)
-        single = count == 1
-        plain = (total == 1) & (n1 == 1)
-        hashed = mix(words)  # words may be in any order by now; their hashes are sorted
-        order = np.argsort(hashed)
-        a, b = order[plain[order]], order[~plain[order]]
-        _write(
-            f"{path}/pairs-{shard}",
-            _short(keys[single], "single")
-            | _short(keys[~single], "many")
-            | {"many_n": count[~single].astype("<u4")}
-            | _short(hashed[a], "once")
-            | _short(hashed[b], "word")
-            | {name: v[b].astype("<u4") for name, v in (("total", total), ("n1", n1), ("n2", n2), ("n3", n3))},
-        )
-        is_hot = np.isin(words, hot)
-        numbers = [int((count == k).sum()) for k in (1, 2, 3, 4)]
-        seen, _, kinds, uses = _sum_by(second, np.ones(len(second), np.int64), count)
-        route = ((mix(seen) >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
-        out = [(-1, json.dumps([numbers, [[int(w), *map(int, x)] for w, *x in zip(words[is_hot], total[is_hot], n1[is_hot], n2[is_hot], n3[is_hot], strict=True)]]).encode())]
-        order = np.argsort(route, kind="stable")
-        bounds = np.searchsorted(route[order], np.arange(parts + 1)).tolist()
-        for k in range(parts):
-            own = order[bounds[k] : bounds[k + 1]]
-            if len(own):
-                out.append((k, freeze(words=seen[own], kinds=_narrow(kinds[own]), uses=_narrow(uses[own]))))
+        columns = zip(*(_unpack(value) for value in rows["pack"].to_pylist()), strict=True)
+        first, second, count, *before = map(np.concatenate, columns)
+        uses, keys = count, _runs(first, second, before)[-1]
+        arrays, numbers, totals, out = {}, [], [], []
+        for n in range(length, 1, -1):
+            keys, at, count, uses = _sum_by(keys, count, uses)
+            first, second, before = first[at], second[at], [b[at] for b in before[: n - 2]]
+            # runs of begins are only there for shorter runs
+            real = np.ones(len(keys), bool) if n == 2 else ~((before[-1] == BEGIN) & ([first, *before][-2] == BEGIN))
+            context, own = _contexts(first, before)[-1][real], count[real]
+            single = own == 1
+            arrays |= (
+                _short(keys[real][single], f"single{n}")
+                | _short(keys[real][~single], f"many{n}")
+                | {f"many_n{n}": own[~single].astype("<u4")}
+            )
+            kinds = [(own == 1).astype(np.int64), (own == 2).astype(np.int64), (own > 2).astype(np.int64)]
+            context, at, *stats = _sum_by(context, own, *kinds)
+            ends = first[real][at]
+            is_hot = _is_hot(ends, hot)
+            arrays |= _context_arrays(context[~is_hot], [x[~is_hot] for x in stats], n)
+            some = np.flatnonzero(is_hot)
+            if n == 2:
+                totals = [[int(ends[i]), *(int(x[i]) for x in stats)] for i in some]
+            else:
+                for k, own_ in _by_part(_dealt(context[some], parts), parts):
+                    at = some[own_]
+                    values = {c: _narrow(x[at]) for c, x in zip(("total", "n1", "n2", "n3"), stats, strict=True)}
+                    out.append(((n - 2) * parts + k, freeze(words=context[at], **values)))
+            numbers.append([int((own == k).sum()) for k in (1, 2, 3, 4)])
+            # a shorter run counts the words before it; at the begin of a text, its uses
+            keys = _runs(first, second, before)[n - 3] if n > 2 else second
+            count = np.where([first, *before][n - 3] == BEGIN, uses, 1) if n > 2 else np.ones(len(second), np.int64)
+        _write(f"{path}/pairs-{shard}", arrays)
+        out.append((-1, json.dumps([numbers[::-1], totals]).encode()))
+        seen, _, kinds, uses = _sum_by(second, count, uses)
+        for k, own in _by_part(_dealt(mix(seen), parts), parts):
+            out.append((k, freeze(words=seen[own], kinds=_narrow(kinds[own]), uses=_narrow(uses[own]))))
         return pa.table(
             {"part": pa.array([k for k, _ in out], pa.int32()), "pack": pa.array([p for _, p in out], pa.binary())}
         )
@@ -360,17 +419,23 @@ def _count(path: str, hot: np.ndarray, parts: int):
     return run
 
 
-def _vocabulary(path: str):
-    """Write one part of the vocabulary; gives its numbers."""
+def _vocabulary(path: str, parts: int):
+    """Write one part of the vocabulary, or of the longer contexts that end in hot
+    words; gives the vocabulary's numbers."""
 
     def run(rows: pa.Table) -> pa.Table:
         packs = [thaw(v) for v in rows["pack"].to_pylist()]
         words = np.concatenate([p["words"] for p in packs])
-        kinds, uses = (np.concatenate([p[c].astype(np.int64) for p in packs]) for c in ("kinds", "uses"))
-        words, _, kinds, uses = _sum_by(words, kinds, uses)
+        n, part = divmod(rows["part"][0].as_py(), parts)
+        names = ("total", "n1", "n2", "n3") if n else ("kinds", "uses")
+        words, _, *values = _sum_by(words, *(np.concatenate([p[c].astype(np.int64) for p in packs]) for c in names))
+        if n:
+            _write(f"{path}/hot{n + 2}-{part}", _context_arrays(words, values, n + 2))
+            return pa.table({f"v{i}": pa.array([0], pa.int64()) for i in range(7)})
+        kinds, uses = values
         once = (kinds == 1) & (uses == 1)
         _write(
-            f"{path}/words-{rows['part'][0].as_py()}",
+            f"{path}/words-{part}",
             {
                 "once": words[once].astype("<u8"),
                 "word": words[~once].astype("<u8"),
@@ -396,38 +461,42 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.01), k - 0.01) for k, d in enumerate(found, 1))
 
 
-def fit(docs: DataFrame, path: str) -> Model:
-    """Count the pairs of all texts of ``docs`` and write the arrays under ``path``."""
+def fit(docs: DataFrame, path: str, order: int = 2) -> Model:
+    """Count the runs of up to ``order`` words of all texts of ``docs`` and write the
+    arrays under ``path``."""
+    if order < 2:
+        raise ValueError(f"the order is 2 at least, not {order}")
     texts = docs.select(F.col("text").cast("string").alias("text"))
     frequent, total = _frequent(texts)
-    shards = shards_for(total, SHARD_TOKENS)
+    shards = shards_for(total * (order - 1), SHARD_TOKENS)  # runs of each length
     hot = np.sort(np.array([w for w, _ in frequent], np.int64).view(np.uint64))
     if not total:
-        return Model(path, 0, 0)
+        return Model(path, 0, 0, order)
     counted = stored(
-        texts.mapInArrow(_deal(shards, hot, True), "shard long, flush long, pack binary")
+        texts.mapInArrow(_deal(shards, hot, True, order), "shard long, flush long, pack binary")
         .groupBy("shard")
-        .applyInArrow(_count(path, hot, shards), "part int, pack binary"),
+        .applyInArrow(_count(path, hot, shards, order), "part int, pack binary"),
         "pair-counts",
     )
-    pair_n, totals = [0, 0, 0, 0], {}
+    run_n, totals = np.zeros((order - 1, 4), np.int64), {}
     for row in counted.where("part < 0").collect():  # one row for each shard
         numbers, words = json.loads(bytes(row["pack"]))
-        pair_n = [a + b for a, b in zip(pair_n, numbers, strict=True)]
+        run_n += np.array(numbers)
         for word, *values in words:
             totals[word] = tuple(a + b for a, b in zip(totals.get(word, (0, 0, 0, 0)), values, strict=True))
     schema = ", ".join(f"v{i} long" for i in range(7))
     numbers = (
         counted.where("part >= 0")
         .groupBy("part")
-        .applyInArrow(_vocabulary(path), schema)
+        .applyInArrow(_vocabulary(path, shards), schema)
         .agg(*(F.sum(f"v{i}").alias(f"v{i}") for i in range(7)))
         .first()
     )
     words, tokens, pairs, *word_n = (int(x) for x in numbers)
     classes = (word_n[0], word_n[1], words - word_n[0] - word_n[1])
+    discounts = [_discounts(n) for n in run_n.tolist()]
     return Model(
-        path, shards, shards, totals, _discounts(pair_n), _discounts(word_n), tokens, words, pairs, classes
+        path, shards, shards, order, hot, totals, discounts, _discounts(word_n), tokens, words, pairs, classes
     )
 
 
@@ -450,13 +519,13 @@ class _Lookup:
             self.pairs = None
         self.words = {}
 
-    def _part(self, k: int) -> dict[str, np.ndarray] | None:
-        if k not in self.words:
+    def _part(self, k: int, kind: str = "words") -> dict[str, np.ndarray] | None:
+        if (kind, k) not in self.words:
             try:
-                self.words[k] = _open(f"{self.model.path}/words-{k}")
+                self.words[kind, k] = _open(f"{self.model.path}/{kind}-{k}")
             except FileNotFoundError:
-                self.words[k] = None
-        return self.words[k]
+                self.words[kind, k] = None
+        return self.words[kind, k]
 
     def vocabulary(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Kinds of first words before each word, and its uses, in training."""
@@ -478,33 +547,43 @@ class _Lookup:
                 uses[own[hit]] = 1 if name == "once" else part["uses"][at[hit]]
         return kinds, uses
 
-    def contexts(self, words: np.ndarray) -> np.ndarray:
-        """total, n1, n2, n3 of each first word; zeros if it was never one."""
-        out = np.zeros((len(words), 4), np.int64)
+    def contexts(self, n: int, keys: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """total, n1, n2, n3 of contexts of runs of n words, given their hashes and
+        last words; zeros if they were never one."""
+        out = np.zeros((len(keys), 4), np.int64)
         if self.pairs is not None:
-            hashed = mix(words)
-            out[_find(self.pairs, "once", hashed) >= 0] = (1, 1, 0, 0)
-            at = _find(self.pairs, "word", hashed)
-            for i, name in enumerate(("total", "n1", "n2", "n3")):
-                out[at >= 0, i] = self.pairs[name][at[at >= 0]]
-        for word, values in self.model.hot.items():
-            out[words == np.uint64(word)] = values
+            self._fill(out, self.pairs, n, keys, np.arange(len(keys)))
+        if n == 2:
+            for word, values in self.model.hot_totals.items():
+                out[ends == np.uint64(word)] = values
+        elif self.model.shards:
+            some = np.flatnonzero(_is_hot(ends, self.model.hot))
+            for k, own in _by_part(_dealt(keys[some], self.model.vocabulary_shards), self.model.vocabulary_shards):
+                part = self._part(k, f"hot{n}")
+                if part is not None:
+                    self._fill(out, part, n, keys[some[own]], some[own])
         return out
 
-    def counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(first), np.int64)
+    @staticmethod
+    def _fill(out: np.ndarray, arrays: dict[str, np.ndarray], n: int, keys: np.ndarray, rows: np.ndarray) -> None:
+        out[rows[_find(arrays, f"once{n}", keys) >= 0]] = (1, 1, 0, 0)
+        at = _find(arrays, f"word{n}", keys)
+        for i, name in enumerate(("total", "n1", "n2", "n3")):
+            out[rows[at >= 0], i] = arrays[f"{name}_{n}"][at[at >= 0]]
+
+    def counts(self, n: int, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys), np.int64)
         if self.pairs is not None:
-            keys = _pair(first, second)
-            out[_find(self.pairs, "single", keys) >= 0] = 1
-            at = _find(self.pairs, "many", keys)
-            out[at >= 0] = self.pairs["many_n"][at[at >= 0]]
+            out[_find(self.pairs, f"single{n}", keys) >= 0] = 1
+            at = _find(self.pairs, f"many{n}", keys)
+            out[at >= 0] = self.pairs[f"many_n{n}"][at[at >= 0]]
         return out
 
     def score(self, value: bytes) -> tuple[np.ndarray, ...]:
         """Per text of a pack: place, tokens, known ones, base and model scores."""
         m = self.model
         pack = thaw(value)
-        words, runs, size, second = pack["words"], pack["run"], pack["size"], pack["second"].astype(np.int64)
+        words, runs, size, second = pack["words"], pack["run"], pack["size"].astype(np.int64), pack["second"].astype(np.int64)
         kinds, uses = self.vocabulary(words)
         base = np.log10((uses + 0.1) / (m.tokens + 0.1 * (m.words + 1)))
         d = m.word_discounts
@@ -514,13 +593,18 @@ class _Lookup:
             if m.pairs
             else np.ones(len(words))
         )
-        context = self.contexts(words[runs])
-        total = np.repeat(context[:, 0], size)
-        spared = np.repeat((context[:, 1:] * np.array(m.pair_discounts)).sum(axis=1), size)
-        count = self.counts(np.repeat(words[runs], size), words[second])
-        divisor = np.maximum(total, 1)
-        p = (count - _discount(count, m.pair_discounts) + spared * chance[second]) / divisor
-        p = np.where(total > 0, p, chance[second])
+        p, first, last = chance[second], np.repeat(words[runs], size), words[second]
+        before = _before(pack)
+        run, context = _runs(first, last, before), _contexts(first, before)
+        for n, d in enumerate(m.discounts, 2):
+            stats = (
+                np.repeat(self.contexts(2, context[0][np.cumsum(size) - size], words[runs]), size, axis=0)
+                if n == 2
+                else self.contexts(n, context[n - 2], first)
+            )
+            total, count = stats[:, 0], self.counts(n, run[n - 2])
+            found = (count - _discount(count, d) + (stats[:, 1:] * np.array(d)).sum(axis=1) * p) / np.maximum(total, 1)
+            p = np.where(total > 0, found, p)
         doc = pack["extra"].astype(np.int64)
         n = int(doc.max()) + 1
         tokens = np.bincount(doc, minlength=n)
@@ -540,8 +624,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     texts = docs.select("doc_id", "held_out", F.col("text").cast("string").alias("text"))
     shards = max(1, model.shards)
-    hot = np.sort(np.array(list(model.hot), np.uint64))
-
     def run(rows: pa.Table) -> pa.Table:
         shard = rows["shard"][0].as_py()
         if shard < 0:  # doc_id and held_out of a flush
@@ -575,7 +657,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         )
 
     return (
-        texts.mapInArrow(_deal(shards, hot, False), "shard long, flush long, pack binary")
+        texts.mapInArrow(_deal(shards, model.hot, False, model.order), "shard long, flush long, pack binary")
         .groupBy("shard")
         .applyInArrow(run, "flush long, pack binary, head boolean")
         .groupBy("flush")
@@ -585,11 +667,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def score_documents(docs: DataFrame, held_out) -> DataFrame:
-    """Learn from the rows for which ``held_out`` is not true, and score every row.
+def score_documents(docs: DataFrame, held_out, order: int = 2) -> DataFrame:
+    """Learn runs of up to ``order`` words from the rows for which ``held_out`` is not
+    true, and score every row.
 
     Adds train_tokens, the tokens learned from. See ``score`` for odd rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
-    model = fit(docs.where(~F.coalesce("held_out", F.lit(False))), scratch(docs.sparkSession, "kneser-ney"))
+    model = fit(docs.where(~F.coalesce("held_out", F.lit(False))), scratch(docs.sparkSession, "kneser-ney"), order)
     return score(docs, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))

@@ -77,7 +77,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document; a tenth by hash of doc_id is held out."""
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
-    return kneser_ney.score_documents(table(spark, sf_dir, "documents"), held_out).select(
+    return kneser_ney.score_documents(table(spark, sf_dir, "documents"), held_out, order=3).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
 

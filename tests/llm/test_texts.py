@@ -254,6 +254,54 @@ def test_kneser_ney_equals_reference(spark, monkeypatch, shard):
         assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], abs=1e-5)
 
 
+def reference_of_order(rows, held, order):
+    """Score of every row by the recursive definition, with whole words as keys."""
+    cut = [[0] * (order - 1) + [w.lower() for w in words(t)] + [1] for _, t in rows]
+    counts = [{} for _ in range(order + 1)]  # by length of the run
+    for own, out in zip(cut, held, strict=True):
+        if not out:
+            for i in range(order - 1, len(own)):
+                run = tuple(own[i - order + 1 : i + 1])
+                counts[order][run] = counts[order].get(run, 0) + 1
+    used = counts[order]
+    for n in range(order - 1, 0, -1):
+        for run in counts[n + 1]:
+            counts[n][run[1:]] = counts[n].get(run[1:], 0) + 1
+        for run in counts[n]:  # at the begin of a text nothing differs before it
+            if n > 1 and run[0] == 0:
+                counts[n][run] = sum(k for r, k in used.items() if r[-n:] == run)
+        counts[n + 1] = {r: k for r, k in counts[n + 1].items() if r[:2] != (0, 0)}
+    d = [None] + [(0, *kneser_ney._discounts([list(c.values()).count(k) for k in (1, 2, 3, 4)])) for c in counts[1:]]
+    v, pairs = len(counts[1]), sum(counts[1].values())
+
+    def chance(run):
+        n = len(run)
+        if n == 1:
+            k = counts[1].get(run, 0)
+            return (k - d[1][min(k, 3)] + sum(d[1][min(x, 3)] for x in counts[1].values()) / (v + 1)) / pairs
+        after = [k for r, k in counts[n].items() if r[:-1] == run[:-1]]
+        k = counts[n].get(run, 0)
+        below = chance(run[1:])
+        return (k - d[n][min(k, 3)] + sum(d[n][min(x, 3)] for x in after) * below) / sum(after) if after else below
+
+    return [
+        sum(math.log10(chance(tuple(own[i - order + 1 : i + 1]))) for i in range(order - 1, len(own))) for own in cut
+    ]
+
+
+@pytest.mark.parametrize("order, shard", [(3, 5_000_000), (3, 40), (4, 40)])
+def test_kneser_ney_of_higher_order_equals_reference(spark, monkeypatch, order, shard):
+    monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", shard)
+    monkeypatch.setattr(kneser_ney, "FLUSH_TOKENS", 100)
+    rng = random.Random(11)
+    vocabulary = [f"v{int(rng.paretovariate(0.7))}" for _ in range(25)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 14)))) for i in range(80)]
+    held = [r[0] % 10 == 0 for r in rows]
+    found = kneser_ney.score_documents(frame(spark, rows), F.col("doc_id") % 10 == 0, order=order).collect()
+    got = {r["doc_id"]: r["score"] for r in found}
+    assert [got[i] for i, _ in rows] == pytest.approx(reference_of_order(rows, held, order), abs=1e-6)
+
+
 def test_kneser_ney_scores_stay_with_long_texts(spark, monkeypatch):
     """Batches of texts over 8 KB end by bytes, and several flushes come from one task."""
     monkeypatch.setattr(kneser_ney, "FLUSH_TOKENS", 1_000)
