@@ -135,7 +135,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         held_out.alias("held_out"),
         "score",
-        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        toxicity.flagged(model).cast("int").alias("predicted"),
     )
 
 

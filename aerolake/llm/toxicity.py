@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.llm.common import map_arrow, stored
@@ -300,8 +301,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Model:
     """Train on at most FIT_ROWS labelled rows of ``labels`` for which ``learn`` holds.
 
     Two thirds of them, without copies, give words and train the machine, the rest
-    fit the curve. Labels that are null are passed over. If one class is missing or
-    no word stands out, every text gets the share of toxic labels as score.
+    fit the curve; all of them do if the rest lacks a class. Labels that are null are
+    passed over. If one class is missing or no word stands out, there is a warning,
+    every text gets the share of toxic labels as score, and ``flagged`` flags none.
     """
     sample = (
         labels.where(learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -321,6 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Model:
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     flat = Model(None, 0.0, 0.0, math.log((pos + 1) / (neg + 1)))
     if not pos or not neg:
+        warnings.warn(f"no toxicity machine: {pos} toxic and {neg} other labelled texts", stacklevel=2)
         return flat
 
     def word_rows():
@@ -352,6 +355,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Model:
     chosen = common.select("word").collect() + some.select("word").collect()
     clean = [w for w in dict.fromkeys(r["word"] for r in chosen) if w not in set(toxic)]
     if not toxic or not clean:
+        warnings.warn("no toxicity machine: no word stands out", stacklevel=2)
         return flat
     table, bias = _train(toxic, clean)
     model = Model(table, bias, 1.0, 0.0)
@@ -365,17 +369,22 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Model:
 
         return step
 
-    # at most FIT_ROWS pairs of numbers
-    pairs = map_arrow(
-        texts.where(rest).select("text", "toxic"), value_rows, "toxic int, value double"
-    ).collect()
-    y = np.array([r["toxic"] for r in pairs])
-    if not len(y) or y.min() == y.max():
-        return flat
+    for part in (texts.where(rest), texts):
+        # at most FIT_ROWS pairs of numbers
+        pairs = map_arrow(part.select("text", "toxic"), value_rows, "toxic int, value double").collect()
+        y = np.array([r["toxic"] for r in pairs])
+        if len(y) and y.min() < y.max():
+            break
     model.slope, model.intercept = _logistic(np.array([r["value"] for r in pairs]), y)
     return model
 
 
+def flagged(model: Model, column: str = "score") -> Column:
+    """Whether a scored row counts as toxic; none does without a machine, since one
+    share for all texts says nothing about any of them."""
+    return (F.col(column) >= THRESHOLD) & F.lit(model.table is not None)
+
+
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """Every row with its score from 0 to 1.
 

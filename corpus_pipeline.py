@@ -11,11 +11,12 @@ from aerolake.llm.queries import held_out_of_four, packed
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the toxicity threshold; the model learns from labels of
-    documents that are still there, three quarters by hash of doc_id."""
+    """Documents below the toxicity threshold, all if no machine can be trained; the
+    model learns from labels of documents that are still there, three quarters by
+    hash of doc_id."""
     tune(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out_of_four())
-    return toxicity.score(docs, model, "_toxicity").where(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
+    return toxicity.score(docs, model, "_toxicity").where(~toxicity.flagged(model, "_toxicity")).drop("_toxicity")
 
 
 def one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

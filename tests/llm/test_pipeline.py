@@ -3,7 +3,9 @@
 import random
 
 import duckdb
+import pytest
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -107,3 +109,27 @@ def test_top_k_equals_its_sql(spark):
 
 def test_threshold_is_the_contracts():
     assert toxicity.THRESHOLD == 0.3
+
+
+@pytest.mark.parametrize("chosen", ["false", "cast(null AS boolean)", "toxic = 1", "toxic = 0", "crc32(string(doc_id)) % 4 = 2"])
+def test_no_document_goes_without_a_machine(spark, tmp_path, chosen):
+    docs, labels = corpus(spark)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int").selectExpr("doc_id", "toxic", f"{chosen} AS chosen")
+    if "null" in chosen:
+        known = known.selectExpr("doc_id", "int(chosen) AS toxic", "true AS chosen")
+    known.where("chosen").drop("chosen").write.parquet(str(tmp_path / "labels.parquet"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    with pytest.warns(UserWarning, match="no toxicity machine"):
+        kept = corpus_pipeline.clean(spark, docs, str(tmp_path))
+    assert kept.count() == docs.count()
+    with pytest.warns(UserWarning, match="no toxicity machine"):
+        assert queries.op8_toxicity(spark, str(tmp_path)).where("predicted <> 0").count() == 0
+
+
+def test_the_curve_is_fitted_though_the_last_third_lacks_a_class(spark):
+    docs, labels = corpus(spark)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int").where("toxic = 0 OR pmod(xxhash64(doc_id), 3) > 0")
+    model = toxicity.fit(docs, known, F.lit(True))
+    found = toxicity.score(docs, model).withColumn("bad", toxicity.flagged(model)).collect()
+    assert model.table is not None
+    assert all(r["bad"] == any(w in (r["text"] or "") for w in ("gruffwit", "blightmuck")) for r in found)
