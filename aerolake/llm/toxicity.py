@@ -2,7 +2,11 @@
 
 The kernel of two words counts the subsequences of three characters they share,
 each weighted by decay ** span, so a letter put in or left out, or a mark between
-letters, costs little. Landmark words give a Nyström map, a linear machine is
+letters, costs little. Words of labelled texts, pieces of long ones and runs of
+spaced letters are the windows it learns from: those that stand in toxic texts more
+often than chance allows have a label for each such text and one against it for each
+other text, those left that stand in other texts are against it. Landmark words of
+both kinds give a Nyström map, a linear machine is
 trained in it, and its decision folds into one weight per subsequence: scoring a
 word needs no landmark any more and gives the same value. A text is as toxic as
 its worst word; a logistic curve fitted on labelled texts that did not train the
@@ -33,8 +37,6 @@ FIT_ROWS = 12_000
 #: Words a fit may use of either kind.
 CLEAN_WORDS = 60_000
 TOXIC_WORDS = 1_000
-#: A word counts as toxic if this share of the texts that have it are.
-PURITY = 0.9
 #: Landmarks of either kind, and how often the clean words that look most toxic
 #: join the training set.
 LANDMARKS = 200
@@ -50,7 +52,8 @@ _WEIGHTS = np.array([DECAY ** (b + 1) for _, b in _OFFSETS])
 
 
 def _char_classes() -> np.ndarray:
-    """Six bits for each code point up to 255: letters keep apart, marks do not."""
+    """Six bits for each code point up to 255: letters keep apart, marks do not. Those
+    above have 64 classes more, in which neighbours of an alphabet keep apart."""
     classes = np.full(256, 62, np.int32)
     classes[ord("a") : ord("z") + 1] = np.arange(1, 27)
     classes[ord("0") : ord("9") + 1] = 27
@@ -60,6 +63,8 @@ def _char_classes() -> np.ndarray:
 
 _CLASSES = _char_classes()
 _EDGE = 63
+#: Subsequences: six bits of each class, then the seventh bits.
+_CODES = 1 << 21
 
 
 def words_of(text: str) -> set[str]:
@@ -92,12 +97,18 @@ def _subsequences(words: list[str]):
         text = "".join(words[i] for i in at)
         points = np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(len(at), size)
         codes = np.full((len(at), size + 2), _EDGE, np.int32)
-        codes[:, 1:-1] = np.where(points < 256, _CLASSES[np.minimum(points, 255)], 61)
+        codes[:, 1:-1] = np.where(
+            points < 256, _CLASSES[np.minimum(points, 255)], 64 + (points ^ points >> 6 & ~np.uint32(31)) % 64
+        )
+        low, high = codes & 63, codes >> 6
         out, weights = [], []
         for (a, b), weight in zip(_OFFSETS, _WEIGHTS, strict=True):
             n = size + 2 - b
             if n > 0:
-                out.append(codes[:, :n] << 12 | codes[:, a : a + n] << 6 | codes[:, b : b + n])
+                own = low[:, :n] << 12 | low[:, a : a + n] << 6 | low[:, b : b + n]
+                if high.any():
+                    own |= high[:, :n] << 20 | high[:, a : a + n] << 19 | high[:, b : b + n] << 18
+                out.append(own)
                 weights.append(np.full(n, weight))
         if out:
             yield at, np.concatenate(out, axis=1), np.concatenate(weights)
@@ -225,39 +236,43 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.model.slope * x + self.model.intercept, -30, 30)))
 
 
-def _enriched(stats: DataFrame, pos: int, neg: int) -> list[str]:
-    """Words of toxic texts only, or nearly, beyond what chance would give among
-    so many words."""
+def _enriched(stats: DataFrame, pos: int, neg: int) -> dict[str, float]:
+    """Words that stand in toxic texts more often than chance would give among so
+    many words, with the share of toxic ones among their texts."""
     n, k, share = F.col("pos") + F.col("neg"), F.col("pos"), pos / (pos + neg)
     gain = k * F.log(k / (n * share)) + F.when(
         F.col("neg") > 0, F.col("neg") * F.log(F.col("neg") / (n * (1 - share)))
     ).otherwise(0.0)
     tested = math.log(max(stats.count(), 1)) + 1
     rows = (
-        stats.where(k >= n * max(PURITY, share))
+        stats.where(k > n * share)
         .withColumn("gain", gain)
         .where(F.col("gain") > tested)
         .orderBy(F.desc("gain"), "word")
         .limit(TOXIC_WORDS)
         .collect()
     )
-    return [r["word"] for r in rows]
+    return {r["word"]: r["pos"] / (r["pos"] + r["neg"]) for r in rows}
 
 
-def _train(toxic: list[str], clean: list[str]) -> tuple[np.ndarray, float]:
-    """Subsequence weights and bias. The clean words that score highest join the
+def _train(shares: dict[str, float], clean: list[str]) -> tuple[np.ndarray, float]:
+    """Subsequence weights and bias. A word of ``shares`` has labels of both kinds,
+    weighted by the share of its texts that are toxic. The clean words that score highest join the
     training set and the landmarks, round by round."""
+    toxic, share = list(shares), np.array(list(shares.values()))
     used = clean[: 2 * HARD_WORDS]
     for _ in range(ROUNDS):
         landmarks = toxic[:LANDMARKS] + used[-LANDMARKS:]
         words = toxic + used
-        y = np.array([1.0] * len(toxic) + [-1.0] * len(used))
-        weight = np.where(y > 0, 0.5 / len(toxic), 0.5 / len(used)) * len(y)
+        y = np.array([1.0] * len(toxic) + [-1.0] * (len(used) + len(toxic)))
+        each = 0.5 * len(words) / len(toxic)
+        weight = np.concatenate((each * share, np.full(len(used), 0.5 * len(words) / len(used)), each * (1 - share)))
         values, vectors = np.linalg.eigh(_kernel(landmarks, landmarks))
         kept = values > 1e-6
         root = vectors[:, kept] / np.sqrt(values[kept])
-        w = _machine(_kernel(words, landmarks) @ root, y, weight)
-        table = np.zeros(1 << 18)
+        z = _kernel(words, landmarks) @ root
+        w = _machine(np.concatenate((z, z[: len(toxic)])), y, weight)
+        table = np.zeros(_CODES)
         row, code, value = _features(landmarks)
         np.add.at(table, code, value * (root @ w[:-1])[row])
         have = set(used)
@@ -330,7 +345,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Model:
         def step(batch: pa.RecordBatch):
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
-                for word in words_of(text or ""):
+                for word in set(_windows(list(words_of(text or "")))[0]):
                     counts.setdefault(word, [0, 0])[toxic] += 1
             yield {
                 "word": pa.array(list(counts), pa.string()),
@@ -345,15 +360,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Model:
             _without_copies(texts.where(own)).select("text", "toxic"), word_rows, "word string, neg long, pos long"
         )
         .groupBy("word")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .where(F.length("word") <= WINDOW),
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")),
         "toxicity-words",
     )
     toxic = _enriched(stats, pos, neg)
     common = stats.where("neg > 0").orderBy(F.desc("neg"), "word").limit(HARD_WORDS)
     some = stats.where("neg > 0").orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS)
     chosen = common.select("word").collect() + some.select("word").collect()
-    clean = [w for w in dict.fromkeys(r["word"] for r in chosen) if w not in set(toxic)]
+    clean = [w for w in dict.fromkeys(r["word"] for r in chosen) if w not in toxic]
     if not toxic or not clean:
         warnings.warn("no toxicity machine: no word stands out", stacklevel=2)
         return flat

@@ -357,6 +357,28 @@ def test_toxicity_learns_and_tolerates_gaps(spark, odd):
     assert all(r["score"] < 0.3 for r in rows if not (r["text"] or "").strip())
 
 
+def test_toxicity_learns_from_noisy_labels_long_words_and_other_scripts(spark):
+    rng = random.Random(5)
+    insults = ["gruffwit", "мракобес", "ab" + "zounderpate" * 3]
+    rows, labels, truth = [], [], {}
+    for doc in range(1_500):
+        letters = rng.choice(["abcdehiklmnorstu", "абвгдежзиклмнопр"])
+        text = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 10))) for _ in range(20)]
+        truth[doc] = rng.random() < 0.3
+        if truth[doc]:
+            text.insert(rng.randint(0, 20), rng.choice(insults))
+        rows.append((doc, " ".join(text)))
+        labels.append((doc, int(truth[doc] != (rng.random() < 0.15))))  # 15 % of the labels are wrong
+    docs = frame(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.col("doc_id") % 4 != 2)
+    held = toxicity.score(docs, model).withColumn("bad", toxicity.flagged(model)).where("doc_id % 4 = 2").collect()
+    for insult in insults:
+        own = [r["bad"] for r in held if insult in r["text"]]
+        assert sum(own) >= 0.9 * len(own) > 10
+    wrong = [r["bad"] for r in held if not truth[r["doc_id"]]]
+    assert sum(wrong) <= 0.05 * len(wrong)
+
+
 def test_toxicity_without_usable_labels(spark, odd, none):
     labels = spark.createDataFrame([(1, 0), (2, None), (None, 1)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels, F.lit(True))
