@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Words of the contracts: runs of anything but ASCII white space.
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
@@ -51,6 +52,32 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: A key that holds more than one in so many rows is hot.
+HOT = 1_000
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, weight: str, salt: list[str]) -> DataFrame:
+    """All rows with the columns of ``facts``, null where none has the row's key.
+
+    ``facts`` has a text key once and in ``weight`` how many rows have it. The hot keys,
+    less than ``HOT``, are broadcast; rows that have none of the others are spread by
+    the ``salt`` columns, so no task of the shuffle gets a hot key or all the nulls.
+    """
+    total = facts.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    names = [c for c in facts.columns if c != key]
+    hot = F.col(weight) * HOT > F.lit(total)
+
+    def part(kind, at: str, name: str) -> DataFrame:
+        return facts.where(kind).select(F.col(key).alias(at), F.struct(*names).alias(name))
+
+    with_hot = rows.join(F.broadcast(part(hot, "_key", "_hot")), F.col(key) == F.col("_key"), "left").drop("_key")
+    elsewhere = F.concat(F.lit("\0"), F.xxhash64(*salt).cast("string"))
+    spread = F.coalesce(F.when(F.col("_hot").isNull(), F.col(key)), elsewhere)
+    both = with_hot.withColumn("_at", spread).join(part(~hot, "_at", "_cold"), "_at", "left")
+    found = both.withColumn("_found", F.coalesce("_hot", "_cold"))
+    return found.select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in names])
+
+
 def shards_for(rows: int, each: int) -> int:
     return max(1, math.ceil(rows / each))
 

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm import (
+    alignment,
     bpe_codec,
+    collocations,
     jaccard_join,
     kneser_ney,
     packing,
@@ -18,9 +20,10 @@ from aerolake.llm import (
     token_counts,
     topk,
     toxicity,
+    warc,
     wavelet_store,
 )
-from aerolake.llm.common import scratch, table
+from aerolake.llm.common import scratch, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,3 +156,101 @@ def op9_wavelet_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document, of its edited form, and their likeness."""
     return spotsigs.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the archives give it back."""
+    path = scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    found = warc.read(spark, path).drop("payload")
+    return warc.resolve(stored(found, "warc-records"))
+
+
+ORACLES["op11_warc"] = """
+    WITH p AS (
+        SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS size,
+               sha256(coalesce(html, '')) AS digest
+        FROM pages
+    ), firsts AS (
+        SELECT *, CASE WHEN size >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM p
+    )
+    SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, digest AS payload_digest,
+           CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first <> page_id THEN first END AS refers_to
+    FROM firsts
+"""
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and link counts of two tokenizers over every document."""
+    found = alignment.align(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    about = found.groups.select("row", "doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"))
+    zero = F.lit(0).cast("long")
+    return about.join(found.links, "row", "left").select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        *[F.coalesce(c, zero).alias(c) for c in ("n_links", "n_best", "count_sum")],
+        "groups_sha256",
+    )
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_collocations"] = """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents WHERE text IS NOT NULL
+    ), w AS (
+        SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM pieces
+    ), runs AS (
+        SELECT lang, 1 AS words, unnest(ws) AS phrase FROM w
+        UNION ALL
+        SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
+        UNION ALL
+        SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1),
+                                              lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w
+    ), f AS (
+        SELECT lang, words, phrase, count(*) AS f FROM runs GROUP BY ALL
+    ), totals AS (
+        SELECT lang, sum(f) AS n FROM f WHERE words = 1 GROUP BY lang
+    ), candidates AS (
+        SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE words > 1 AND f >= 10
+    ), cuts AS (
+        SELECT c.*, k, array_to_string(ws[1:k], ' ') AS first_part, array_to_string(ws[k + 1:], ' ') AS rest
+        FROM candidates c, (VALUES (1), (2)) cut(k) WHERE k < words
+    ), scored AS (
+        SELECT c.lang, c.words, c.phrase, c.a, k, p.f AS l, q.f AS r,
+               CAST(CAST(c.a AS HUGEINT) * c.a * 1000000 // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+        FROM cuts c
+        JOIN f p ON p.lang = c.lang AND p.phrase = first_part AND p.words = k
+        JOIN f q ON q.lang = c.lang AND q.phrase = rest AND q.words = c.words - k
+    ), best AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), inner_phrases AS (
+        SELECT lang, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase, a FROM candidates WHERE words = 3
+    ), around AS (
+        SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY ALL
+    ), ranked AS (
+        SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+        FROM best b LEFT JOIN around o ON o.lang = b.lang AND o.phrase = b.phrase
+        WHERE longer IS NULL OR 100 * longer < 50 * a
+    )
+    SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+    FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
