@@ -18,9 +18,11 @@ from __future__ import annotations
 
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +30,16 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.bpe import ByteLevel, Cache, loaded, pre_tokens
+from aerolake.llm.bpe import ByteLevel, loaded, pre_tokens
 from aerolake.llm.common import map_arrow, parts, stored, tune
 
 #: Bytes of a range; longer texts are divided.
 RANGE_BYTES = 1 << 16
 #: Bytes of text after which a block is closed.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: Words that a worker keeps solved, and texts whose new words it solves at a time.
+WORDS = 200_000
+TOGETHER = 200
 #: Fragments composed by one task at a time.
 FAN = 16
 #: Pairs are numbered a * PAIR + b.
@@ -116,12 +121,13 @@ class Pair:
         for token, i in self.a.ranks.items():
             self.bytes_a[i] = token
         self.bytes_b = [self._bytes(i) for i in range(size_b)]
-        self.length_a, self.length_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.size_a, self.size_b = ([len(t) for t in x] for x in (self.bytes_a, self.bytes_b))
+        self.length_a, self.length_b = np.array(self.size_a, np.int64), np.array(self.size_b, np.int64)
         self.text_a, self.text_b = [str(i) for i in range(size_a)], [str(i) for i in range(size_b)]
         inside = any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(size_b))
         # were there pieces across words, only whole texts could be encoded
         self.divides = not inside
-        self.words = Cache(self._word)
+        self.known: dict[str, tuple | None] = {}
 
     def _bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -129,20 +135,65 @@ class Pair:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def _word(self, word: str) -> tuple[bytes, bytes, bool]:
-        ids = self.a.ids
-        a = b"".join([ids[p] for p in pre_tokens(" " + word)])
-        b = np.array(self.b.encode(word, num_threads=1), "<u4")
-        same = b"".join([self.bytes_b[i] for i in b.tolist()]) == (" " + word).encode()
-        same &= b"".join([self.bytes_a[i] for i in np.frombuffer(a, "<u4").tolist()]) == (" " + word).encode()
-        return a, b.tobytes(), same
+    def words(self, text: str) -> list[str]:
+        return _SAFE.split(text) if self.divides else [text]
 
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
         """Ids of both for a space and the text, and whether they give its bytes."""
-        found = self.words
-        some = [found[w] for w in (_SAFE.split(text) if self.divides else [text])]
-        a, b = (np.frombuffer(b"".join([s[k] for s in some]), "<u4") for k in (0, 1))
-        return a, b, all([s[2] for s in some])
+        ids, data = self.a.ids, (" " + text).encode()
+        a = np.frombuffer(b"".join([ids[p] for p in pre_tokens(" " + text)]), "<u4")
+        b = np.array([*chain.from_iterable(self.b.encode(self.words(text), num_threads=1))], "<u4")
+        both = zip((self.bytes_a, self.bytes_b), (a, b), strict=True)
+        return a, b, all(b"".join([known[i] for i in own.tolist()]) == data for known, own in both)
+
+    def learn(self, words: set[str]) -> None:
+        """Solve the words that were not met yet, and keep them up to a bound."""
+        if len(self.known) > WORDS:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        merge = self.a.core._encode_single_piece
+        for word, b in zip(new, self.b.encode(new, num_threads=1), strict=True):
+            spaced = " " + word
+            a = [i for p in pre_tokens(spaced) for i in merge(p.encode())]
+            self.known[word] = self._solved(spaced.encode(), a, b)
+
+    def _solved(self, data: bytes, a: list[int], b: list[int]) -> tuple[str, int, int, int, bytes] | None:
+        """Groups, tokens of both, how many groups, and linked pairs of a whole word; None if its bytes
+        are not those of the tokens."""
+        bytes_a, bytes_b, size_a, size_b = self.bytes_a, self.bytes_b, self.size_a, self.size_b
+        if b"".join([bytes_a[i] for i in a]) != data or b"".join([bytes_b[i] for i in b]) != data:
+            return None
+        text_a, text_b = self.text_a, self.text_b
+        groups, links = [], []
+        end_a = end_b = from_a = from_b = m = 0
+        for k, i in enumerate(a, 1):
+            end_a += size_a[i]
+            while end_b < end_a:
+                end_b += size_b[b[m]]
+                m += 1
+            if end_a == end_b:
+                if k - from_a == m - from_b == 1:
+                    groups.append(f"{i}|{b[from_b]}")
+                else:
+                    groups.append(
+                        ",".join([text_a[t] for t in a[from_a:k]]) + "|" + ",".join([text_b[t] for t in b[from_b:m]])
+                    )
+                links.append(i * PAIR + b[m - 1])
+                from_a, from_b = k, m
+        return ";".join(groups), len(a), len(b), len(groups), array("q", links).tobytes()
+
+    def whole(self, words: list[str]) -> tuple[Fragment, np.ndarray]:
+        """Fragment of a whole text: its words' fragments are closed at both ends, so
+        composing them lists their groups. The words must have been learned."""
+        known = self.known
+        found = [known[w] for w in words]
+        if None in found:
+            return Fragment(sound=False), np.zeros(0, np.int64)
+        groups, n_a, n_b, n_groups, links = zip(*found, strict=True)
+        first, _, rest = ";".join(groups).partition(";")
+        a, _, b = first.partition("|")
+        fragment = Fragment(True, a, b, rest, n_a=sum(n_a), n_b=sum(n_b), n_groups=sum(n_groups) - 1)
+        return fragment, np.frombuffer(b"".join(links), np.int64)
 
     def fragment(self, text: str, start: int, stop: int) -> tuple[Fragment, np.ndarray]:
         """Fragment of the tokens that end after ``start`` and up to ``stop``, counted in
@@ -298,10 +349,9 @@ def _blocks(windows: DataFrame, paths: str) -> DataFrame:
             "block": pa.array([name] * len(rows), pa.string()),
             "width": pa.array([width] * len(rows), pa.int32()),
             "links": pa.array([places[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary()),
-            "pairs": pa.array(
-                [[{"pair": p, "n": n} for p, n in zip(pairs.tolist(), times.tolist(), strict=True)]]
-                + [None] * (len(rows) - 1),
-                pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())])),
+            "pairs": pa.ListArray.from_arrays(
+                pa.array([0] + [len(pairs)] * len(rows), pa.int32()),
+                pa.StructArray.from_arrays([pa.array(pairs, pa.int64()), pa.array(times, pa.int64())], ["pair", "n"]),
             ),
         }
         return pa.RecordBatch.from_pydict(columns)
@@ -310,10 +360,21 @@ def _blocks(windows: DataFrame, paths: str) -> DataFrame:
         pair = loaded(_pair, paths)
         rows, fragments, links, size = [], [], [], 0
         for batch in batches:
-            for row in batch.to_pylist():
+            learned = 0
+            given = batch.to_pylist()
+            for at, row in enumerate(given):
+                if at == learned:
+                    # texts are solved some at a time, so that their words are kept until then
+                    learned = min(at + TOGETHER, len(given))
+                    some = given[at:learned]
+                    words = [pair.words(r["text"]) if r["parts"] == 1 and r["text"] else [] for r in some]
+                    pair.learn(set(chain.from_iterable(words)))
+                    first = at
                 text = row.pop("text")
-                if text or row["parts"] > 1:
+                if row["parts"] > 1:
                     fragment, own = pair.fragment(text, row["start"], row["stop"])
+                elif text:
+                    fragment, own = pair.whole(words[at - first])
                 else:
                     fragment, own = Fragment(sound=False), np.zeros(0, np.int64)
                 rows.append(row)
@@ -383,7 +444,7 @@ class Alignment:
     @cached_property
     def _sent(self) -> DataFrame:
         """block, place, pair, n: the distinct pairs of each block."""
-        return self.blocks.where("pairs IS NOT NULL").select(
+        return self.blocks.where(F.size("pairs") > 0).select(
             "block", F.posexplode("pairs").alias("place", "found")
         ).select("block", "place", "found.pair", "found.n")
 
