@@ -11,24 +11,29 @@ chunk that follows, so every occurrence is counted once.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake.llm.common import looked_up, map_arrow, stored, tune
+from aerolake.llm.hashing import mix, word_hashes
 
 #: Words that neighbouring chunks share; runs of one word more are counted.
 OVERLAP = 2
 #: One window of so many triggers a cut.
-TRIGGER = 3
+TRIGGER = 16
 #: Words after which a chunk is cut in any case.
 LONGEST = 64
 #: Distinct chunks or runs gathered before they are handed on.
 FLUSH = 400_000
+#: Power of two of the bits that frequent words or pairs may take on the driver.
+BITS = 27
 #: What ends a piece, and what parts its words.
 PIECE_END = re.compile("[.,;:!?\x0a-\x0d]+")
 WORD_GAP = re.compile("[\x20\x09]+")
@@ -55,7 +60,7 @@ def chunks(words: list[str], hashes: dict[str, int]) -> Iterator[tuple[int, list
         marks = [hashes[w] for w in words]
         # a window ends before place i; the last one of the piece triggers nothing
         for i in range(OVERLAP + 1, n):
-            if (marks[i - 2] * 31 + marks[i - 1]) % TRIGGER == 0 or i - start >= LONGEST:
+            if ((marks[i - 2] * 31 + marks[i - 1]) * 2654435761 >> 16) % TRIGGER == 0 or i - start >= LONGEST:
                 yield i - OVERLAP - start, words[start:i]
                 start = i - OVERLAP
     yield n - start, words[start:]
@@ -104,24 +109,119 @@ def dictionary(docs: DataFrame) -> DataFrame:
     return parsed.groupBy("lang", "own", "chunk").agg(F.sum("n").alias("n"))
 
 
-def runs(chunks_df: DataFrame, longest: int = OVERLAP + 1) -> DataFrame:
-    """lang, words, phrase, f: occurrences of every run of up to ``longest`` words."""
-    if not 1 <= longest <= OVERLAP + 1:
-        raise ValueError(f"runs have 1 to {OVERLAP + 1} words, got {longest}")
+# --- counting runs -------------------------------------------------------------------
+
+
+class _Bits:
+    """A set of hashes as bits: all that were put in are found, few others are."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.shift = bits, np.uint64(64 - int(len(bits) * 64).bit_length() + 1)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes >> self.shift
+        return (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+
+
+def _bits(hashes: DataFrame) -> np.ndarray:
+    """Bits of the distinct hashes (column ``h``) in a table. Their number goes with the table's, up to
+    2 ** ``BITS``, so this many bits at most come to the driver; with more hashes than that
+    fewer runs are ruled out, and counts are the same."""
+    power = max(min(int(16 * hashes.count()).bit_length(), BITS), 6)
+    at = F.expr(f"shiftrightunsigned(h, {64 - power})")
+    placed = hashes.select(at.alias("at"))
+    words = placed.select(F.shiftright("at", 6).alias("i"), F.expr("shiftleft(1L, CAST(at & 63 AS INT))").alias("w"))
+    rows = words.groupBy("i").agg(F.bit_or("w").alias("w")).toArrow()
+    bits = np.zeros(1 << (power - 6), np.uint64)
+    bits[rows["i"].to_numpy()] = rows["w"].to_numpy().view(np.uint64)
+    return bits
+
+
+class _Words:
+    """Hashes of the words of a batch of chunks, mixed with the language's."""
+
+    def __init__(self, batch: pa.RecordBatch, column: str):
+        parts, lengths = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for _, hashes, before in word_hashes(batch[column], False):
+            parts.append(hashes)
+            lengths.append(np.diff(before))
+        self.lengths = np.concatenate(lengths)
+        langs = batch["lang"].dictionary_encode()
+        salts = [hashlib.sha256(x.encode()).digest()[:8] for x in langs.dictionary.to_pylist()]
+        salt = np.frombuffer(b"".join(salts), np.uint64)[langs.indices.to_numpy()]
+        self.chunk = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.hashes = mix(np.concatenate(parts) + salt[self.chunk])
+        self.place = np.arange(len(self.chunk)) - (np.cumsum(self.lengths) - self.lengths)[self.chunk]
+
+    def pairs(self, often: _Bits) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of the pair that begins at each word but the last, and whether both words are
+        in one chunk and often enough."""
+        hashes = mix(self.hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[1:])
+        some = often.has(self.hashes)
+        return hashes, some[:-1] & some[1:] & (self.chunk[:-1] == self.chunk[1:])
+
+
+def _word_keys(words: DataFrame) -> DataFrame:
+    """Hashes of words as they are met in chunks."""
 
     def make():
         def step(batch: pa.RecordBatch):
-            found: dict[tuple[str, int, str], int] = {}
-            get = found.get
-            columns = [batch[c].to_pylist() for c in ("lang", "own", "chunk", "n")]
-            for lang, own, chunk, n in zip(*columns, strict=True):
-                words = chunk.split(" ")
-                for size in range(1, longest + 1):
-                    last = min(own, len(words) - size + 1)
-                    some = words[:last] if size == 1 else [" ".join(words[i : i + size]) for i in range(last)]
-                    for phrase in some:
-                        key = (lang, size, phrase)
-                        found[key] = get(key, 0) + n
+            yield {"h": pa.array(_Words(batch, "phrase").hashes.view(np.int64), pa.int64())}
+
+        return step
+
+    return map_arrow(words.select("lang", "phrase"), make, "h long")
+
+
+def _pair_counts(chunks_df: DataFrame, often) -> DataFrame:
+    """h, f: occurrences of the pairs of frequent words by hash."""
+
+    def make():
+        known = _Bits(often.value)
+
+        def step(batch: pa.RecordBatch):
+            words = _Words(batch, "chunk")
+            own, n = (batch[c].to_numpy() for c in ("own", "n"))
+            hashes, fit = words.pairs(known)
+            at = np.flatnonzero(fit & (words.place < own[words.chunk])[:-1])
+            order = at[np.argsort(hashes[at], kind="stable")]
+            found, first = np.unique(hashes[order], return_index=True)
+            total = np.add.reduceat(n[words.chunk[order]], first) if len(first) else np.zeros(0, np.int64)
+            yield {"h": pa.array(found.view(np.int64), pa.int64()), "f": pa.array(total, pa.int64())}
+
+        return step
+
+    found = map_arrow(chunks_df.select("lang", "own", "chunk", "n"), make, "h long, f long")
+    return found.groupBy("h").agg(F.sum("f").alias("f"))
+
+
+def _longer_runs(chunks_df: DataFrame, often, often_pairs) -> DataFrame:
+    """lang, words, phrase, f: occurrences of runs of 2 and 3 words whose pairs may be
+    frequent; a run can be so only if all its parts are."""
+
+    def make():
+        known, known_pairs = _Bits(often.value), _Bits(often_pairs.value)
+
+        def step(batch: pa.RecordBatch):
+            words = _Words(batch, "chunk")
+            own, n = (batch[c].to_numpy() for c in ("own", "n"))
+            hashes, fit = words.pairs(known)
+            fit &= known_pairs.has(hashes)
+            mine = (words.place < own[words.chunk])[:-1]
+            two = fit & mine
+            three = two.copy()
+            three[:-1] &= fit[1:]
+            three[-1:] = False
+            langs, texts, found = batch["lang"].to_pylist(), batch["chunk"].to_pylist(), {}
+            at = np.flatnonzero(two)
+            last, parts = -1, []
+            columns = (words.chunk[at].tolist(), words.place[at].tolist(), three[at].tolist(), n[words.chunk[at]].tolist())
+            for chunk, i, more, times in zip(*columns, strict=True):
+                if chunk != last:
+                    last, parts = chunk, texts[chunk].split(" ")
+                for size in (2, 3) if more else (2,):
+                    key = (langs[chunk], size, " ".join(parts[i : i + size]))
+                    found[key] = found.get(key, 0) + times
             yield {
                 "lang": pa.array([k[0] for k in found], pa.string()),
                 "words": pa.array([k[1] for k in found], pa.int32()),
@@ -131,8 +231,28 @@ def runs(chunks_df: DataFrame, longest: int = OVERLAP + 1) -> DataFrame:
 
         return step
 
-    counted = map_arrow(chunks_df.select("lang", "own", "chunk", "n"), make, "lang string, words int, phrase string, f long")
-    return counted.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    found = map_arrow(
+        chunks_df.select("lang", "own", "chunk", "n"), make, "lang string, words int, phrase string, f long"
+    )
+    return found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+
+
+def frequent(chunks_df: DataFrame, least: int) -> DataFrame:
+    """lang, words, phrase, f of all runs of 1 to 3 words that occur ``least`` times.
+
+    Words are counted first, then pairs of frequent words by hash, then as text
+    the pairs and triples that these leave possible. What is ruled out is too rare for
+    certain: two pairs with one hash, or one bit, only leave more to count.
+    """
+    broadcast = chunks_df.sparkSession.sparkContext.broadcast
+    each = chunks_df.select("lang", F.explode(F.slice(F.split("chunk", " "), F.lit(1), F.col("own"))).alias("phrase"), "n")
+    words = each.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    words = stored(words.select("lang", F.lit(1).alias("words"), "phrase", "f"), "words")
+    often = broadcast(_bits(_word_keys(words)))
+    pairs = stored(_pair_counts(chunks_df, often).where(F.col("f") >= least).select("h"), "pairs")
+    often_pairs = broadcast(_bits(pairs))
+    longer = _longer_runs(chunks_df, often, often_pairs).where(F.col("f") >= least)
+    return words.unionByName(longer)
 
 
 def _key(lang: str, phrase: str):
@@ -180,7 +300,7 @@ def collocations(
     """
     known = stored(dictionary(docs), "dictionary")
     totals = known.groupBy("lang").agg(F.sum(F.col("n") * F.col("own")).alias("n"))
-    often = stored(runs(known).where(F.col("f") >= least), "phrases")
+    often = stored(frequent(known, least), "phrases")
     scored = stored(_scored(often), "scored")
     longer = scored.where("words > 2").select(
         "lang",

@@ -80,8 +80,14 @@ def test_cuts_do_not_change_counts(spark, monkeypatch, trigger, flush):
     assert found(collocations.collocations(table(spark, rows), least=2)) == brute(rows, 2)
 
 
+def test_few_bits_do_not_change_counts(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "BITS", 6)
+    rows = invented(9)
+    assert found(collocations.collocations(table(spark, rows), least=4)) == brute(rows, 4)
+
+
 def test_chunks_overlap_and_are_few_for_repeats(spark):
-    words = "a b c d e f g h i j k l m n o p".split() * 50
+    words = [f"w{i}" for i in range(60)] * 50
     some = list(collocations.chunks(words, collocations._Hashes()))
     assert [w for own, c in some for w in c[:own]] == words
     for (own, left), (_, right) in zip(some, some[1:], strict=False):
