@@ -265,11 +265,26 @@ def ranges(text: str, size: int = RANGE_BYTES) -> Iterator[tuple[str, int, int]]
         at = stop
 
 
+def steps(places: np.ndarray) -> bytes:
+    """Places in ascending order, each as its distance from the one before: as many bytes
+    255 as it holds, and one byte for the rest."""
+    whole, rest = np.divmod(np.diff(np.sort(places), prepend=0), 255)
+    out = np.full(len(places) + int(whole.sum()), 255, np.uint8)
+    out[np.cumsum(whole + 1) - 1] = rest
+    return out.tobytes()
+
+
+def places_of(data: bytes) -> np.ndarray:
+    """The places that `steps` was given, in order."""
+    found = np.frombuffer(data, np.uint8)
+    return np.cumsum(found, dtype=np.int64)[found != 255]
+
+
 # --- in Spark ------------------------------------------------------------------------
 
 WINDOWS = "row string, doc_id long, part int, parts int, text string, start int, stop int"
 BLOCKS = (
-    f"row string, doc_id long, part int, parts int, {FRAGMENT}, block string, width int, links binary,"
+    f"row string, doc_id long, part int, parts int, {FRAGMENT}, block string, links binary,"
     " pairs array<struct<pair: bigint, n: bigint>>"
 )
 
@@ -337,8 +352,11 @@ def _blocks(windows: DataFrame, paths: str) -> DataFrame:
         name = uuid.uuid4().hex
         pairs, places, times = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
         bounds = np.cumsum([0, *map(len, links)]).tolist()
-        width = 2 if len(pairs) <= 1 << 16 else 4
-        places = places.astype(f"<u{width}")
+        # frequent pairs come first, so the steps between a row's places are small
+        order = np.argsort(-times, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        places, pairs, times = rank[places], pairs[order], times[order]
         columns = {
             "row": pa.array([r["row"] or f"{name}-{i}" for i, r in enumerate(rows)], pa.string()),
             **{f: pa.array([r[f] for r in rows], pa.int64() if f == "doc_id" else pa.int32()) for f in fields[1:]},
@@ -347,8 +365,7 @@ def _blocks(windows: DataFrame, paths: str) -> DataFrame:
                 for f, kind in (c.split() for c in FRAGMENT.split(","))
             },
             "block": pa.array([name] * len(rows), pa.string()),
-            "width": pa.array([width] * len(rows), pa.int32()),
-            "links": pa.array([places[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary()),
+            "links": pa.array([steps(places[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary()),
             "pairs": pa.ListArray.from_arrays(
                 pa.array([0] + [len(pairs)] * len(rows), pa.int32()),
                 pa.StructArray.from_arrays([pa.array(pairs, pa.int64()), pa.array(times, pa.int64())], ["pair", "n"]),
@@ -471,9 +488,9 @@ class Alignment:
             .groupBy("block")
             .agg(F.collect_list(F.struct("place", "count", "best")).alias("answer"))
         )
-        own = self.blocks.select("block", "row", "width", "links").where(F.octet_length("links") > 0)
-        packed = own.groupBy("block", "width").agg(F.collect_list(F.struct("row", "links")).alias("rows"))
-        sums = packed.join(answers, "block").select("width", "rows", "answer").mapInArrow(
+        own = self.blocks.select("block", "row", "links").where(F.octet_length("links") > 0)
+        packed = own.groupBy("block").agg(F.collect_list(F.struct("row", "links")).alias("rows"))
+        sums = packed.join(answers, "block").select("rows", "answer").mapInArrow(
             _sums, "row string, n_links long, n_best long, count_sum long"
         )
         return sums.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_links", "n_best", "count_sum")])
@@ -482,13 +499,13 @@ class Alignment:
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums over the links of each row of a block."""
     for batch in batches:
-        for width, rows, answer in zip(*(batch[c] for c in ("width", "rows", "answer")), strict=True):
+        for rows, answer in zip(batch["rows"], batch["answer"], strict=True):
             answer = answer.values
             place, count, best = (answer.field(i).to_numpy(zero_copy_only=False) for i in range(3))
             order = np.argsort(place)
             count, best = count[order], best[order].astype(np.int64)
             names, links = rows.values.field(0), rows.values.field(1)
-            own = [np.frombuffer(x, f"<u{width.as_py()}") for x in links.to_pylist()]
+            own = [places_of(x) for x in links.to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {
                     "row": names,

@@ -134,6 +134,12 @@ def test_spans_cover_the_text(spark):
     assert sum(r["count"] for r in found.pairs.collect()) == found.links.first()["n_links"]
 
 
+@given(st.lists(st.integers(0, 3_000)))
+def test_steps_come_back(places):
+    found = alignment.places_of(alignment.steps(np.array(places, np.int64)))
+    assert found.tolist() == sorted(places)
+
+
 _ids = st.lists(st.integers(0, 9).map(str), max_size=2).map(",".join)
 _groups = st.lists(st.just("1|2"), max_size=2)
 
