@@ -78,6 +78,7 @@ def merge_current(
     version: int | Column,
     lineage: dict[str, Column] | None = None,
     key: str = KEY,
+    copies: str | None = None,
 ) -> DataFrame:
     """Current rows after a load, together with the ones it closes.
 
@@ -85,9 +86,10 @@ def merge_current(
     not in the load stays, a changed one comes out closed and re-opened, a new
     one is opened. The raw values are stored; only the comparison is canonical.
     ``lineage`` gives opened rows their values of any further column of
-    ``current``; rows already there keep theirs.
+    ``current``; rows already there keep theirs. ``copies`` names a further column with
+    the number of incoming rows that had the row's key, null for those not in the load.
     """
-    load = one_row_per_key(incoming.select(*FIELDS), key).drop("copies")
+    load = one_row_per_key(incoming.select(*FIELDS), key)
     opening = {
         **(lineage or {}),
         "valid_from": _timestamp(loaded_at),
@@ -101,19 +103,21 @@ def merge_current(
         {"change": change, **{f"open_{c}": value for c, value in opening.items()}}
     )
 
-    def row(values: dict[str, str]) -> str:
+    def row(values: dict[str, str], counted: str) -> str:
+        counted_rows = [f"'{copies}', CAST({counted} AS bigint)"] if copies else []
         columns = [
             f"'{f.name}', CAST({values.get(f.name, f.name)} AS {f.dataType.simpleString()})"
             for f in current.schema.fields
         ]
-        return f"named_struct({', '.join(columns)})"
+        return f"named_struct({', '.join(columns + counted_rows)})"
 
-    kept = row({})
-    closed = row({"valid_to": "open_valid_from", "is_current": "false"})
+    kept = row({}, "new_copies")
+    closed = row({"valid_to": "open_valid_from", "is_current": "false"}, "NULL")
     opened = row(
         {c: "NULL" for c in current.columns}
         | {c: f"new_{c}" for c in FIELDS}
-        | {c: f"open_{c}" for c in opening}
+        | {c: f"open_{c}" for c in opening},
+        "new_copies",
     )
     outcome = F.expr(
         f"""CASE change WHEN 'new' THEN array({opened})

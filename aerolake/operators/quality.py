@@ -39,11 +39,12 @@ def registry_load_stats(history: DataFrame) -> DataFrame:
     )
 
 
-def file_outcomes(docs: DataFrame, path: str = "file_path") -> DataFrame:
-    """Status and ping count of each snapshot document; no shuffle."""
+def file_outcomes(docs: DataFrame, path: str = "file_path", *keep: str) -> DataFrame:
+    """Status and ping count of each snapshot document, with its ``keep`` columns; no
+    shuffle."""
     ok = F.coalesce(is_usable(), F.lit(False))
     pings = F.when(ok, F.coalesce(F.size("aircraft"), F.lit(0))).otherwise(0)
-    return docs.select(path, ok.alias("ok"), F.greatest(pings, F.lit(0)).cast("bigint").alias("pings"))
+    return docs.select(path, ok.alias("ok"), F.greatest(pings, F.lit(0)).cast("bigint").alias("pings"), *keep)
 
 
 def line_outcomes(lines: DataFrame, path: str = "file_path", key: str = "icao") -> DataFrame:

@@ -16,7 +16,7 @@ def read_day(
 ) -> DataFrame:
     """Flat pings of one raw day; ``any_payload`` also takes misnamed gzip."""
     scan = snapshots.scan_snapshot_bytes if any_payload else snapshots.scan_snapshots
-    docs = scan(spark, raw_root, [day_argument(day)], partition=partition)
+    docs = scan(spark, raw_root, [day_argument(day)], partition=partition, with_empty=False)
     return snapshots.flatten(docs, keep=())
 
 
@@ -28,12 +28,13 @@ def prepare_csv(
     *,
     profile: str = "raw",
     any_payload: bool = False,
+    partition: str = "day",
 ) -> str:
     """Write ``prepared_root/day=YYYYMMDD`` and return it; safe to repeat.
 
     ``profile`` is ``raw`` (altitude as found) or ``int_or_null``.
     """
-    pings = normalize(read_day(spark, raw_root, day, any_payload=any_payload), profile)
+    pings = normalize(read_day(spark, raw_root, day, any_payload=any_payload, partition=partition), profile)
     if profile != "raw":
         pings = normalize(pings, "raw")
     path = f"{prepared_root.rstrip('/')}/day={day_argument(day)}"

@@ -12,6 +12,7 @@ behind has a higher version than any line and is replaced by the next try.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -20,15 +21,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake import sinks
-from aerolake.functions.files import content_hash, name_version
+from aerolake.functions.files import name_version
 from aerolake.functions.times import day_argument, utc
 from aerolake.operators import history, versions
 from aerolake.operators.lineage import lineage_values
 from aerolake.schemas import REGISTRY, REGISTRY_GOLD, struct
 from aerolake.session import require
 from aerolake.sources import registry
-from aerolake.sources.paths import DAY_COLUMN, entries, exists, remove
-from aerolake.sources.snapshots import payload_text
+from aerolake.sources.paths import (
+    DAY_COLUMN,
+    copy_stream,
+    entries,
+    exists,
+    remove,
+    rename,
+    starts_as_gzip,
+    stream_hash,
+)
 
 # Fixed value: how landed registry files are named.
 FILE_PREFIX = "aircrafts_database"
@@ -38,6 +47,12 @@ LOADS = struct(
 )
 
 
+MANIFEST = struct(
+    f"path string, {DAY_COLUMN} string, version int, size bigint, file_hash string, source string,"
+    " _loaded_time timestamp"
+)
+
+
 @dataclass(frozen=True)
 class LoadReport:
     """``duplicates``: rows passed over because their key had another one."""
@@ -81,33 +96,41 @@ def to_silver(spark: SparkSession, bronze_root: str, silver_root: str, day: str)
 def land(
     spark: SparkSession, source: str, bronze_root: str, day: str, loaded_at: datetime | None = None
 ) -> str:
-    """Keep a delivered file unchanged as the day's next bronze version.
-
-    The copy is compared with the source by hash, and recorded under
-    ``bronze_root/_manifest``. Returns the version's folder.
+    """Keep a delivered file (or the files of a folder) unchanged as the day's next
+    bronze version.
+
+    Bytes are copied as a stream between the file systems, hashed on the way, and the
+    copy's hash is taken from the copy, so a file may be of any size. Only its name tells
+    whether it is gzip afterwards, as the line reader goes by it. The version is visible
+    when all its files are there, and recorded under ``bronze_root/_manifest``. Returns
+    the version's folder.
     """
     require(spark)
     written = day_argument(day)
-    given = spark.read.format("binaryFile").load(source)
+    given = [(path, size) for path, size, is_folder in entries(spark, source) if not is_folder]
+    if not given:
+        given = [
+            (path, size)
+            for path, size, is_folder in entries(spark, f"{source.rstrip('/')}/*")
+            if not is_folder and not path.rsplit("/", 1)[1].startswith(("_", "."))
+        ]
+    if not given:
+        raise FileNotFoundError(f"nothing was delivered at {source}")
     wanted = spark.range(1).select(F.lit(written).alias(DAY_COLUMN))
     number = versions.next_version(landed(spark, bronze_root, day), wanted).first()["next_version"]
-    folder = f"{bronze_root.rstrip('/')}/{DAY_COLUMN}={written}/{FILE_PREFIX}_v{number}.parquet"
-    kept = given.select("path", "length", "content", content_hash("content").alias("file_hash"))
-    kept.write.mode("overwrite").parquet(folder)
-    copy = spark.read.parquet(folder)
-    bad = copy.where(content_hash("content") != F.col("file_hash")).count()
-    if bad or copy.count() != given.select("path").count():
-        raise OSError(f"the copy in {folder} differs from {source}")
-    record = copy.select(
-        F.lit(folder).alias("path"),
-        F.lit(written).alias(DAY_COLUMN),
-        F.lit(number).cast("int").alias("version"),
-        F.col("length").alias("size"),
-        "file_hash",
-        F.col("path").alias("source"),
-        F.lit(utc(loaded_at or datetime.now(timezone.utc))).alias("_loaded_time"),
+    top = f"{bronze_root.rstrip('/')}/{DAY_COLUMN}={written}"
+    folder, beside = f"{top}/{FILE_PREFIX}_v{number}.jsonl", f"{top}/_landing-{uuid.uuid4().hex}"
+    at, rows = utc(loaded_at or datetime.now(timezone.utc)), []
+    for path, size in given:
+        name = path.rsplit("/", 1)[1].removesuffix(".gz") + (".gz" if starts_as_gzip(spark, path) else "")
+        digest = copy_stream(spark, path, f"{beside}/{name}")
+        if digest != stream_hash(spark, f"{beside}/{name}"):
+            raise OSError(f"the copy in {beside} differs from {path}")
+        rows.append((f"{folder}/{name}", written, number, size, digest, path, at))
+    rename(spark, beside, folder)
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(
+        f"{bronze_root.rstrip('/')}/_manifest"
     )
-    record.coalesce(1).write.mode("append").parquet(f"{bronze_root.rstrip('/')}/_manifest")
     return folder
 
 
@@ -131,11 +154,8 @@ def landed_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, da
     newest = versions.latest_version(landed(spark, bronze_root, day)).first()
     if newest is None:
         raise FileNotFoundError(f"no registry was landed for {day}")
-    kept = spark.read.parquet(newest["path"])
-    lines = kept.select(
-        F.explode(F.split(payload_text("content"), "\r?\n")).alias("line"), F.col("path").alias("file_path")
-    ).where("line <> ''")
-    records = registry.registry_records(registry.parse_registry_lines(lines, "line"))
+    # read by lines: a plain file is divided over tasks, a gzip one is inflated as a stream
+    records = registry.registry_records(registry.scan_registry_lines(spark, newest["path"]))
     wanted = spark.range(1).select(F.lit(day_argument(day)).alias(DAY_COLUMN))
     following = versions.next_version(silver_listing(spark, silver_root, day), wanted)
     return sinks.write_versioned(records, silver_root, day_argument(day), following.first()["next_version"])
@@ -186,8 +206,9 @@ def to_gold(
 ) -> LoadReport:
     """Merge one silver version into the history.
 
-    Changes are looked for first: a load without any writes nothing and has no
-    version. Of rows with the same key the smallest counts, unless
+    One join decides and is written; what it opened and closed is counted in the
+    written rows. A load without changes has no version: its rows are taken back, and no
+    line makes them visible. Of rows with the same key the smallest counts, unless
     ``refuse_duplicates`` raises. Current rows of all but the last ``keep`` loads
     are removed, so readers that began before this load still find theirs.
     """
@@ -198,17 +219,6 @@ def to_gold(
     silver = spark.read.schema(REGISTRY).parquet(silver_path)
     current = history.current_only(_history_at(spark, gold_root, last))
     incoming = registry.clean_registry(silver)
-    picked = history.one_row_per_key(incoming.select(*history.FIELDS))
-    found = history.classify(picked, current).agg(
-        F.count_if(F.col("change") == "new").alias("new"),
-        F.count_if(F.col("change") == "changed").alias("changed"),
-        F.coalesce(F.sum("copies") - F.count("*"), F.lit(0)).alias("duplicates"),
-    ).first()
-    opened, closed, duplicates = found["new"] + found["changed"], found["changed"], found["duplicates"]
-    if duplicates and refuse_duplicates:
-        raise ValueError(f"{duplicates} rows of {silver_path} repeat a key")
-    if opened == 0:
-        return LoadReport(None, 0, 0, duplicates)
     merged = history.merge_current(
         current,
         incoming,
@@ -216,10 +226,22 @@ def to_gold(
         source_date=day_argument(day),
         version=version,
         lineage=lineage_values(F.lit(silver_path)),
+        copies="_copies",
     )
-    merged.write.mode("overwrite").partitionBy("is_current").parquet(
-        f"{gold_root.rstrip('/')}/rows/_load={version}"
-    )
+    folder = f"{gold_root.rstrip('/')}/rows/_load={version}"
+    merged.write.mode("overwrite").partitionBy("is_current").parquet(folder)
+    found = spark.read.schema(merged.schema).parquet(folder).agg(
+        F.count_if(F.col("is_current") & (F.col("version") == version)).alias("opened"),
+        F.count_if(~F.col("is_current")).alias("closed"),
+        F.coalesce(F.sum("_copies") - F.count("_copies"), F.lit(0)).alias("duplicates"),
+    ).first()
+    opened, closed, duplicates = found["opened"], found["closed"], found["duplicates"]
+    if opened == 0 or (duplicates and refuse_duplicates):
+        remove(spark, folder)
+    if duplicates and refuse_duplicates:
+        raise ValueError(f"{duplicates} rows of {silver_path} repeat a key")
+    if opened == 0:
+        return LoadReport(None, 0, 0, duplicates)
     line = [(version, loaded_at, day_argument(day), opened, closed)]
     spark.createDataFrame(line, LOADS).coalesce(1).write.mode("append").parquet(
         f"{gold_root.rstrip('/')}/loads"

@@ -69,6 +69,8 @@ PINGS_SILVER = struct(
     " alt_baro bigint, timestamp timestamp, ground_speed double, emergency string"
 )
 
+FILE_OUTCOMES = struct("file_path string, ok boolean, pings bigint")
+
 LINEAGE = struct(
     "source_date string, _loaded_time timestamp, _file_location string,"
     " _systems_passed array<string>"

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from aerolake.functions.files import content_hash
 from aerolake.schemas import PING_COLUMNS
-from aerolake.sources.paths import DAY_COLUMN, day_files, remove
+from aerolake.sources.paths import DAY_COLUMN, layer_files, remove
 
 WRITE_MODES = ("days", "refresh", "append")
 
@@ -72,15 +72,17 @@ def write_layer(
     if mode == "append":
         writer.mode("append").parquet(root)
         return
+    spark, wanted = df.sparkSession, None if all_days else days
     stale = mode == "days" and (all_days or days)
-    before = day_files(df.sparkSession, root, None if all_days else days, partition) if stale else {}
+    before = layer_files(spark, root, wanted, partition) if stale else None
     overwrite = "dynamic" if mode == "days" else "static"
     writer.mode("overwrite").option("partitionOverwriteMode", overwrite).parquet(root)
-    after = day_files(df.sparkSession, root, None if all_days else days, partition) if before else {}
-    for folder, names in before.items():
-        # files are replaced with the day; what is still there was not written now
-        if names & after.get(folder, set()):
-            remove(df.sparkSession, folder)
+    after = layer_files(spark, root, wanted, partition) if before is not None else None
+    if after is not None:
+        # files are replaced with the day; where one is still there, nothing was written now
+        left = before.join(after.select("file_path"), "file_path", "left_semi").select(partition).distinct()
+        for row in left.toLocalIterator():
+            remove(spark, f"{root.rstrip('/')}/{partition}={row[0]}")
 
 
 def write_refresh(df: DataFrame, path: str) -> None:
@@ -96,6 +98,43 @@ def refresh_table(df: DataFrame, table: str, *, partition: str | None = None) ->
     writer.saveAsTable(table)
 
 
+def write_bucketed(
+    df: DataFrame,
+    table: str,
+    *,
+    partition: str,
+    key: str = "icao",
+    sort_by: tuple[str, ...] = ("timestamp",),
+    buckets: int = DAY_SLICES,
+) -> None:
+    """Put days into a catalog table bucketed by ``key``; days present in ``df`` are
+    replaced, others stay. The table is made if it is not there.
+
+    Rows are dealt by the hash that Spark buckets by, so a bucket of a day is one file
+    unless it is heavy; REBALANCE then splits it over tasks, each with a file of the
+    bucket. Files are sorted by ``key`` and carry a Bloom filter on it.
+    """
+    spark = df.sparkSession
+    columns = [c for c in df.columns if c != partition] + [partition]
+    bucket = F.pmod(F.hash(key), F.lit(buckets))
+    dealt = df.select(*columns).withColumn("_bucket", bucket).hint("rebalance", partition, "_bucket")
+    rows = dealt.sortWithinPartitions(partition, "_bucket", key, *sort_by).drop("_bucket")
+    if not spark.catalog.tableExists(table):
+        empty = spark.createDataFrame([], rows.schema)
+        (
+            empty.write.format("parquet")
+            .option("compression", "snappy")
+            .option("partitionOverwriteMode", "dynamic")
+            .option(f"parquet.bloom.filter.enabled#{key}", "true")
+            .option(f"parquet.bloom.filter.expected.ndv#{key}", "20000")
+            .partitionBy(partition)
+            .bucketBy(buckets, key)
+            .sortBy(key, *sort_by)
+            .saveAsTable(table)
+        )
+    rows.write.insertInto(table, overwrite=True)
+
+
 def write_versioned(df: DataFrame, root: str, day: str, version: int) -> str:
     """Write one version of a day's table and return its folder."""
     path = f"{root.rstrip('/')}/{DAY_COLUMN}={day}/version={version}"

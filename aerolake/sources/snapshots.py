@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from aerolake.functions import files, numbers, times
 from aerolake.schemas import CORRUPT, SNAPSHOT_DOC, with_partition
-from aerolake.sources.paths import DAY_COLUMN, day_glob, empty_files, exists
+from aerolake.sources.paths import DAY_COLUMN, day_glob, exists, listed, path_day, plain_path
 
 
 def scan_snapshots(
@@ -27,14 +27,17 @@ def scan_snapshots(
     *,
     name_glob: str | None = None,
     partition: str = DAY_COLUMN,
+    with_empty: bool = True,
 ) -> DataFrame:
     """Read plain ``.json`` and compressed ``.gz`` files, inflated by Spark by name.
 
     ``days`` (``YYYYMMDD``) restricts the listing to those folders; days without
     files give no rows. What counts as a document is the same as in
-    `scan_snapshot_bytes`.
+    `scan_snapshot_bytes`. Files without any byte are unreadable documents; who only
+    wants pings leaves them out.
     """
-    return _scan(spark, root, days, name_glob, partition, spark.read.option("wholetext", True).format("text"))
+    reader = spark.read.option("wholetext", True).format("text")
+    return _scan(spark, root, days, name_glob, partition, reader, with_empty)
 
 
 def scan_snapshot_bytes(
@@ -44,14 +47,15 @@ def scan_snapshot_bytes(
     *,
     name_glob: str | None = None,
     partition: str = DAY_COLUMN,
+    with_empty: bool = True,
 ) -> DataFrame:
     """Read files whose payload may be JSON or gzip, whatever they are called."""
-    return _scan(spark, root, days, name_glob, partition, spark.read.format("binaryFile"))
+    return _scan(spark, root, days, name_glob, partition, spark.read.format("binaryFile"), with_empty)
 
 
-def _scan(spark, root, days, name_glob, partition, reader) -> DataFrame:
+def _scan(spark, root, days, name_glob, partition, reader, with_empty) -> DataFrame:
     """Documents of all files. Those without any byte, which the readers pass over,
-    are taken from the listing as unreadable."""
+    are what the file index has and a look at names and sizes does not give."""
     days = None if days is None else list(days)
     path = day_glob(root, days, partition)
     if not exists(spark, path):
@@ -63,10 +67,15 @@ def _scan(spark, root, days, name_glob, partition, reader) -> DataFrame:
     day = F.col(partition).cast("string") if partition in raw.columns else F.lit(None).cast("string")
     text = payload_text("content") if "content" in raw.columns else F.make_valid_utf8("value")
     texts = raw.select(text.alias("text"), day.alias(partition), F.col("_metadata.file_path").alias("file_path"))
-    empty = empty_files(spark, root, days, name_glob, partition)
-    if empty:
-        missing = spark.createDataFrame([("", d, p) for p, d in empty], texts.schema)
-        texts = texts.unionByName(missing)
+    if with_empty:
+        sized = spark.read.format("binaryFile").option("basePath", root)
+        if name_glob:
+            sized = sized.option("pathGlobFilter", name_glob)
+        filled = sized.load(path).select(plain_path(F.col("_metadata.file_path")).alias("file_path"))
+        empty = listed(raw).join(filled, "file_path", "left_anti").where(path_day("file_path", partition).isNotNull())
+        texts = texts.unionByName(
+            empty.select(F.lit("").alias("text"), path_day("file_path", partition).alias(partition), "file_path")
+        )
     return parse_documents(texts, "text")
 
 
@@ -133,21 +142,32 @@ def parse_documents(df: DataFrame, text: str) -> DataFrame:
     """Parse a column of snapshot documents; unreadable text is marked corrupt.
 
     A document is one JSON object: lists, several documents, text after the
-    object and a byte-order mark before it are refused.
+    object and a byte-order mark before it are refused. The text is parsed once, as the
+    only entry of a list with a mark behind it: what ends the list early loses the mark.
     """
-    whole = F.ltrim(F.col(text)).startswith("{") & one_json_value(F.col(text))
     rest = [c for c in df.columns if c != text]
-    checked = df.select(F.when(whole, F.col(text)).alias("whole"), *rest)
-    parsed = F.from_json("whole", SNAPSHOT_DOC, {"columnNameOfCorruptRecord": CORRUPT})
-    docs = checked.select(parsed.alias("doc"), F.col("whole").isNull().alias("unreadable"), *rest)
-    return docs.select(
-        "doc.now",
-        "doc.aircraft",
-        F.when(F.col("unreadable"), F.lit("")).otherwise(F.col(f"doc.{CORRUPT}")).alias(CORRUPT),
+    listed_text = F.concat(F.lit('{"docs":['), F.col(text), F.lit('],"whole":"."}'))
+    checked = df.select(F.when(F.ltrim(F.col(text)).startswith("{"), listed_text).alias("boxed"), *rest)
+    parsed = F.from_json("boxed", _BOX, {"columnNameOfCorruptRecord": CORRUPT})
+    boxes = checked.select(parsed.alias("box"), *rest)
+    good = F.col("box.whole").isNotNull() & (F.size("box.docs") == 1) & F.col(f"box.{CORRUPT}").isNull()
+    return boxes.select(
+        F.get("box.docs", F.lit(0)).getField("now").alias("now"),
+        F.get("box.docs", F.lit(0)).getField("aircraft").alias("aircraft"),
+        F.when(~F.coalesce(good, F.lit(False)), F.coalesce(f"box.{CORRUPT}", F.lit(""))).alias(CORRUPT),
         *rest,
     )
 
 
+_BOX = T.StructType(
+    [
+        T.StructField("docs", T.ArrayType(T.StructType([f for f in SNAPSHOT_DOC.fields if f.name != CORRUPT]))),
+        T.StructField("whole", T.StringType()),
+        T.StructField(CORRUPT, T.StringType()),
+    ]
+)
+
+
 def lenient_json(c: Column | str) -> Column:
     """Parse JSON text; if that fails, repair commas and bare keys and retry.
 

@@ -122,7 +122,7 @@ def test_landed_registry_runs_through(spark, tmp_path):
     first = [{"icao": "a1", "ownop": "X"}, {"icao": "a2", "ownop": "Y"}, {"icao": "a2", "ownop": "Z"}]
     for n, records in enumerate((first, first, []), 1):
         path = registry.land(spark, deliver(tmp_path / "in" / f"{n}.json.gz", records), bronze, "2023-11-01")
-        assert path.endswith(f"_v{n}.parquet")
+        assert path.endswith(f"_v{n}.jsonl")
         written = registry.landed_to_silver(spark, bronze, silver, "2023-11-01")
         assert written.endswith(f"version={n}")
         report = registry.to_gold(spark, written, gold, "2023-11-01")

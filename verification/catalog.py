@@ -16,6 +16,7 @@ from aerolake.operators import (
     fleet,
     history,
     normalize,
+    paging,
     quality,
     versions,
 )
@@ -165,6 +166,31 @@ def positions_page(spark, sf_dir):
     return iso(fleet.positions(views.pings(spark, sf_dir), "00'0008;", 10, 1), "timestamp")
 
 
+DEEP_SQL = f"""with {PINGS_SQL}, placed as (
+  select icao, "timestamp" as ts, type, lat, row_number() over (order by icao, pings."timestamp", type, lat) - 1 as place,
+         count(*) over () as n from pings)
+select icao, {iso_sql('ts')} as "timestamp", type, lat from placed"""
+
+
+@query(f"{DEEP_SQL} where place // 100 = n // 200")
+def pings_deep_page(spark, sf_dir):
+    """The page in the middle of all pings, from the ranges it lies in."""
+    seen = views.pings(spark, sf_dir).select("icao", "timestamp", "type", "lat")
+    pages = paging.ranged(seen, ["icao", "timestamp", "type", "lat"])
+    return iso(pages.page(100, pages.starts[-1] // 200), "timestamp")
+
+
+@query(f"{DEEP_SQL} where place // 10 in (0, 300, (n - 1) // 10)")
+def pings_pages(spark, sf_dir):
+    """First page, a later one and the last, all from the same ranges."""
+    seen = views.pings(spark, sf_dir).select("icao", "timestamp", "type", "lat")
+    pages = paging.ranged(seen, ["icao", "timestamp", "type", "lat"])
+    n = pages.starts[-1]
+    last = pages.page(10, (n - 1) // 10)
+    parts = [pages.page(10, 0), pages.page(10, 300), last]
+    return iso(parts[0].unionByName(parts[1]).unionByName(parts[2]), "timestamp")
+
+
 @query(
     f"""with {PINGS_SQL}
 select icao, coalesce(max(alt_baro), 0) as max_altitude_baro,
@@ -198,6 +224,30 @@ def stats_one_aircraft(spark, sf_dir):
     return fleet.stats(views.pings(spark, sf_dir), "000008")
 
 
+@query(ORACLES["stats_one_aircraft"])
+def stats_one_aircraft_bucketed(spark, sf_dir):
+    """The same from a table bucketed by aircraft, of which one bucket is read."""
+    name = "pings_" + scratch_path(spark, "bucketed")[-32:]
+    sinks.write_bucketed(views.pings(spark, sf_dir), name, partition="source_date", buckets=8)
+    return fleet.stats(spark.table(name), "000008")
+
+
+@query(
+    f"""with {PINGS_SQL} select icao, source_date, case when source_date = (select min(source_date) from pings)
+       then 'second' else 'first' end as load, count(*) as pings
+from pings group by icao, source_date"""
+)
+def bucketed_days(spark, sf_dir):
+    """A day put again into the bucketed table replaces that day alone."""
+    name = "days_" + scratch_path(spark, "bucketed")[-32:]
+    seen = views.pings(spark, sf_dir).withColumn("type", F.lit("first"))
+    sinks.write_bucketed(seen, name, partition="source_date", buckets=8)
+    day = seen.agg(F.min("source_date")).scalar()
+    again = seen.where(F.col("source_date") == day).withColumn("type", F.lit("second"))
+    sinks.write_bucketed(again, name, partition="source_date", buckets=8)
+    return spark.table(name).groupBy("icao", "source_date", F.col("type").alias("load")).agg(F.count("*").alias("pings"))
+
+
 ENRICHED_SQL = f"""with {PINGS_SQL}, {HISTORY_SQL},
 seen as (
   select icao, registration, type from pings
@@ -964,13 +1014,14 @@ def parquet_row_count(spark, sf_dir):
 
 # --- jobs from landed files ----------------------------------------------------------------
 
+# Documents hold the events of a day whose ids lie in the same thousand.
 LANDED_SQL = """landed as (
-  select e.*, strftime(ts, '%Y%m%d') as day, user_id % 8 as slot,
-         min(ts) over (partition by strftime(ts, '%Y%m%d'), user_id % 8) as now from events e)"""
+  select e.*, strftime(ts, '%Y%m%d') as day, event_id // 1000 as number, event_id // 1000 % 8 as slot,
+         min(ts) over (partition by strftime(ts, '%Y%m%d'), event_id // 1000) as now from events e)"""
 
 
 def _landed(spark, sf_dir, label):
-    """A snapshot file for each day and eighth of the users: plain, gzip, cut off
+    """Snapshot files of a day's events, at most a thousand each: plain, gzip, cut off
     (slot 7) and with text after the document (slot 6)."""
     root = f"{scratch_path(spark, label)}/bronze"
     entry = F.struct(
@@ -986,9 +1037,10 @@ def _landed(spark, sf_dir, label):
     docs = (
         table(spark, sf_dir, "events")
         .withColumn("ts", F.col("ts").cast("timestamp"))
-        .groupBy(F.date_format("ts", "yyyyMMdd").alias("_in_date"), (F.col("user_id") % 8).alias("slot"))
+        .groupBy(F.date_format("ts", "yyyyMMdd").alias("_in_date"), F.expr("event_id div 1000").alias("number"))
         .agg(F.min("ts").alias("at"), F.collect_list(entry).alias("aircraft"))
         .withColumn("text", F.to_json(F.struct((F.unix_micros("at") / 1e6).alias("now"), "aircraft")))
+        .withColumn("slot", F.col("number") % 8)
     )
     text = (
         F.when(F.col("slot") == 7, F.expr("substr(text, 1, length(text) - 3)"))
@@ -997,9 +1049,9 @@ def _landed(spark, sf_dir, label):
     )
     files_df = docs.select(text.alias("value"), "_in_date", "slot")
     for packed, compression in ((0, "none"), (1, "gzip")):
-        files_df.where(F.col("slot") % 2 == packed).write.mode("append").option(
+        files_df.where(F.col("slot") % 2 == packed).drop("slot").write.mode("append").option(
             "compression", compression
-        ).partitionBy("_in_date", "slot").text(root)
+        ).option("maxRecordsPerFile", 1).partitionBy("_in_date").text(root)
     return root
 
 
@@ -1028,7 +1080,7 @@ def snapshot_job(spark, sf_dir):
 
 
 @query(
-    f"""with {LANDED_SQL}, docs as (select day, slot, count(*) as n from landed group by day, slot)
+    f"""with {LANDED_SQL}, docs as (select day, number, max(slot) as slot from landed group by day, number)
 select count(*) filter (slot < 6) as files_ok, count(*) filter (slot >= 6) as files_failed,
        (select count(*) from landed where slot < 6) as total_records,
        (select count(distinct user_id) from landed where slot < 6) as unique_aircraft,
@@ -1127,6 +1179,44 @@ def prepare_table(spark, sf_dir):
     return iso(spark.read.parquet(root), "timestamp")
 
 
+@query(
+    f"""with {LANDED_SQL}, first_day as (select min(day) as d from landed)
+select lpad(lower(hex(user_id)), 6, '0') as icao,
+       case when user_id % 7 = 0 then '' else concat('N', user_id) end as registration, event_type as type,
+       cast(value as varchar) as lat, cast(value / 2 as varchar) as lon,
+       cast(cast(json_extract_string(props, '$.k') as int) * 100 as varchar) as alt_baro,
+       {iso_sql('now')} as "timestamp", cast(value as varchar) as ground_speed,
+       case when event_type = 'error' then 'general' else 'none' end as emergency
+from landed, first_day where slot < 6 and day = d"""
+)
+def prepare_csv(spark, sf_dir):
+    """One raw day to prepared CSV twice, the second run in place of the first."""
+    raw = _landed(spark, sf_dir, "prepare-csv")
+    day = table(spark, sf_dir, "events").agg(F.date_format(F.min("ts"), "yyyy-MM-dd")).first()[0]
+    for _ in range(2):
+        path = prepare_plan.prepare_csv(spark, raw, raw.replace("bronze", "csv"), day, partition="_in_date")
+    return tables.read_prepared_csv(spark, path)
+
+
+@query(
+    f"""with {LANDED_SQL}
+select day, slot < 6 as ok, count(distinct number) as files,
+       cast(sum(case when slot < 6 then 1 else 0 end) as bigint) as pings
+from landed group by day, slot < 6"""
+)
+def silver_file_outcomes(spark, sf_dir):
+    """What silver keeps about its files, after two runs of the same days."""
+    bronze = _landed(spark, sf_dir, "outcomes")
+    silver = bronze.replace("bronze", "silver")
+    for _ in range(2):
+        pings_plan.to_silver(spark, bronze, silver)
+    return (
+        pings_plan.read_outcomes(spark, silver)
+        .groupBy(F.col("_in_date").alias("day"), "ok")
+        .agg(F.count("*").alias("files"), F.sum("pings").alias("pings"))
+    )
+
+
 @query("select cast(1 as bigint) as found from (select count(*) as n from customer) where n > 0")
 def found_check(spark, sf_dir):
     """A known aircraft passes the check for being there."""
