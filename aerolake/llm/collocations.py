@@ -1,7 +1,7 @@
 """Phrases whose words occur together more often than apart, by prefix-free parsing.
 
 A piece of text is parsed into chunks at places that its content triggers (a window of
-``OVERLAP`` words whose hash is divisible by ``TRIGGER``); a chunk ends with such a
+``OVERLAP`` words whose last word has a hash divisible by ``TRIGGER``); a chunk ends with such a
 window and the next one begins with it, so equal passages give equal chunks wherever
 they stand. The corpus is then a dictionary of distinct chunks with their frequencies
 in the parse. Word runs of up to ``OVERLAP`` + 1 words are counted inside each distinct
@@ -12,8 +12,8 @@ chunk that follows, so every occurrence is counted once.
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,62 +26,71 @@ from aerolake.llm.hashing import mix, word_hashes
 
 #: Words that neighbouring chunks share; runs of one word more are counted.
 OVERLAP = 2
-#: One window of so many triggers a cut.
+#: One word of so many (a power of two) closes a window that triggers a cut.
 TRIGGER = 16
 #: Words after which a chunk is cut in any case.
 LONGEST = 64
 #: Distinct chunks or runs gathered before they are handed on.
-FLUSH = 400_000
+FLUSH = 100_000
 #: Power of two of the bits that frequent words or pairs may take on the driver.
 BITS = 27
 #: What ends a piece, and what parts its words.
-PIECE_END = re.compile("[.,;:!?\x0a-\x0d]+")
-WORD_GAP = re.compile("[\x20\x09]+")
-_LOWER = str.maketrans({c: c + 32 for c in range(ord("A"), ord("Z") + 1)} | {9: 32})
+PIECE_END = b".,;:!?\x0a\x0b\x0c\x0d"
+WORD_GAP = b"\x20\x09"
+# Bytes of texts as they are parsed: A-Z in lower case, one sign for each of the above.
+_PARSED = bytes.maketrans(
+    bytes(range(ord("A"), ord("Z") + 1)) + PIECE_END + WORD_GAP,
+    bytes(range(ord("a"), ord("z") + 1)) + b"\n" * len(PIECE_END) + b" " * len(WORD_GAP),
+)
 #: Language of rows without one.
 NO_LANG = "und"
 
 
-class _Hashes(dict):
-    """Hash of a word; kept for the words met so far, up to a bound."""
+class _Triggers(dict):
+    """Whether a window that closes with a word triggers a cut; kept for the words met so
+    far, up to a bound."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str) -> bool:
         if len(self) >= FLUSH:
             self.clear()
-        value = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+        value = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) * 2654435761 % 2**32 >> 8 & TRIGGER - 1 == 0
         return value
 
 
-def chunks(words: list[str], hashes: dict[str, int]) -> Iterator[tuple[int, list[str]]]:
+def chunks(words: list[str], triggers: dict[str, bool]) -> Iterator[tuple[int, list[str]]]:
     """(own, words) of each chunk of a piece; the first ``own`` words begin the runs
     that are counted in this chunk."""
     start, n = 0, len(words)
     if n > OVERLAP + 1:
-        marks = [hashes[w] for w in words]
-        # a window ends before place i; the last one of the piece triggers nothing
-        for i in range(OVERLAP + 1, n):
-            if ((marks[i - 2] * 31 + marks[i - 1]) * 2654435761 >> 16) % TRIGGER == 0 or i - start >= LONGEST:
-                yield i - OVERLAP - start, words[start:i]
-                start = i - OVERLAP
+        marks = [triggers[w] for w in words]
+        if n > LONGEST or True in marks[OVERLAP:-1]:
+            # a window ends before place i; the last one of the piece triggers nothing
+            for i in range(OVERLAP + 1, n):
+                if marks[i - 1] or i - start >= LONGEST:
+                    yield i - OVERLAP - start, words[start:i]
+                    start = i - OVERLAP
     yield n - start, words[start:]
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct chunks of the texts with their frequencies."""
     found: dict[tuple[str, int, str], int] = {}
-    hashes = _Hashes()
+    triggers, get = _Triggers(), found.get
     for batch in batches:
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            for piece in PIECE_END.split(text.translate(_LOWER)):
-                words = [w for w in piece.split(" ") if w]
-                if not words:
-                    continue
-                for own, some in chunks(words, hashes):
+        texts = batch["text"].cast(pa.binary())
+        for lang, text in zip(batch["lang"].to_pylist(), texts, strict=True):
+            for piece in text.as_py().translate(_PARSED).decode().split("\n"):
+                words = piece.split(" ")
+                if "" in words:
+                    words = [w for w in words if w]
+                    if not words:
+                        continue
+                for own, some in chunks(words, triggers):
                     key = (lang, own, " ".join(some))
-                    found[key] = found.get(key, 0) + 1
+                    found[key] = get(key, 0) + 1
             if len(found) >= FLUSH:
                 yield _chunk_batch(found)
-                found = {}
+                found.clear()
     if found:
         yield _chunk_batch(found)
 
@@ -173,25 +182,73 @@ def _word_keys(words: DataFrame) -> DataFrame:
     return map_arrow(words.select("lang", "phrase"), make, "h long")
 
 
+def _word_counts(chunks_df: DataFrame) -> DataFrame:
+    """lang, phrase, f: occurrences of the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, Counter] = {}
+        for batch in batches:
+            columns = (batch[c].to_pylist() for c in ("lang", "own", "chunk", "n"))
+            for lang, own, chunk, n in zip(*columns, strict=True):
+                counts = found.get(lang)
+                if counts is None:
+                    counts = found[lang] = Counter()
+                words = chunk.split(" ")[:own]
+                if n == 1:
+                    counts.update(words)
+                else:
+                    for w in words:
+                        counts[w] += n
+            if sum(map(len, found.values())) >= FLUSH:
+                yield _word_batch(found)
+                found = {}
+        if found:
+            yield _word_batch(found)
+
+    rows = chunks_df.select("lang", "own", "chunk", "n").mapInArrow(run, "lang string, phrase string, f long")
+    return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+
+
+def _word_batch(found: dict[str, Counter]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {
+            "lang": pa.array([lang for lang, counts in found.items() for _ in counts], pa.string()),
+            "phrase": pa.array([w for counts in found.values() for w in counts], pa.string()),
+            "f": pa.array([n for counts in found.values() for n in counts.values()], pa.int64()),
+        }
+    )
+
+
 def _pair_counts(chunks_df: DataFrame, often) -> DataFrame:
     """h, f: occurrences of the pairs of frequent words by hash."""
 
-    def make():
-        known = _Bits(often.value)
+    def summed(hashes: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
+        each, n = np.concatenate(hashes), np.concatenate(times)
+        order = np.argsort(each)
+        found, first = np.unique(each[order], return_index=True)
+        total = np.add.reduceat(n[order], first) if len(first) else n
+        return pa.RecordBatch.from_pydict(
+            {"h": pa.array(found.view(np.int64), pa.int64()), "f": pa.array(total, pa.int64())}
+        )
 
-        def step(batch: pa.RecordBatch):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Bits(often.value)
+        hashes, times, size = [], [], 0
+        for batch in batches:
             words = _Words(batch, "chunk")
             own, n = (batch[c].to_numpy() for c in ("own", "n"))
-            hashes, fit = words.pairs(known)
+            each, fit = words.pairs(known)
             at = np.flatnonzero(fit & (words.place < own[words.chunk])[:-1])
-            order = at[np.argsort(hashes[at], kind="stable")]
-            found, first = np.unique(hashes[order], return_index=True)
-            total = np.add.reduceat(n[words.chunk[order]], first) if len(first) else np.zeros(0, np.int64)
-            yield {"h": pa.array(found.view(np.int64), pa.int64()), "f": pa.array(total, pa.int64())}
-
-        return step
-
-    found = map_arrow(chunks_df.select("lang", "own", "chunk", "n"), make, "h long, f long")
+            hashes.append(each[at])
+            times.append(n[words.chunk[at]])
+            size += len(at)
+            if size >= 10 * FLUSH:
+                yield summed(hashes, times)
+                hashes, times, size = [], [], 0
+        if size:
+            yield summed(hashes, times)
+
+    found = chunks_df.select("lang", "own", "chunk", "n").mapInArrow(run, "h long, f long")
     return found.groupBy("h").agg(F.sum("f").alias("f"))
 
 
@@ -199,42 +256,52 @@ def _longer_runs(chunks_df: DataFrame, often, often_pairs) -> DataFrame:
     """lang, words, phrase, f: occurrences of runs of 2 and 3 words whose pairs may be
     frequent; a run can be so only if all its parts are."""
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_pairs = _Bits(often.value), _Bits(often_pairs.value)
-
-        def step(batch: pa.RecordBatch):
+        found: dict[tuple[str, int, str], int] = {}
+        get = found.get
+        for batch in batches:
             words = _Words(batch, "chunk")
             own, n = (batch[c].to_numpy() for c in ("own", "n"))
             hashes, fit = words.pairs(known)
             fit &= known_pairs.has(hashes)
-            mine = (words.place < own[words.chunk])[:-1]
-            two = fit & mine
+            two = fit & (words.place < own[words.chunk])[:-1]
             three = two.copy()
             three[:-1] &= fit[1:]
             three[-1:] = False
-            langs, texts, found = batch["lang"].to_pylist(), batch["chunk"].to_pylist(), {}
+            langs, texts = batch["lang"].to_pylist(), batch["chunk"].to_pylist()
             at = np.flatnonzero(two)
             last, parts = -1, []
             columns = (words.chunk[at].tolist(), words.place[at].tolist(), three[at].tolist(), n[words.chunk[at]].tolist())
             for chunk, i, more, times in zip(*columns, strict=True):
                 if chunk != last:
-                    last, parts = chunk, texts[chunk].split(" ")
-                for size in (2, 3) if more else (2,):
-                    key = (langs[chunk], size, " ".join(parts[i : i + size]))
-                    found[key] = found.get(key, 0) + times
-            yield {
-                "lang": pa.array([k[0] for k in found], pa.string()),
-                "words": pa.array([k[1] for k in found], pa.int32()),
-                "phrase": pa.array([k[2] for k in found], pa.string()),
-                "f": pa.array(found.values(), pa.int64()),
-            }
+                    last, parts, lang = chunk, texts[chunk].split(" "), langs[chunk]
+                key = (lang, 2, f"{parts[i]} {parts[i + 1]}")
+                found[key] = get(key, 0) + times
+                if more:
+                    key = (lang, 3, f"{key[2]} {parts[i + 2]}")
+                    found[key] = get(key, 0) + times
+            if len(found) >= FLUSH:
+                yield _run_batch(found)
+                found.clear()
+        if found:
+            yield _run_batch(found)
 
-        return step
+    rows = chunks_df.select("lang", "own", "chunk", "n").mapInArrow(
+        run, "lang string, words int, phrase string, f long"
+    )
+    return rows.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
 
-    found = map_arrow(
-        chunks_df.select("lang", "own", "chunk", "n"), make, "lang string, words int, phrase string, f long"
+
+def _run_batch(found: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {
+            "lang": pa.array([k[0] for k in found], pa.string()),
+            "words": pa.array([k[1] for k in found], pa.int32()),
+            "phrase": pa.array([k[2] for k in found], pa.string()),
+            "f": pa.array(found.values(), pa.int64()),
+        }
     )
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
 
 
 def frequent(chunks_df: DataFrame, least: int) -> DataFrame:
@@ -245,8 +312,7 @@ def frequent(chunks_df: DataFrame, least: int) -> DataFrame:
     certain: two pairs with one hash, or one bit, only leave more to count.
     """
     broadcast = chunks_df.sparkSession.sparkContext.broadcast
-    each = chunks_df.select("lang", F.explode(F.slice(F.split("chunk", " "), F.lit(1), F.col("own"))).alias("phrase"), "n")
-    words = each.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    words = _word_counts(chunks_df).where(F.col("f") >= least)
     words = stored(words.select("lang", F.lit(1).alias("words"), "phrase", "f"), "words")
     often = broadcast(_bits(_word_keys(words)))
     pairs = stored(_pair_counts(chunks_df, often).where(F.col("f") >= least).select("h"), "pairs")

@@ -72,7 +72,7 @@ def test_collocations_equal_brute_force(spark):
     assert found(collocations.collocations(table(spark, rows), least=3, top=4, inside=90)) == brute(rows, 3, 4, 90)
 
 
-@pytest.mark.parametrize("trigger, flush", [(1, 5), (2, 10_000), (1_000_000, 7)])
+@pytest.mark.parametrize("trigger, flush", [(1, 5), (2, 10_000), (1 << 20, 7)])
 def test_cuts_do_not_change_counts(spark, monkeypatch, trigger, flush):
     monkeypatch.setattr(collocations, "TRIGGER", trigger)
     monkeypatch.setattr(collocations, "FLUSH", flush)
@@ -88,7 +88,7 @@ def test_few_bits_do_not_change_counts(spark, monkeypatch):
 
 def test_chunks_overlap_and_are_few_for_repeats(spark):
     words = [f"w{i}" for i in range(60)] * 50
-    some = list(collocations.chunks(words, collocations._Hashes()))
+    some = list(collocations.chunks(words, collocations._Triggers()))
     assert [w for own, c in some for w in c[:own]] == words
     for (own, left), (_, right) in zip(some, some[1:], strict=False):
         assert left[own:] == right[: collocations.OVERLAP]
