@@ -11,8 +11,10 @@ their shingles, of which linked ones share one.
 Texts that share a part meet in a bucket, where each is tied to the least of them
 only. The tie with most shared parts is verified on the texts; components of the
 verified links then settle nearly all buckets. Where a tie joins two components
-still, all pairs of its hub's texts from different components are compared by bit
-sketches, in blocks of bounded size, and what passes is verified.
+still, its hub's texts are compared in blocks of bounded size: those that have another
+one near by bit sketches meet again with their shingles, and each block gives the links
+that join its components, a forest. Blocks of one hub meet each other only where it is
+still open then.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import map_arrow, parts, stored
+from aerolake.llm.common import map_arrow, parts, shards_for, stored
 from aerolake.llm.graph import components
 from aerolake.llm.hashing import mix, shingle_sets
 
@@ -36,8 +38,12 @@ RATIO = 1.5
 #: Signatures gathered before they are dealt to buckets, and texts at most.
 FLUSH = 2_000_000
 FLUSH_TEXTS = 60_000
-#: Texts of a hub in one block of comparisons, or tied to one copy of it.
+#: Texts of a hub in one block of comparisons, or tied to one copy of it, and their
+#: shingles together.
 BLOCK = 2_000
+BLOCK_SHINGLES = 4_000_000
+#: Signatures that one task holds, about.
+BUCKET_KEYS = 8_000_000
 SKETCH_BITS = 2048
 
 
@@ -139,11 +145,11 @@ def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _deal(buckets: int):
-    """Signatures in packs by bucket: 5 bytes of key and 2 of the text's place."""
+    """Signatures in packs by bucket: 8 bytes of key and 2 of the text's place."""
 
     def close(nodes: list[int], keys: list, owners: list) -> pa.RecordBatch:
         key, owner = np.concatenate(keys), np.concatenate(owners)
-        key = key >> np.uint64(24)  # equal keys of different parts only add a comparison
+        # equal keys of different parts only add a comparison
         bucket = (key % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         bounds = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
@@ -152,7 +158,7 @@ def _deal(buckets: int):
         for k in range(buckets):
             own = order[bounds[k] : bounds[k + 1]]
             if len(own):
-                short = key[own].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+                short = key[own].astype("<u8").tobytes()
                 places = owner[own].astype("<u2").tobytes()
                 packs.append((k, np.array([len(nodes), len(own)], "<u8").tobytes() + names + short + places))
         return pa.RecordBatch.from_pydict(
@@ -197,10 +203,8 @@ def _tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n, m = (int(x) for x in np.frombuffer(pack, "<u8", 2))
             names = np.frombuffer(pack, "<i8", n, 16)
             at = 16 + 8 * n
-            wide = np.zeros((m, 8), np.uint8)
-            wide[:, :5] = np.frombuffer(pack, np.uint8, 5 * m, at).reshape(-1, 5)
-            keys.append(wide.reshape(-1).view("<u8"))
-            nodes.append(names[np.frombuffer(pack, "<u2", m, at + 5 * m)])
+            keys.append(np.frombuffer(pack, "<u8", m, at))
+            nodes.append(names[np.frombuffer(pack, "<u2", m, at + 8 * m)])
     if not keys:
         return
     key, node = np.concatenate(keys), np.concatenate(nodes)
@@ -264,7 +268,7 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, sets in shingle_sets(batch["text"], SHINGLE):
             for i, found in enumerate(sets, doc):
                 if _identity(found) != nodes[i]:
-                    continue  # another row with this doc_id
+                    continue  # another row with this key
                 if not roles[i]:
                     hub, own = names[i], found
                 elif names[i] == hub and linked(found, own):
@@ -289,9 +293,9 @@ def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
         F.col("hub").alias("node"),
     )
     # written, so that the union is no side of a join
-    wanted = stored(members.unionByName(hubs), "pairs").join(nodes.select("node", "doc_id"), "node")
+    wanted = stored(members.unionByName(hubs), "pairs").join(nodes.select("node", "key"), "node")
     return (
-        wanted.join(docs.select("doc_id", "text"), "doc_id")
+        wanted.join(docs.select(row_key().alias("key"), "text"), "key")
         .repartition(parts(docs.sparkSession), "hub", "copy")
         .sortWithinPartitions("hub", "copy", "member")
         .select("hub", "member", "node", "text")
@@ -308,12 +312,13 @@ def _sketch(sets: list[np.ndarray]) -> list[bytes]:
     return out
 
 
-def _near(rows: pa.Table) -> pa.Table:
-    """Pairs of one block whose sketches and sizes allow a link."""
-    node, size, part = (rows[c].to_numpy() for c in ("node", "size", "component"))
-    words = np.frombuffer(b"".join(rows["sketch"].to_pylist()), "<u8").reshape(len(node), -1)
-    a, b = [], []
-    for i in range(len(node) - 1):
+def _near(key: tuple, rows: pa.Table) -> pa.Table:
+    """The texts of one block that sketches and sizes allow a link to one of another
+    component: no pairs, at most the rows that came in."""
+    size, part = (rows[c].to_numpy() for c in ("size", "component"))
+    words = np.frombuffer(b"".join(rows["sketch"].to_pylist()), "<u8").reshape(len(size), -1)
+    hit = np.zeros(len(size), bool)
+    for i in range(len(size) - 1):
         rest = slice(i + 1, None)
         sizes = size[rest]
         fits = np.minimum(sizes, size[i]) * 100 >= PERCENT * np.maximum(sizes, size[i])
@@ -322,14 +327,89 @@ def _near(rows: pa.Table) -> pa.Table:
             continue
         apart = np.bitwise_count(words[at] ^ words[i]).sum(axis=1, dtype=np.int64)
         at = at[apart * (100 + PERCENT) <= (100 - PERCENT) * (size[at] + size[i])]
-        a.append(np.full(len(at), node[i]))
-        b.append(node[at])
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-    return pa.table({"node": pa.array(np.maximum(a, b), pa.int64()), "hub": pa.array(np.minimum(a, b), pa.int64())})
+        hit[at] = True
+        hit[i] |= len(at) > 0
+    kept = rows.filter(pa.array(hit)).select(["node", "component"])
+    for name, value in zip(("hub", "i", "j"), key, strict=True):
+        kept = kept.append_column(name, pa.repeat(value, len(kept)))
+    return kept
+
+
+def forest(sets: list[np.ndarray], part: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of linked sets that join all components which links among the sets join: at
+    most one less than there are components. ``part`` has each set's component."""
+    _, part = np.unique(part, return_inverse=True)
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, shingle, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # sets of each shingle, one after the other
+    holders = owner[np.argsort(shingle, kind="stable")]
+    starts = np.cumsum(times) - times
+    bounds = np.cumsum(size) - size
+    found = []
+    for i in range(len(sets) - 1):
+        open_to = part != part[i]
+        if not open_to[i + 1 :].any():
+            continue
+        own = shingle[bounds[i] : bounds[i] + size[i]]
+        own = own[times[own] > 1]
+        each = times[own]
+        at = np.repeat(starts[own] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        common = np.bincount(holders[at], minlength=len(sets))
+        near = open_to & (100 * common >= PERCENT * (size + size[i] - common))
+        near[: i + 1] = False
+        for j in np.flatnonzero(near).tolist():
+            if part[j] != part[i]:
+                found.append((i, j))
+                part[part == part[j]] = part[i]
+    return found
+
+
+def _joined(rows: pa.Table) -> pa.Table:
+    """Links that join the components of one block, judged on the shingles."""
+    node = rows["node"].to_numpy()
+    sets = [np.frombuffer(x, "<u8") for x in rows["shingles"].to_pylist()]
+    links = forest(sets, rows["component"].to_numpy())
+    ends = node[np.array(links, np.int64).reshape(-1, 2)]
+    return pa.table({"a": pa.array(ends.max(axis=1, initial=-1), pa.int64()), "b": pa.array(ends.min(axis=1, initial=2**63 - 1), pa.int64())})
+
+
+def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, text of the wanted nodes."""
+    keys = nodes.join(wanted, "node").select("node", "key")
+    return docs.select(row_key().alias("key"), "text").join(keys, "key").select("node", "text")
+
+
+def _sets(texts: DataFrame, name: str, kind: str, make_value) -> DataFrame:
+    """node and what ``make_value`` makes of its shingles, for rows whose text has them."""
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            nodes, named, values = batch["node"].to_pylist(), [], []
+            for doc, sets in shingle_sets(batch["text"], SHINGLE):
+                some = [(nodes[i], own) for i, own in enumerate(sets, doc) if _identity(own) == nodes[i]]
+                named += [n for n, _ in some]
+                values += make_value([own for _, own in some])
+            yield {"node": pa.array(named, pa.int64()), name: pa.array(values, pa.binary())}
+
+        return step
 
+    # rows of equal text have the same sets
+    return stored(map_arrow(texts, make, f"node long, {name} {kind}").dropDuplicates(["node"]), name)
 
-def _unsettled(ties: DataFrame, found: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs from different components around hubs whose ties are not all settled."""
+
+def hub_blocks(ties: DataFrame, nodes: DataFrame) -> DataFrame:
+    """hub, blocks: how many blocks its texts are dealt to, by number and shingles."""
+    sized = ties.select("node", "hub").join(nodes.select("node", "n_shingles"), "node")
+    need = F.greatest((F.count("*") + 1) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+    return sized.groupBy("hub").agg(F.ceil(need).cast("int").alias("blocks"))
+
+
+def _unsettled(
+    ties: DataFrame, found: DataFrame, docs: DataFrame, nodes: DataFrame, blocks: DataFrame, across: bool
+) -> DataFrame:
+    """Links (a, b) between components around hubs whose ties are not all settled: inside
+    the blocks of each hub, or ``across`` the blocks of those that have several."""
 
     def labelled(df: DataFrame, column: str, name: str) -> DataFrame:
         known = found.select(F.col("node").alias(column), F.col("component").alias(name))
@@ -337,47 +417,35 @@ def _unsettled(ties: DataFrame, found: DataFrame, docs: DataFrame, nodes: DataFr
 
     both = stored(labelled(labelled(ties.select("node", "hub"), "node", "component"), "hub", "own"), "ties")
     open_hubs = both.where("component <> own").select("hub").distinct()
+    if across:
+        open_hubs = open_hubs.join(blocks.where("blocks > 1").select("hub"), "hub")
     members = both.join(open_hubs, "hub").select("hub", "node", "component")
     centres = labelled(open_hubs.select("hub", F.col("hub").alias("node")), "node", "component")
     members = stored(members.unionByName(centres.select("hub", "node", "component")), "open-hubs")
-
-    def make():
-        def step(batch: pa.RecordBatch):
-            sketches, names, sizes = [], [], []
-            for _, sets in shingle_sets(batch["text"], SHINGLE):
-                sketches += _sketch(sets)
-                names += map(_identity, sets)
-                sizes += map(len, sets)
-            yield {
-                "node": pa.array(names, pa.int64()),
-                "size": pa.array(sizes, pa.int64()),
-                "sketch": pa.array(sketches, pa.binary()),
-            }
-
-        return step
-
-    texts = docs.join(nodes.join(members.select("node").distinct(), "node").select("doc_id"), "doc_id")
-    sketches = stored(
-        map_arrow(texts.select("text"), make, "node long, size long, sketch binary").dropDuplicates(["node"]),
-        "sketches",
+    texts = _texts(docs, nodes, members.select("node").distinct())
+    sketches = _sets(texts, "sketch", "binary", _sketch)
+    placed = members.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    if across:
+        others = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed = others.where("block <> other").withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    else:
+        placed = placed.withColumns({"i": F.col("block"), "j": F.col("block")})
+    sized = nodes.select("node", F.col("n_shingles").alias("size"))
+    compared = placed.join(sketches, "node").join(sized, "node")
+    near = stored(
+        compared.select("hub", "i", "j", "node", "component", "size", "sketch")
+        .groupBy("hub", "i", "j")
+        .applyInArrow(_near, "node long, component long, hub long, i int, j int"),
+        "near",
     )
-    blocks = members.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = (
-        members.join(blocks, "hub")
-        .join(sketches, "node")
-        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "hub",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
-            "node",
-            "component",
-            "size",
-            "sketch",
-        )
+    texts = _texts(docs, nodes, near.select("node").distinct())
+    shingles = _sets(texts, "shingles", "binary", lambda sets: [own.astype("<u8").tobytes() for own in sets])
+    return (
+        near.join(shingles, "node")
+        .groupBy("hub", "i", "j")
+        .applyInArrow(_joined, "a long, b long")
+        .distinct()
     )
-    return placed.groupBy("hub", "i", "j").applyInArrow(_near, "node long, hub long").distinct()
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -394,8 +462,16 @@ def join(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     about = stored(describe(docs), "shingle-sets")
     # one text stands for all with the same set
-    nodes = stored(about.where("node >= 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes")
-    buckets = parts(spark)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "n_shingles"))
+    nodes = stored(
+        about.where("node >= 0").groupBy("node").agg(first.alias("first")).select(
+            "node", "first.doc_id", "first.key", "first.n_shingles"
+        ),
+        "nodes",
+    )
+    # a text has up to four signatures for five shingles
+    keys = 0.8 * (nodes.agg(F.sum("n_shingles")).first()[0] or 0)
+    buckets = max(parts(spark), shards_for(int(keys), BUCKET_KEYS))
     ties = stored(
         docs.select("text")
         .mapInArrow(_deal(buckets), "bucket int, pack binary")
@@ -408,10 +484,14 @@ def join(docs: DataFrame) -> DataFrame:
     best = ties.groupBy("node").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
     links = stored(_verify(best, docs, nodes), "links")
     found = stored(components(links), "components")
-    more = stored(_unsettled(ties, found, docs, nodes), "near")
-    rest = stored(_verify(more, docs, nodes), "links")
-    if not rest.isEmpty():
-        found = stored(components(links.unionByName(rest)), "components")
+    blocks = stored(hub_blocks(ties, nodes), "blocks")
+    for across in (False, True):
+        if across and blocks.where("blocks > 1").isEmpty():
+            break
+        rest = stored(_unsettled(ties, found, docs, nodes, blocks, across), "links")
+        if not rest.isEmpty():
+            links = links.unionByName(rest)
+            found = stored(components(links), "components")
     least = (
         nodes.join(found, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
