@@ -39,6 +39,13 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the file system that Spark takes it to be in."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given).toString()
+    return "file://" + whole[5:] if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write the frame and read it again: what follows no longer depends on the
     executors that made it, and is not computed twice."""

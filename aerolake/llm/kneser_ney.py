@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import map_arrow, scratch, shards_for, stored
+from aerolake.llm.common import map_arrow, qualified, scratch, shards_for, stored
 from aerolake.llm.hashing import mix, word_hashes
 
 #: Words that begin and end every text; no text can hold them.
@@ -325,6 +325,8 @@ class Model:
     words: int = 0
     pairs: int = 0
     word_classes: tuple[int, int, int] = (0, 0, 0)
+    #: Names of the files that were written; one that cannot be read is an error.
+    files: frozenset[str] = frozenset()
 
 
 def _frequent(docs: DataFrame) -> tuple[list[tuple[int, int]], int]:
@@ -408,7 +410,7 @@ def _count(path: str, hot: np.ndarray, parts: int, length: int):
             keys = _runs(first, second, before)[n - 3] if n > 2 else second
             count = np.where([first, *before][n - 3] == BEGIN, uses, 1) if n > 2 else np.ones(len(second), np.int64)
         _write(f"{path}/pairs-{shard}", arrays)
-        out.append((-1, json.dumps([numbers[::-1], totals]).encode()))
+        out.append((-1, json.dumps([f"pairs-{shard}", numbers[::-1], totals]).encode()))
         seen, _, kinds, uses = _sum_by(second, count, uses)
         for k, own in _by_part(_dealt(mix(seen), parts), parts):
             out.append((k, freeze(words=seen[own], kinds=_narrow(kinds[own]), uses=_narrow(uses[own]))))
@@ -466,6 +468,7 @@ def fit(docs: DataFrame, path: str, order: int = 2) -> Model:
     arrays under ``path``."""
     if order < 2:
         raise ValueError(f"the order is 2 at least, not {order}")
+    path = qualified(docs.sparkSession, path)
     texts = docs.select(F.col("text").cast("string").alias("text"))
     frequent, total = _frequent(texts)
     shards = shards_for(total * (order - 1), SHARD_TOKENS)  # runs of each length
@@ -478,9 +481,10 @@ def fit(docs: DataFrame, path: str, order: int = 2) -> Model:
         .applyInArrow(_count(path, hot, shards, order), "part int, pack binary"),
         "pair-counts",
     )
-    run_n, totals = np.zeros((order - 1, 4), np.int64), {}
+    run_n, totals, files = np.zeros((order - 1, 4), np.int64), {}, set()
     for row in counted.where("part < 0").collect():  # one row for each shard
-        numbers, words = json.loads(bytes(row["pack"]))
+        name, numbers, words = json.loads(bytes(row["pack"]))
+        files.add(name)
         run_n += np.array(numbers)
         for word, *values in words:
             totals[word] = tuple(a + b for a, b in zip(totals.get(word, (0, 0, 0, 0)), values, strict=True))
@@ -492,11 +496,15 @@ def fit(docs: DataFrame, path: str, order: int = 2) -> Model:
         .agg(*(F.sum(f"v{i}").alias(f"v{i}") for i in range(7)))
         .first()
     )
+    for row in counted.where("part >= 0").select("part").distinct().collect():  # a file for each
+        n, part = divmod(row["part"], shards)
+        files.add(f"hot{n + 2}-{part}" if n else f"words-{part}")
     words, tokens, pairs, *word_n = (int(x) for x in numbers)
     classes = (word_n[0], word_n[1], words - word_n[0] - word_n[1])
     discounts = [_discounts(n) for n in run_n.tolist()]
     return Model(
-        path, shards, shards, order, hot, totals, discounts, _discounts(word_n), tokens, words, pairs, classes
+        path, shards, shards, order, hot, totals, discounts, _discounts(word_n), tokens, words, pairs, classes,
+        frozenset(files),
     )
 
 
@@ -512,19 +520,16 @@ class _Lookup:
 
     def __init__(self, model: Model, shard: int):
         self.model = model
-        pairs = f"{model.path}/pairs-{shard}"
-        try:
-            self.pairs = _open(pairs)
-        except FileNotFoundError:  # no training text has a pair of this shard
-            self.pairs = None
+        # without a file no training text has a pair of this shard
+        self.pairs = self._file(f"pairs-{shard}")
         self.words = {}
 
+    def _file(self, name: str) -> dict[str, np.ndarray] | None:
+        return _open(f"{self.model.path}/{name}") if name in self.model.files else None
+
     def _part(self, k: int, kind: str = "words") -> dict[str, np.ndarray] | None:
         if (kind, k) not in self.words:
-            try:
-                self.words[kind, k] = _open(f"{self.model.path}/{kind}-{k}")
-            except FileNotFoundError:
-                self.words[kind, k] = None
+            self.words[kind, k] = self._file(f"{kind}-{k}")
         return self.words[kind, k]
 
     def vocabulary(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

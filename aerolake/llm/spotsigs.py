@@ -2,8 +2,7 @@
 
 Each common word is an anchor; it and the next two content words (anchors between
 them are skipped) form a signature. A text's fingerprint is the sorted set of its
-signatures' hashes. Texts are compared by Jaccard similarity of the sets, pruned
-by set length: it cannot exceed the ratio of the lengths.
+signatures' hashes. Texts are compared by the Jaccard similarity of the sets.
 """
 
 from __future__ import annotations
@@ -24,22 +23,21 @@ ANCHORS = (
 ).split()
 #: Content words in a signature.
 CHAIN = 2
-#: Anchors skipped between two words of a signature.
-SKIPPED = 20
-#: Below this ratio of set lengths two texts count as unlike.
-LENGTH_RATIO = 0.05
+#: Fixed value: characters of scripts that put no spaces between words; each is a word.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
 # In marked texts an anchor begins with this character, which no word has.
 _MARK = "\\x01"
-_SKIP = f"(?: {_MARK}[^ ]+){{0,{SKIPPED}}}+"
-_SIGNATURE = f" (?=({_MARK}[^ ]+(?:{_SKIP} [^ ]+){{{CHAIN}}}) )"
+_CONTENT = f" ([^{_MARK} ][^ ]*)"
 _ANY_CHAIN = " (?=([^ ]+(?: [^ ]+){" + str(CHAIN) + "}) )"
 
 
-def _marked(text: Column) -> Column:
+def _marked(text: Column, anchors: list[str]) -> Column:
     """The text's words in lower case with a space around each, anchors marked."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " ")), " ")
-    marked = F.transform(words, lambda w: F.when(w.isin(ANCHORS), F.concat(F.lit("\x01"), w)).otherwise(w))
+    low = F.lower(text)
+    spaced = F.when(F.regexp_like(low, F.lit(UNSPACED)), F.regexp_replace(low, f"({UNSPACED})", " $1 ")).otherwise(low)
+    words = F.split(F.trim(F.regexp_replace(spaced, "[^\\p{L}\\p{N}]+", " ")), " ")
+    marked = F.transform(words, lambda w: F.when(w.isin(anchors), F.concat(F.lit("\x01"), w)).otherwise(w))
     return F.concat(F.lit(" "), F.array_join(marked, " "), F.lit(" "))
 
 
@@ -47,31 +45,50 @@ def _hashes(found: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.crc32(s.cast("binary")))))
 
 
-def with_signatures(df: DataFrame, texts: dict[str, str]) -> DataFrame:
+def _chains(name: str) -> Column:
+    """Each anchor with the next ``CHAIN`` content words. The anchors before a content
+    word stand in the gap before it, so the word's place gives the chain, however many
+    anchors there are."""
+    words = F.col(f"_c_{name}")
+
+    def of_gap(gap: Column, k: Column) -> Column:
+        chain = F.concat_ws(" ", *[F.get(words, k + i) for i in range(CHAIN)])
+        return F.when(F.length(gap) < 2, F.array().cast("array<string>")).otherwise(
+            F.transform(F.split(F.trim(gap), " "), lambda anchor: F.concat_ws(" ", anchor, chain))
+        )
+
+    full = F.greatest(F.size(words) - (CHAIN - 1), F.lit(0))
+    return F.flatten(F.transform(F.slice(f"_g_{name}", F.lit(1), full), of_gap))
+
+
+def with_signatures(df: DataFrame, texts: dict[str, str], anchors: list[str] | None = None) -> DataFrame:
     """Add, for each text column (new name: text), the sorted distinct hashes of
-    its signatures.
+    its signatures; ``anchors`` are other common words than those of ``ANCHORS``.
 
     Texts with no anchor before content words give all chains of three words, and
     those of fewer words the whole text; null and empty texts give an empty set.
     What a step uses twice is a column of the step before, so it is computed once.
     """
-    marked = df.withColumns({f"_m_{n}": _marked(F.coalesce(F.col(t), F.lit(""))) for n, t in texts.items()})
-    spots = marked.withColumns(
-        {f"_s_{n}": F.regexp_extract_all(f"_m_{n}", F.lit(_SIGNATURE), F.lit(1)) for n in texts}
+    common = ANCHORS if anchors is None else list(anchors)
+    marked = df.withColumns({f"_m_{n}": _marked(F.coalesce(F.col(t), F.lit("")), common) for n, t in texts.items()})
+    parted = marked.withColumns(
+        {f"_c_{n}": F.regexp_extract_all(f"_m_{n}", F.lit(_CONTENT), F.lit(1)) for n in texts}
+        | {f"_g_{n}": F.split(f"_m_{n}", _CONTENT, -1) for n in texts}
     )
+    spots = parted.withColumns({f"_s_{n}": _chains(n) for n in texts})
 
     def chosen(n: str) -> Column:
         words, found = F.col(f"_m_{n}"), F.col(f"_s_{n}")
         chains = F.regexp_extract_all(words, F.lit(_ANY_CHAIN), F.lit(1))
         return (
-            F.when(F.size(found) > 0, F.transform(found, lambda s: F.regexp_replace(s, f" (?:{_MARK}[^ ]+ )+", " ")))
+            F.when(F.size(found) > 0, found)
             .when(F.length(words) <= 2, F.array().cast("array<string>"))
             .when(F.regexp_like(words, F.lit(_ANY_CHAIN)), chains)
             .otherwise(F.array(words))
         )
 
     return spots.withColumns({n: _hashes(chosen(n)) for n in texts}).drop(
-        *(f"_{kind}_{n}" for kind in "ms" for n in texts)
+        *(f"_{kind}_{n}" for kind in "mcgs" for n in texts)
     )
 
 
@@ -81,15 +98,10 @@ def fingerprint(found: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two sets; 1 if both are empty, 0 where the lengths
-    rule out LENGTH_RATIO."""
-    shorter, longer = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+    """Jaccard similarity of two sets; 1 if both are empty."""
     common = F.size(F.array_intersect(a, b))
-    return (
-        F.when(longer == 0, 1.0)
-        .when(shorter < longer * LENGTH_RATIO, 0.0)
-        .otherwise(common / (F.size(a) + F.size(b) - common))
-    )
+    either = F.size(a) + F.size(b) - common
+    return F.when(either == 0, 1.0).otherwise(common / either)
 
 
 def _block(bounds: list[int]) -> Column:

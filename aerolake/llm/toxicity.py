@@ -318,7 +318,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Model:
     Two thirds of them, without copies, give words and train the machine, the rest
     fit the curve; all of them do if the rest lacks a class. Labels that are null are
     passed over. If one class is missing or no word stands out, there is a warning,
-    every text gets the share of toxic labels as score, and ``flagged`` flags none.
+    every text gets the share of toxic labels as score, less than the threshold in any
+    case, and ``flagged`` flags none.
     """
     sample = (
         labels.where(learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -336,7 +337,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Model:
     own, rest = F.pmod("place", F.lit(3)) > 0, F.pmod("place", F.lit(3)) == 0
     totals = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     pos, neg = totals.get(1, 0), totals.get(0, 0)
-    flat = Model(None, 0.0, 0.0, math.log((pos + 1) / (neg + 1)))
+    # without a machine the score stays below the threshold: one for all flags nobody
+    below = math.log(THRESHOLD / (1 - THRESHOLD)) - 0.05
+    flat = Model(None, 0.0, 0.0, min(math.log((pos + 1) / (neg + 1)), below))
     if not pos or not neg:
         warnings.warn(f"no toxicity machine: {pos} toxic and {neg} other labelled texts", stacklevel=2)
         return flat
@@ -394,9 +397,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Model:
 
 
 def flagged(model: Model, column: str = "score") -> Column:
-    """Whether a scored row counts as toxic; none does without a machine, since one
-    share for all texts says nothing about any of them."""
-    return (F.col(column) >= THRESHOLD) & F.lit(model.table is not None)
+    """Whether a scored row counts as toxic; none does without a machine, whose one
+    score for all texts is below the threshold."""
+    return F.col(column) >= THRESHOLD
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
