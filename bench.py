@@ -25,10 +25,13 @@ from aerolake.plans import pings, prepare  # noqa: E402
 from aerolake.schemas import PINGS_TYPED  # noqa: E402
 from aerolake.session import configure, scratch_path  # noqa: E402
 from aerolake.sources import tables  # noqa: E402
+from aerolake.sources.paths import layer_files  # noqa: E402
 from verification import views  # noqa: E402
 from verification.catalog import QUERIES  # noqa: E402
 
 SNAPSHOT_FILES = 1000
+# One document every five seconds.
+DAY_FILES = 17_280
 
 HEADLINE = """
 co2_by_type co2_fleet_day co2_one_aircraft_day
@@ -124,6 +127,16 @@ def main() -> None:
         "co2_one_aircraft_day_gold",
         lambda: emissions.co2(seen, views.fuel(spark), "000008", "2024-01-01").collect(),
     )
+    # the same from a table bucketed by aircraft
+    sinks.write_bucketed(views.pings(spark, sf_dir), "bench_pings", partition="source_date", buckets=8)
+    bucketed = spark.table("bench_pings")
+    timed("stats_one_aircraft_bucketed_table", lambda: fleet.stats(bucketed, "000008").collect())
+    # every file of a full day in the index, none of them read
+    full = Path(root) / "full" / "_in_date=20240101"
+    full.mkdir(parents=True)
+    for number in range(DAY_FILES):
+        (full / f"{number:06d}Z.json").write_bytes(b"{}")
+    timed("list_full_day_17280_files", lambda: layer_files(spark, str(full.parent), ["20240101"]).count())
     spread = {}
     for name in ("list_distinct_page", "list_enriched_page"):
         calls = []
