@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -149,98 +149,57 @@ def _bits(hashes: DataFrame) -> np.ndarray:
 class _Words:
     """Hashes of the words of a batch of chunks, mixed with the language's."""
 
-    def __init__(self, batch: pa.RecordBatch, column: str):
+    def __init__(self, batch: pa.RecordBatch):
         parts, lengths = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for _, hashes, before in word_hashes(batch[column], False):
+        for _, hashes, before in word_hashes(batch["chunk"], False):
             parts.append(hashes)
             lengths.append(np.diff(before))
-        self.lengths = np.concatenate(lengths)
+        lengths = np.concatenate(lengths)
         langs = batch["lang"].dictionary_encode()
         salts = [hashlib.sha256(x.encode()).digest()[:8] for x in langs.dictionary.to_pylist()]
         salt = np.frombuffer(b"".join(salts), np.uint64)[langs.indices.to_numpy()]
-        self.chunk = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.chunk = np.repeat(np.arange(len(lengths)), lengths)
         self.hashes = mix(np.concatenate(parts) + salt[self.chunk])
-        self.place = np.arange(len(self.chunk)) - (np.cumsum(self.lengths) - self.lengths)[self.chunk]
+        self.place = np.arange(len(self.chunk)) - (np.cumsum(lengths) - lengths)[self.chunk]
+        self.own = self.place < batch["own"].to_numpy()[self.chunk]
 
-    def pairs(self, often: _Bits) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of the pair that begins at each word but the last, and whether both words are
-        in one chunk and often enough."""
-        hashes = mix(self.hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[1:])
-        some = often.has(self.hashes)
-        return hashes, some[:-1] & some[1:] & (self.chunk[:-1] == self.chunk[1:])
+    def runs(self, bits: list[_Bits]) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of the run of one word more than there are ``bits`` that begins at each
+        word, and whether it lies in one chunk, belongs to it, and its parts may all be
+        frequent."""
+        hashes, fit, words = self.hashes, np.ones(len(self.hashes), bool), self.hashes
+        for known in bits:
+            fit = fit & known.has(hashes)
+            words = words[1:]
+            hashes = mix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + words)
+            fit = fit[:-1] & fit[1:] & (self.chunk[: len(words)] == self.chunk[len(self.chunk) - len(words) :])
+        return hashes, fit & self.own[: len(fit)]
 
 
-def _word_keys(words: DataFrame) -> DataFrame:
-    """Hashes of words as they are met in chunks."""
-
-    def make():
-        def step(batch: pa.RecordBatch):
-            yield {"h": pa.array(_Words(batch, "phrase").hashes.view(np.int64), pa.int64())}
-
-        return step
-
-    return map_arrow(words.select("lang", "phrase"), make, "h long")
-
-
-def _word_counts(chunks_df: DataFrame) -> DataFrame:
-    """lang, phrase, f: occurrences of the words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, Counter] = {}
-        for batch in batches:
-            columns = (batch[c].to_pylist() for c in ("lang", "own", "chunk", "n"))
-            for lang, own, chunk, n in zip(*columns, strict=True):
-                counts = found.get(lang)
-                if counts is None:
-                    counts = found[lang] = Counter()
-                words = chunk.split(" ")[:own]
-                if n == 1:
-                    counts.update(words)
-                else:
-                    for w in words:
-                        counts[w] += n
-            if sum(map(len, found.values())) >= FLUSH:
-                yield _word_batch(found)
-                found = {}
-        if found:
-            yield _word_batch(found)
-
-    rows = chunks_df.select("lang", "own", "chunk", "n").mapInArrow(run, "lang string, phrase string, f long")
-    return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-
-
-def _word_batch(found: dict[str, Counter]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {
-            "lang": pa.array([lang for lang, counts in found.items() for _ in counts], pa.string()),
-            "phrase": pa.array([w for counts in found.values() for w in counts], pa.string()),
-            "f": pa.array([n for counts in found.values() for n in counts.values()], pa.int64()),
-        }
-    )
-
-
-def _pair_counts(chunks_df: DataFrame, often) -> DataFrame:
-    """h, f: occurrences of the pairs of frequent words by hash."""
+def _hash_counts(chunks_df: DataFrame, smaller: list) -> DataFrame:
+    """h, f: occurrences by hash of the runs whose parts may all be frequent."""
 
     def summed(hashes: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
         each, n = np.concatenate(hashes), np.concatenate(times)
         order = np.argsort(each)
-        found, first = np.unique(each[order], return_index=True)
-        total = np.add.reduceat(n[order], first) if len(first) else n
+        each = each[order]
+        first = np.flatnonzero(np.concatenate(([True], each[1:] != each[:-1])))
         return pa.RecordBatch.from_pydict(
-            {"h": pa.array(found.view(np.int64), pa.int64()), "f": pa.array(total, pa.int64())}
+            {
+                "h": pa.array(each[first].view(np.int64), pa.int64()),
+                "f": pa.array(np.add.reduceat(n[order], first), pa.int64()),
+            }
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Bits(often.value)
+        bits = [_Bits(b.value) for b in smaller]
         hashes, times, size = [], [], 0
         for batch in batches:
-            words = _Words(batch, "chunk")
-            own, n = (batch[c].to_numpy() for c in ("own", "n"))
-            each, fit = words.pairs(known)
-            at = np.flatnonzero(fit & (words.place < own[words.chunk])[:-1])
+            words = _Words(batch)
+            each, fit = words.runs(bits)
+            at = np.flatnonzero(fit)
             hashes.append(each[at])
-            times.append(n[words.chunk[at]])
+            times.append(batch["n"].to_numpy()[words.chunk[at]])
             size += len(at)
             if size >= 10 * FLUSH:
                 yield summed(hashes, times)
@@ -252,73 +211,54 @@ def _pair_counts(chunks_df: DataFrame, often) -> DataFrame:
     return found.groupBy("h").agg(F.sum("f").alias("f"))
 
 
-def _longer_runs(chunks_df: DataFrame, often, often_pairs) -> DataFrame:
-    """lang, words, phrase, f: occurrences of runs of 2 and 3 words whose pairs may be
-    frequent; a run can be so only if all its parts are."""
+def _texts(chunks_df: DataFrame, frequent_bits: list) -> DataFrame:
+    """words, h, lang, phrase of the runs that may be frequent, once or a few times a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, known_pairs = _Bits(often.value), _Bits(often_pairs.value)
-        found: dict[tuple[str, int, str], int] = {}
-        get = found.get
+        bits = [_Bits(b.value) for b in frequent_bits]
+        seen: list[set[int]] = [set() for _ in bits]
         for batch in batches:
-            words = _Words(batch, "chunk")
-            own, n = (batch[c].to_numpy() for c in ("own", "n"))
-            hashes, fit = words.pairs(known)
-            fit &= known_pairs.has(hashes)
-            two = fit & (words.place < own[words.chunk])[:-1]
-            three = two.copy()
-            three[:-1] &= fit[1:]
-            three[-1:] = False
+            words = _Words(batch)
             langs, texts = batch["lang"].to_pylist(), batch["chunk"].to_pylist()
-            at = np.flatnonzero(two)
-            last, parts = -1, []
-            columns = (words.chunk[at].tolist(), words.place[at].tolist(), three[at].tolist(), n[words.chunk[at]].tolist())
-            for chunk, i, more, times in zip(*columns, strict=True):
-                if chunk != last:
-                    last, parts, lang = chunk, texts[chunk].split(" "), langs[chunk]
-                key = (lang, 2, f"{parts[i]} {parts[i + 1]}")
-                found[key] = get(key, 0) + times
-                if more:
-                    key = (lang, 3, f"{key[2]} {parts[i + 2]}")
-                    found[key] = get(key, 0) + times
-            if len(found) >= FLUSH:
-                yield _run_batch(found)
-                found.clear()
-        if found:
-            yield _run_batch(found)
-
-    rows = chunks_df.select("lang", "own", "chunk", "n").mapInArrow(
-        run, "lang string, words int, phrase string, f long"
-    )
-    return rows.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
-
-
-def _run_batch(found: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {
-            "lang": pa.array([k[0] for k in found], pa.string()),
-            "words": pa.array([k[1] for k in found], pa.int32()),
-            "phrase": pa.array([k[2] for k in found], pa.string()),
-            "f": pa.array(found.values(), pa.int64()),
-        }
-    )
+            out: dict[str, list] = {"words": [], "h": [], "lang": [], "phrase": []}
+            for size, met in enumerate(seen, 1):
+                if len(met) > 5 * FLUSH:
+                    met.clear()
+                each, fit = words.runs(bits[: size - 1])
+                at = np.flatnonzero(fit & bits[size - 1].has(each))
+                hashes, first = np.unique(each[at], return_index=True)
+                fresh = [i for i, h in enumerate(hashes.tolist()) if h not in met]
+                met.update(hashes[fresh].tolist())
+                at = at[first[fresh]]
+                chunk, place = words.chunk[at].tolist(), words.place[at].tolist()
+                out["words"] += [size] * len(chunk)
+                out["h"] += each[at].view(np.int64).tolist()
+                out["lang"] += [langs[c] for c in chunk]
+                out["phrase"] += [" ".join(texts[c].split(" ")[i : i + size]) for c, i in zip(chunk, place, strict=True)]
+            kinds = (pa.int32(), pa.int64(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_pydict({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds, strict=True)})
+
+    schema = "words int, h long, lang string, phrase string"
+    return chunks_df.select("lang", "own", "chunk", "n").mapInArrow(run, schema)
 
 
 def frequent(chunks_df: DataFrame, least: int) -> DataFrame:
     """lang, words, phrase, f of all runs of 1 to 3 words that occur ``least`` times.
 
-    Words are counted first, then pairs of frequent words by hash, then as text
-    the pairs and triples that these leave possible. What is ruled out is too rare for
-    certain: two pairs with one hash, or one bit, only leave more to count.
+    Runs are counted by 64-bit hash, longer ones only where all their parts may be
+    frequent, and the texts of the frequent hashes are looked up. Among a billion
+    different runs, a million of them frequent, the chance that any of these has the hash of
+    another one (and so a count too high) is 1 in 20,000.
     """
     broadcast = chunks_df.sparkSession.sparkContext.broadcast
-    words = _word_counts(chunks_df).where(F.col("f") >= least)
-    words = stored(words.select("lang", F.lit(1).alias("words"), "phrase", "f"), "words")
-    often = broadcast(_bits(_word_keys(words)))
-    pairs = stored(_pair_counts(chunks_df, often).where(F.col("f") >= least).select("h"), "pairs")
-    often_pairs = broadcast(_bits(pairs))
-    longer = _longer_runs(chunks_df, often, often_pairs).where(F.col("f") >= least)
-    return words.unionByName(longer)
+    counts, bits = [], []
+    for size in range(1, OVERLAP + 2):
+        found = _hash_counts(chunks_df, bits).where(F.col("f") >= least)
+        counts.append(stored(found.select(F.lit(size).alias("words"), "h", "f"), "run-counts"))
+        bits.append(broadcast(_bits(counts[-1])))
+    named = _texts(chunks_df, bits).groupBy("words", "h").agg(F.min(F.struct("lang", "phrase")).alias("text"))
+    both = reduce(DataFrame.unionByName, counts).join(named, ["words", "h"])
+    return both.select("text.lang", "words", "text.phrase", "f")
 
 
 def _key(lang: str, phrase: str):
