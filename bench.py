@@ -11,6 +11,7 @@ import os
 import statistics
 import sys
 import time
+import uuid
 from pathlib import Path
 from urllib.parse import urlparse
 
@@ -128,8 +129,9 @@ def main() -> None:
         lambda: emissions.co2(seen, views.fuel(spark), "000008", "2024-01-01").collect(),
     )
     # the same from a table bucketed by aircraft
-    sinks.write_bucketed(views.pings(spark, sf_dir), "bench_pings", partition="source_date", buckets=8)
-    bucketed = spark.table("bench_pings")
+    name = f"bench_pings_{uuid.uuid4().hex}"
+    sinks.write_bucketed(views.pings(spark, sf_dir), name, partition="source_date", buckets=8)
+    bucketed = spark.table(name)
     timed("stats_one_aircraft_bucketed_table", lambda: fleet.stats(bucketed, "000008").collect())
     # every file of a full day in the index, none of them read
     full = Path(root) / "full" / "_in_date=20240101"
