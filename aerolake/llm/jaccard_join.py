@@ -9,7 +9,8 @@ parts, one that is not empty. Texts with more empty parts also send a prefix of
 their shingles, of which linked ones share one.
 
 Texts that share a part meet in a bucket, where each is tied to the least of them
-only. The tie with most shared parts is verified on the texts; components of the
+only, and to none where all of them meet at a lesser text that other parts tie them to.
+The tie with most shared parts is verified on the texts; components of the
 verified links then settle nearly all buckets. Where a tie joins two components
 still, its hub's texts are compared in blocks of bounded size: those that have another
 one near by bit sketches meet again with their shingles, and each block gives the links
@@ -42,8 +43,10 @@ FLUSH_TEXTS = 60_000
 #: shingles together.
 BLOCK = 2_000
 BLOCK_SHINGLES = 4_000_000
-#: Signatures that one task holds, about.
+#: Signatures that one task holds, about, and at least where there are few in all: a tie
+#: is found again in each bucket that has a part of it.
 BUCKET_KEYS = 8_000_000
+FEW_KEYS = 1_000_000
 SKETCH_BITS = 2048
 
 
@@ -153,14 +156,17 @@ def _deal(buckets: int):
         bucket = (key % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         bounds = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
-        names = np.array(nodes, "<i8").tobytes()
+        names = np.array(nodes, "<i8")
         packs = []
         for k in range(buckets):
             own = order[bounds[k] : bounds[k + 1]]
             if len(own):
+                used = np.zeros(len(names), bool)
+                used[owner[own]] = True
                 short = key[own].astype("<u8").tobytes()
-                places = owner[own].astype("<u2").tobytes()
-                packs.append((k, np.array([len(nodes), len(own)], "<u8").tobytes() + names + short + places))
+                places = (np.cumsum(used) - 1)[owner[own]].astype("<u2").tobytes()
+                head = np.array([used.sum(), len(own)], "<u8").tobytes()
+                packs.append((k, head + names[used].tobytes() + short + places))
         return pa.RecordBatch.from_pydict(
             {
                 "bucket": pa.array([k for k, _ in packs], pa.int32()),
@@ -195,6 +201,38 @@ def _deal(buckets: int):
     return run
 
 
+def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ties (node, hub, shared) of sorted keys: the texts of a key all have a tie to one
+    hub, if they are not it."""
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    starts = np.flatnonzero(first)
+    several = np.diff(starts, append=len(key)) > 1
+    within = np.repeat(several, np.diff(starts, append=len(key)))
+    names, node = np.unique(node[within], return_inverse=True)
+    if not len(names):
+        return names, names, names
+    size = np.diff(starts, append=len(key))[several]
+    starts = np.cumsum(size) - size
+    least = np.minimum.reduceat(node, starts)
+    tie = node * len(names) + np.repeat(least, size)  # places of names: less than 2 ** 63
+    known = np.unique(tie[node != np.repeat(least, size)])
+    # a hub tied to a lesser one that is tied to none: its keys whose texts all are tied
+    # to that one too need no ties of their own
+    top = np.arange(len(names))
+    np.minimum.at(top, known // len(names), known % len(names))
+    other = top[least]
+    spare = (other != least) & (top[other] == other)
+    at = np.repeat(spare, size)
+    wanted = node[at] * len(names) + np.repeat(other[spare], size[spare])
+    if len(wanted):
+        found = known[np.minimum(np.searchsorted(known, wanted), len(known) - 1)] == wanted
+        spare[spare] = np.logical_and.reduceat(found, np.cumsum(size[spare]) - size[spare])
+    left = ~np.repeat(spare, size) & (node != np.repeat(least, size))
+    tie, shared = np.unique(tie[left], return_counts=True)
+    return names[tie // len(names)], names[tie % len(names)], shared
+
+
 def _tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tie the texts of each key to the least of them: node, hub, shared."""
     keys, nodes = [], []
@@ -211,26 +249,12 @@ def _tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     del keys, nodes
     order = np.argsort(key, kind="stable")
     key, node = key[order], node[order]
-    first = np.ones(len(key), bool)
-    first[1:] = key[1:] != key[:-1]
-    starts = np.flatnonzero(first)
-    hub = np.repeat(np.minimum.reduceat(node, starts), np.diff(starts, append=len(key)))
-    tied = node != hub
-    node, hub = node[tied], hub[tied]
-    order = np.lexsort((hub, node))
-    node, hub = node[order], hub[order]
-    if not len(node):
-        return
-    first = np.ones(len(node), bool)
-    first[1:] = (node[1:] != node[:-1]) | (hub[1:] != hub[:-1])
-    starts = np.flatnonzero(first)
-    shared = np.diff(starts, append=len(node))
-    for a in range(0, len(starts), 100_000):
-        at = starts[a : a + 100_000]
+    node, hub, shared = _stars(key, node)
+    for a in range(0, len(node), 100_000):
         yield pa.RecordBatch.from_pydict(
             {
-                "node": pa.array(node[at], pa.int64()),
-                "hub": pa.array(hub[at], pa.int64()),
+                "node": pa.array(node[a : a + 100_000], pa.int64()),
+                "hub": pa.array(hub[a : a + 100_000], pa.int64()),
                 "shared": pa.array(shared[a : a + 100_000], pa.int64()),
             }
         )
@@ -471,7 +495,7 @@ def join(docs: DataFrame) -> DataFrame:
     )
     # a text has up to four signatures for five shingles
     keys = 0.8 * (nodes.agg(F.sum("n_shingles")).first()[0] or 0)
-    buckets = max(parts(spark), shards_for(int(keys), BUCKET_KEYS))
+    buckets = max(shards_for(int(keys), BUCKET_KEYS), min(parts(spark), shards_for(int(keys), FEW_KEYS)))
     ties = stored(
         docs.select("text")
         .mapInArrow(_deal(buckets), "bucket int, pack binary")

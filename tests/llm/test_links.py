@@ -99,3 +99,42 @@ def test_chains_and_groups_in_many_blocks(spark, monkeypatch, block):
     expected = sorted((rows[i][0], least[part[i]]) for i in range(len(rows)))
     found = jaccard_join.join(frame(spark, rows)).select("doc_id", "component_id").collect()
     assert sorted(map(tuple, found)) == expected
+
+
+def packed(rng, copies, buckets):
+    """Near copies as the tie step gets them, by bucket; and the texts of each key."""
+    base = [rng.randrange(1 << 62) for _ in range(60)]
+    packs, members = {}, {}
+    for node in range(copies):
+        keys = [rng.randrange(1 << 62) if rng.random() < 0.5 else k for k in base]
+        for b in range(buckets):
+            own = np.array([k for k in keys if k % buckets == b], "<u8")
+            head = np.array([1, len(own)], "<u8").tobytes() + np.array([node], "<i8").tobytes()
+            packs.setdefault(b, []).append(head + own.tobytes() + np.zeros(len(own), "<u2").tobytes())
+        for k in keys:
+            members.setdefault(k, set()).add(node)
+    return packs, members
+
+
+def test_ties_are_not_repeated_for_each_hub_of_a_group():
+    packs, members = packed(random.Random(5), 400, 2)
+    ties = []
+    for own in packs.values():
+        for out in jaccard_join._tie(iter([pa.RecordBatch.from_pydict({"pack": pa.array(own, pa.binary())})])):
+            ties += zip(out["node"].to_pylist(), out["hub"].to_pylist(), strict=True)
+    assert len(ties) <= 2 * 1.2 * 400  # nearly as many for each of several hubs before
+    hubs = {n: {n} for n in range(400)}
+    for node, hub in ties:
+        hubs[node].add(hub)
+    # the texts of each key still meet somewhere
+    assert all(set.intersection(*[hubs[n] for n in own]) for own in members.values())
+
+
+def test_few_signatures_make_few_buckets(spark, monkeypatch):
+    seen = []
+    deal = jaccard_join._deal
+    monkeypatch.setattr(jaccard_join, "_deal", lambda buckets: seen.append(buckets) or deal(buckets))
+    rows = [(i, " ".join(words(random.Random(i // 2), 40))) for i in range(20)]
+    found = jaccard_join.join(frame(spark, rows)).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, found)) == [(i, i // 2 * 2) for i in range(20)]
+    assert seen == [1]
