@@ -9,12 +9,15 @@ from pyspark.sql import SparkSession
 # Results depend on the first two: day boundaries and ISO text are computed in
 # UTC, bad values must go through try_cast. AQE splits skewed shuffles; small
 # shuffle partitions are joined up to the advisory size, so writes leave few
-# files; the last bounds what one Arrow batch of file contents may weigh.
+# files. That size is of compressed rows, of which short ones take some twenty
+# times as much in a hash aggregate, so it bounds what one task holds. Then comes
+# a bound of what one Arrow batch of file contents may weigh.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16777216",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
     # A repeated key in repaired JSON keeps its last value, like other parsers.
     "spark.sql.variant.allowDuplicateKeys": "true",

@@ -190,3 +190,13 @@ def test_catalog_table_is_replaced(spark, hot_pings, tmp_path):
         assert spark.table("lake.pings").count() == 20_000
     finally:
         spark.sql("DROP DATABASE lake CASCADE")
+
+
+def test_grouping_many_aircraft_is_not_left_to_one_task(spark):
+    """Some 40 MB of shuffled rows, below Spark's own advisory size."""
+    ids = spark.range(1_500_000, numPartitions=4)
+    pings = ids.selectExpr(
+        "substr(sha1(string(id)), 1, 12) AS icao", "'20240101' AS source_date", "substr(sha1(string(-id)), 1, 4) AS type"
+    )
+    tasks = emissions.pings_by_type(pings).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1
