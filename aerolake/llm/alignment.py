@@ -35,8 +35,8 @@ from aerolake.llm.common import map_arrow, parts, stored, tune
 
 #: Bytes of a range; longer texts are divided.
 RANGE_BYTES = 1 << 16
-#: Bytes of text after which a block is closed.
-BLOCK_BYTES = 8 << 20
+#: Bytes of text after which a block is closed; a worker holds about twenty times as many.
+BLOCK_BYTES = 2 << 20
 #: Words that a worker keeps solved, and texts whose new words it solves at a time.
 WORDS = 200_000
 TOGETHER = 200
@@ -399,8 +399,11 @@ def _blocks(windows: DataFrame, paths: str) -> DataFrame:
                 links.append(own)
                 size += len(text) + 100
                 if size >= BLOCK_BYTES:
-                    yield close(rows, fragments, links)
+                    block = close(rows, fragments, links)
+                    # not held while the block is sent
                     rows, fragments, links, size = [], [], [], 0
+                    yield block
+                    del block
         if rows:
             yield close(rows, fragments, links)
 

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -159,3 +160,17 @@ def fragments(draw):
 def test_composition_is_associative_with_an_identity(x, y, z):
     assert x.then(y).then(z) == x.then(y.then(z))
     assert Fragment().then(x) == x == x.then(Fragment())
+
+
+def test_a_worker_holds_little_text_in_a_block():
+    class Windows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    text = "the cat sat on the mat " * 800
+    n = 300
+    same = {"row": [None] * n, "part": [0] * n, "parts": [1] * n, "start": [0] * n, "stop": [len(text) + 1] * n}
+    batch = pa.RecordBatch.from_pydict({**same, "doc_id": list(range(n)), "text": [text] * n})
+    blocks = list(alignment._blocks(Windows(), "\0".join(PATHS))(iter([batch])))
+    assert sum(len(b) for b in blocks) == n
+    assert max(len(b) for b in blocks) * len(text) < 3 << 20
