@@ -48,10 +48,20 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write the frame and read it again: what follows no longer depends on the
-    executors that made it, and is not computed twice."""
+    executors that made it, and is not computed twice. The shuffles that led to it go
+    as soon as it is written, so the disk holds those of one step at a time."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, None)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(cleanup)
+        else:
+            spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

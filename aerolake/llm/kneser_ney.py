@@ -2,18 +2,20 @@
 
 Runs of ``order`` words are counted where their last word but one is dealt to. The
 shorter runs a run ends with, and the words each of these follows, share that word:
-so the shard knows the counts of every length, and writes runs and contexts of each
-length as sorted hash arrays to one file of the shared folder. The longest runs
-count their uses, shorter ones the words seen before them, and their uses if they
-begin a text. The shards' last words make the vocabulary, dealt by word and written
-alike. For scoring, runs of all texts go to their shard, whose task maps the file
-into memory, looks them up in order and gives each text's share of the sum.
+so the shard knows the counts of every length. It writes its distinct longest runs as
+one pack to a file of the shared folder. The longest runs count their uses, shorter
+ones the words seen before them, and their uses if they begin a text. The shards' last
+words make the vocabulary, dealt by word and written as arrays. For scoring, runs of
+all texts go to their shard, whose task makes sorted hash arrays of the runs and
+contexts of each length from the file, looks up and gives each text's share of the sum.
 
 A last word but one that is frequent beyond a shard's share is dealt together with
 the last word; there are at most a few such words for each shard. Their totals as
 contexts of one word are summed on the driver; longer contexts that end in them are
-summed by hash and written like the vocabulary. Runs travel in packs: words once
-each, sorted by the last two words.
+summed by hash and written like the vocabulary. Runs travel in packs, sorted by the
+last two words. A pack names frequent words by their rank in one list of bounded size
+that every task has, and holds the others once each: so a run takes about as many bytes
+in the small packs of many shards as in large ones.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +48,11 @@ FLUSH_TEXTS = 60_000
 SHARD_TOKENS = 5_000_000
 #: A first word with this share of a shard's tokens is dealt by both words.
 HOT_SHARE = 0.25
+#: Frequent words that packs name by rank, at most.
+COMMON = 1 << 18
+#: Sums of one text by shards at most; with more shards, so many groups of them are scored.
+GROUPS = 128
+_SLOTS = np.uint64((1 << 21) - 1)
 _TWO = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,11 +60,11 @@ _TWO = np.uint64(0x9E3779B97F4A7C15)
 
 
 def freeze(**arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed value; 64-bit ones byte by byte, since sorted
-    hashes have like high bytes."""
+    """Arrays as one compressed value, byte by byte, since sorted hashes and small
+    numbers have like high bytes."""
     head = [(name, a.dtype.str, len(a)) for name, a in arrays.items()]
     body = [
-        np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8).T).tobytes() if a.dtype.itemsize == 8 else a.tobytes()
+        np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T).tobytes()
         for a in arrays.values()
     ]
     text = json.dumps(head).encode()
@@ -70,9 +78,7 @@ def thaw(value: bytes) -> dict[str, np.ndarray]:
     for name, kind, n in json.loads(raw[4:at]):
         kind = np.dtype(kind)
         part = np.frombuffer(raw, np.uint8, n * kind.itemsize, at)
-        if kind.itemsize == 8:
-            part = np.ascontiguousarray(part.reshape(8, n).T).reshape(-1)
-        out[name] = part.view(kind)
+        out[name] = np.ascontiguousarray(part.reshape(kind.itemsize, n).T).reshape(-1).view(kind)
         at += n * kind.itemsize
     return out
 
@@ -202,7 +208,7 @@ def _dealt(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 def _by_part(route: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     """Places of the rows of each part that has any."""
-    order = np.argsort(route, kind="stable")
+    order = np.argsort(route.astype(np.uint16) if parts <= 65536 else route, kind="stable")
     bounds = np.searchsorted(route[order], np.arange(parts + 1)).tolist()
     for k in range(parts):
         if bounds[k] < bounds[k + 1]:
@@ -213,38 +219,69 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype("<u2" if not len(values) or int(values.max()) < 65536 else "<u4")
 
 
-def _pack(first: np.ndarray, second: np.ndarray, extra: np.ndarray, before: list[np.ndarray]) -> bytes:
-    order = np.lexsort((second, first))
+def _slots(common: np.ndarray) -> np.ndarray:
+    """Place of a frequent word by the lowest bits of its hash; of words that share these
+    the most frequent one has it, and the others are not named by rank."""
+    slots = np.zeros(int(_SLOTS) + 1, np.uint32)
+    slots[(common & _SLOTS)[::-1]] = np.arange(len(common), dtype=np.uint32)[::-1]
+    return slots
+
+
+def _numbered(words: np.ndarray, common: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of words: ranks of frequent ones, then places among the others; and those, in order."""
+    numbers = slots[words & _SLOTS]
+    other = common[numbers] != words
+    rest, place = np.unique(words[other], return_inverse=True)
+    numbers[other] = len(common) + place
+    return numbers, rest
+
+
+def _named(numbers: np.ndarray, common: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The words that ``_numbered`` gave these numbers."""
+    numbers = numbers.astype(np.int64)
+    out = common[np.minimum(numbers, len(common) - 1)]
+    other = np.flatnonzero(numbers >= len(common))
+    out[other] = rest[numbers[other] - len(common)]
+    return out
+
+
+def _pack(
+    first: np.ndarray, second: np.ndarray, extra: np.ndarray, before: list[np.ndarray],
+    common: np.ndarray, slots: np.ndarray,
+) -> bytes:
+    numbers, rest = _numbered(np.concatenate((first, second, *before)), common, slots)
+    first, second, *before = numbers.reshape(-1, len(first))
+    order = np.argsort(first.astype(np.int64) << 32 | second)
     first, second, extra = first[order], second[order], extra[order]
-    before = [b[order] for b in before]
-    words = np.concatenate((first, second, *before))
-    words.sort()
-    words = words[np.concatenate(([True], words[1:] != words[:-1]))]
     new = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
     return freeze(
-        words=words,
-        run=np.searchsorted(words, first[new]).astype("<u4"),
+        words=rest,
+        run=_narrow(np.diff(first[new].astype(np.int64), prepend=0)),
         size=_narrow(np.diff(new, append=len(first))),
-        second=_narrow(np.searchsorted(words, second)),
+        second=_narrow(second),
         extra=_narrow(extra),
-        **{f"before{i}": _narrow(np.searchsorted(words, b)) for i, b in enumerate(before)},
+        **{f"before{i}": _narrow(b[order]) for i, b in enumerate(before)},
     )
 
 
-def _before(pack: dict[str, np.ndarray]) -> list[np.ndarray]:
-    return [pack["words"][pack[f"before{i}"]] for i in range(len(pack) - 5)]
+def _firsts(pack: dict[str, np.ndarray], common: np.ndarray) -> np.ndarray:
+    return _named(np.cumsum(pack["run"], dtype=np.int64), common, pack["words"])
 
 
-def _unpack(value: bytes) -> tuple[np.ndarray, ...]:
+def _before(pack: dict[str, np.ndarray], common: np.ndarray) -> list[np.ndarray]:
+    return [_named(pack[f"before{i}"], common, pack["words"]) for i in range(len(pack) - 5)]
+
+
+def _unpack(value: bytes, common: np.ndarray) -> tuple[np.ndarray, ...]:
     """First and second words, counts, and the words before, of a pack."""
     pack = thaw(value)
-    first = np.repeat(pack["words"][pack["run"]], pack["size"])
-    return first, pack["words"][pack["second"]], pack["extra"].astype(np.int64), *_before(pack)
+    first, second = np.repeat(_firsts(pack, common), pack["size"]), _named(pack["second"], common, pack["words"])
+    return first, second, pack["extra"].astype(np.int64), *_before(pack, common)
 
 
 def _sum_by(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys in order, the place of one row of each, and sums."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(keys) else np.zeros(0, int)
     sums = tuple(np.add.reduceat(v[order], starts) if len(starts) else v[:0] for v in values)
@@ -260,18 +297,18 @@ def _head(batch: pa.RecordBatch, start: int, n: int) -> tuple[np.ndarray, np.nda
     return ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), flags
 
 
-def _deal(shards: int, hot: np.ndarray, training: bool, length: int):
+def _deal(shards: int, hot: np.ndarray, training: bool, length: int, common: Broadcast):
     """Packs of runs of ``length`` words by shard: counted ones of the training texts, or each with
     its text for scoring. Then a pack of the texts' doc_id and held_out by place
     goes with them, under a shard below 0 of its own."""
 
-    def close(flush: int, texts: list, heads: list) -> pa.RecordBatch:
+    def close(flush: int, texts: list, heads: list, slots: np.ndarray) -> pa.RecordBatch:
         first, second, doc, *before = map(np.concatenate, zip(*texts, strict=True))
         if training:
             _, at, doc = _sum_by(_runs(first, second, before)[-1], np.ones(len(first), np.int64))
             first, second, before = first[at], second[at], [b[at] for b in before]
         packs = [
-            (k, _pack(first[own], second[own], doc[own], [b[own] for b in before]))
+            (k, _pack(first[own], second[own], doc[own], [b[own] for b in before], common.value, slots))
             for k, own in _by_part(_route(first, second, hot, shards), shards)
         ]
         if heads:
@@ -287,7 +324,7 @@ def _deal(shards: int, hot: np.ndarray, training: bool, length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial, size, texts = TaskContext.get().partitionId() << 32, 0, 0, 0
-        found, heads = [], []
+        found, heads, slots = [], [], _slots(common.value)
         for batch in batches:
             for start, first, second, doc, before in _pairs(batch["text"], length):
                 n = int(doc[-1]) + 1
@@ -296,11 +333,11 @@ def _deal(shards: int, hot: np.ndarray, training: bool, length: int):
                     heads.append(_head(batch, start, n))
                 size, texts = size + len(first), texts + n
                 if size >= FLUSH_TOKENS or texts >= FLUSH_TEXTS:
-                    yield close(task + serial, found, heads)
+                    yield close(task + serial, found, heads, slots)
                     serial, size, texts = serial + 1, 0, 0
                     found, heads = [], []
         if found:
-            yield close(task + serial, found, heads)
+            yield close(task + serial, found, heads, slots)
 
     return run
 
@@ -317,6 +354,8 @@ class Model:
     vocabulary_shards: int
     order: int = 2
     hot: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    #: Frequent words, the most frequent first.
+    common: Broadcast | None = None
     hot_totals: dict[int, tuple[int, int, int, int]] = field(default_factory=dict)
     #: Discounts of the runs of 2, 3, ... words.
     discounts: list[tuple[float, float, float]] = field(default_factory=list)
@@ -329,34 +368,58 @@ class Model:
     files: frozenset[str] = frozenset()
 
 
-def _frequent(docs: DataFrame) -> tuple[list[tuple[int, int]], int]:
-    """Words that are frequent in some task, with their counts there, and all tokens."""
+def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Words that are frequent beyond a shard's share, the ``COMMON`` most frequent words
+    or a few less, with begin and end, and all tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        words, counts, size, total = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0, 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            own, _, n = _sum_by(np.concatenate(words), np.concatenate(counts))
+            if len(own) > 4 * COMMON:
+                kept = np.argpartition(n, -4 * COMMON)[-4 * COMMON :]
+                own, n = own[kept], n[kept]
+            return own, n
+
         for batch in batches:
             for _, first, *_ in _pairs(batch["text"]):
                 total += len(first)
                 own, _, n = _sum_by(first, np.ones(len(first), np.int64))
-                words, counts = np.concatenate((words, own)), np.concatenate((counts, n))
-            words, _, counts = _sum_by(words, counts)
-            # nothing below a ten-thousandth of a task's tokens can matter to a
-            # shard, unless there are thousands of shards for each task
-            kept = counts * 10_000 >= total
-            words, counts = words[kept], counts[kept]
+                words.append(own)
+                counts.append(n)
+                size += len(own)
+                if size >= 8 * COMMON:
+                    own, n = merged()
+                    words, counts, size = [own], [n], len(own)
+        own, n = merged()
+        # a word seen once in a task is neither frequent nor common
+        own, n = own[n > 1], n[n > 1]
         yield pa.RecordBatch.from_pydict(
             {
-                "word": pa.array([0, *words.view(np.int64).tolist()], pa.int64()),
-                "n": pa.array([total, *counts.tolist()], pa.int64()),
+                "word": pa.array(np.concatenate(([0], own.view(np.int64))), pa.int64()),
+                "n": pa.array(np.concatenate(([total], n)), pa.int64()),
             }
         )
 
-    found = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = stored(counted, "word-counts").withColumn("size", F.floor(F.log2("n") * 8))
     total = found.where("word = 0").agg(F.sum("n")).first()[0] or 0
     least = HOT_SHARE * min(SHARD_TOKENS, max(total, 1))
+    words = found.where("word <> 0")
     # at most total / least words
-    rows = found.where((F.col("word") != 0) & (F.col("n") >= least)).collect() if total > SHARD_TOKENS else []
-    return [(r["word"], r["n"]) for r in rows], total
+    rows = words.where(F.col("n") >= least).collect() if total > SHARD_TOKENS else []
+    hot = np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))
+    inner, room, bound = words.where(F.col("word") != int(BEGIN)), COMMON, None
+    for size, n in inner.groupBy("size").agg(F.count("*")).orderBy(F.desc("size")).collect():  # a few hundred
+        room -= n
+        if room < 0:
+            break
+        bound = size
+    common = inner.where(F.col("size") >= F.lit(bound)).select("word", "n").toArrow()
+    word, n = (common[c].to_numpy() for c in ("word", "n"))
+    common = np.concatenate(([BEGIN, END], word[np.lexsort((word, -n))].view(np.uint64)))
+    return hot, common, total
 
 
 def _context_arrays(keys: np.ndarray, stats: list[np.ndarray], n: int) -> dict[str, np.ndarray]:
@@ -370,46 +433,65 @@ def _context_arrays(keys: np.ndarray, stats: list[np.ndarray], n: int) -> dict[s
     )
 
 
-def _count(path: str, hot: np.ndarray, parts: int, length: int):
-    """Count a shard's runs and write its arrays; gives packs of second words, of
+def _levels(columns: tuple[np.ndarray, ...], hot: np.ndarray) -> Iterator[tuple]:
+    """By length, the longest first, of a shard's runs: (length, distinct runs as columns,
+    arrays for lookups, counts, and hash, last word and numbers of contexts that end in
+    hot words). Then (1, last words with kinds and uses)."""
+    first, second, count, *before = columns
+    del columns
+    length = len(before) + 2
+    uses, keys = count, _runs(first, second, before)[-1]
+    for n in range(length, 1, -1):
+        keys, at, count, uses = _sum_by(keys, count, uses)
+        first, second, before = first[at], second[at], [b[at] for b in before[: n - 2]]
+        # runs of begins are only there for shorter runs
+        real = np.ones(len(keys), bool) if n == 2 else ~((before[-1] == BEGIN) & ([first, *before][-2] == BEGIN))
+        context, own = _contexts(first, before)[-1][real], count[real]
+        single = own == 1
+        arrays = (
+            _short(keys[real][single], f"single{n}")
+            | _short(keys[real][~single], f"many{n}")
+            | {f"many_n{n}": own[~single].astype("<u4")}
+        )
+        kinds = [(own == 1).astype(np.int64), (own == 2).astype(np.int64), (own > 2).astype(np.int64)]
+        context, at, *stats = _sum_by(context, own, *kinds)
+        ends = first[real][at]
+        is_hot = _is_hot(ends, hot)
+        arrays |= _context_arrays(context[~is_hot], [x[~is_hot] for x in stats], n)
+        ending = context[is_hot], ends[is_hot], [x[is_hot] for x in stats]
+        yield n, (first, second, count, *before), arrays, own, ending
+        # a shorter run counts the words before it; at the begin of a text, its uses
+        keys = _runs(first, second, before)[n - 3] if n > 2 else second
+        count = np.where([first, *before][n - 3] == BEGIN, uses, 1) if n > 2 else np.ones(len(second), np.int64)
+    yield 1, (second, count, uses), {}, None, None
+
+
+def _count(path: str, hot: np.ndarray, parts: int, length: int, common: Broadcast):
+    """Count a shard's runs and write them; gives packs of second words, of
     longer contexts that end in hot words, and the shard's numbers."""
 
     def run(rows: pa.Table) -> pa.Table:
         shard = rows["shard"][0].as_py()
-        columns = zip(*(_unpack(value) for value in rows["pack"].to_pylist()), strict=True)
-        first, second, count, *before = map(np.concatenate, columns)
-        uses, keys = count, _runs(first, second, before)[-1]
-        arrays, numbers, totals, out = {}, [], [], []
-        for n in range(length, 1, -1):
-            keys, at, count, uses = _sum_by(keys, count, uses)
-            first, second, before = first[at], second[at], [b[at] for b in before[: n - 2]]
-            # runs of begins are only there for shorter runs
-            real = np.ones(len(keys), bool) if n == 2 else ~((before[-1] == BEGIN) & ([first, *before][-2] == BEGIN))
-            context, own = _contexts(first, before)[-1][real], count[real]
-            single = own == 1
-            arrays |= (
-                _short(keys[real][single], f"single{n}")
-                | _short(keys[real][~single], f"many{n}")
-                | {f"many_n{n}": own[~single].astype("<u4")}
-            )
-            kinds = [(own == 1).astype(np.int64), (own == 2).astype(np.int64), (own > 2).astype(np.int64)]
-            context, at, *stats = _sum_by(context, own, *kinds)
-            ends = first[real][at]
-            is_hot = _is_hot(ends, hot)
-            arrays |= _context_arrays(context[~is_hot], [x[~is_hot] for x in stats], n)
-            some = np.flatnonzero(is_hot)
+        columns = zip(*(_unpack(value, common.value) for value in rows["pack"].to_pylist()), strict=True)
+        numbers, totals, out = [], [], []
+        for n, runs, _, own, ending in _levels(tuple(map(np.concatenate, columns)), hot):
+            if n == 1:
+                second, count, uses = runs
+                break
+            if n == length:
+                first, second, count, *before = runs
+                pack = _pack(first, second, count, before, common.value, _slots(common.value))
+                _write(f"{path}/pairs-{shard}", {"runs": np.frombuffer(pack, np.uint8)})
+                del first, second, count, before, pack
+            del runs
+            context, ends, stats = ending
             if n == 2:
-                totals = [[int(ends[i]), *(int(x[i]) for x in stats)] for i in some]
+                totals = [[int(word), *(int(x[i]) for x in stats)] for i, word in enumerate(ends)]
             else:
-                for k, own_ in _by_part(_dealt(context[some], parts), parts):
-                    at = some[own_]
+                for k, at in _by_part(_dealt(context, parts), parts):
                     values = {c: _narrow(x[at]) for c, x in zip(("total", "n1", "n2", "n3"), stats, strict=True)}
                     out.append(((n - 2) * parts + k, freeze(words=context[at], **values)))
             numbers.append([int((own == k).sum()) for k in (1, 2, 3, 4)])
-            # a shorter run counts the words before it; at the begin of a text, its uses
-            keys = _runs(first, second, before)[n - 3] if n > 2 else second
-            count = np.where([first, *before][n - 3] == BEGIN, uses, 1) if n > 2 else np.ones(len(second), np.int64)
-        _write(f"{path}/pairs-{shard}", arrays)
         out.append((-1, json.dumps([f"pairs-{shard}", numbers[::-1], totals]).encode()))
         seen, _, kinds, uses = _sum_by(second, count, uses)
         for k, own in _by_part(_dealt(mix(seen), parts), parts):
@@ -470,15 +552,16 @@ def fit(docs: DataFrame, path: str, order: int = 2) -> Model:
         raise ValueError(f"the order is 2 at least, not {order}")
     path = qualified(docs.sparkSession, path)
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    frequent, total = _frequent(texts)
+    hot, common, total = _frequent(texts)
     shards = shards_for(total * (order - 1), SHARD_TOKENS)  # runs of each length
-    hot = np.sort(np.array([w for w, _ in frequent], np.int64).view(np.uint64))
+    parts = shards_for(shards, 8)  # there are far fewer words
+    common = docs.sparkSession.sparkContext.broadcast(common)
     if not total:
-        return Model(path, 0, 0, order)
+        return Model(path, 0, 0, order, common=common)
     counted = stored(
-        texts.mapInArrow(_deal(shards, hot, True, order), "shard long, flush long, pack binary")
+        texts.mapInArrow(_deal(shards, hot, True, order, common), "shard long, flush long, pack binary")
         .groupBy("shard")
-        .applyInArrow(_count(path, hot, shards, order), "part int, pack binary"),
+        .applyInArrow(_count(path, hot, parts, order, common), "part int, pack binary"),
         "pair-counts",
     )
     run_n, totals, files = np.zeros((order - 1, 4), np.int64), {}, set()
@@ -492,18 +575,18 @@ def fit(docs: DataFrame, path: str, order: int = 2) -> Model:
     numbers = (
         counted.where("part >= 0")
         .groupBy("part")
-        .applyInArrow(_vocabulary(path, shards), schema)
+        .applyInArrow(_vocabulary(path, parts), schema)
         .agg(*(F.sum(f"v{i}").alias(f"v{i}") for i in range(7)))
         .first()
     )
     for row in counted.where("part >= 0").select("part").distinct().collect():  # a file for each
-        n, part = divmod(row["part"], shards)
+        n, part = divmod(row["part"], parts)
         files.add(f"hot{n + 2}-{part}" if n else f"words-{part}")
     words, tokens, pairs, *word_n = (int(x) for x in numbers)
     classes = (word_n[0], word_n[1], words - word_n[0] - word_n[1])
     discounts = [_discounts(n) for n in run_n.tolist()]
     return Model(
-        path, shards, shards, order, hot, totals, discounts, _discounts(word_n), tokens, words, pairs, classes,
+        path, shards, parts, order, hot, common, totals, discounts, _discounts(word_n), tokens, words, pairs, classes,
         frozenset(files),
     )
 
@@ -516,12 +599,15 @@ def _discount(count: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
 
 
 class _Lookup:
-    """One shard of the model, and the vocabulary, as mapped arrays."""
+    """One shard of the model as arrays, and the vocabulary as mapped ones."""
 
     def __init__(self, model: Model, shard: int):
         self.model = model
         # without a file no training text has a pair of this shard
-        self.pairs = self._file(f"pairs-{shard}")
+        written, self.pairs = self._file(f"pairs-{shard}"), None
+        if written is not None:
+            levels = _levels(_unpack(written["runs"].tobytes(), model.common.value), model.hot)
+            self.pairs = {name: a for _, _, arrays, *_ in levels for name, a in arrays.items()}
         self.words = {}
 
     def _file(self, name: str) -> dict[str, np.ndarray] | None:
@@ -571,24 +657,31 @@ class _Lookup:
 
     @staticmethod
     def _fill(out: np.ndarray, arrays: dict[str, np.ndarray], n: int, keys: np.ndarray, rows: np.ndarray) -> None:
-        out[rows[_find(arrays, f"once{n}", keys) >= 0]] = (1, 1, 0, 0)
+        once = _find(arrays, f"once{n}", keys) >= 0
+        out[rows[once]] = (1, 1, 0, 0)
+        keys, rows = keys[~once], rows[~once]
         at = _find(arrays, f"word{n}", keys)
+        rows, at = rows[at >= 0], at[at >= 0]
         for i, name in enumerate(("total", "n1", "n2", "n3")):
-            out[rows[at >= 0], i] = arrays[f"{name}_{n}"][at[at >= 0]]
+            out[rows, i] = arrays[f"{name}_{n}"][at]
 
     def counts(self, n: int, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
         if self.pairs is not None:
-            out[_find(self.pairs, f"single{n}", keys) >= 0] = 1
-            at = _find(self.pairs, f"many{n}", keys)
-            out[at >= 0] = self.pairs[f"many_n{n}"][at[at >= 0]]
+            single = _find(self.pairs, f"single{n}", keys) >= 0
+            out[single] = 1
+            rest = np.flatnonzero(~single)
+            at = _find(self.pairs, f"many{n}", keys[rest])
+            out[rest[at >= 0]] = self.pairs[f"many_n{n}"][at[at >= 0]]
         return out
 
     def score(self, value: bytes) -> tuple[np.ndarray, ...]:
         """Per text of a pack: place, tokens, known ones, base and model scores."""
-        m = self.model
+        m, common = self.model, self.model.common.value
         pack = thaw(value)
-        words, runs, size, second = pack["words"], pack["run"], pack["size"].astype(np.int64), pack["second"].astype(np.int64)
+        runs, size = _firsts(pack, common), pack["size"].astype(np.int64)
+        seen, second = np.unique(pack["second"], return_inverse=True)
+        words = _named(seen, common, pack["words"])
         kinds, uses = self.vocabulary(words)
         base = np.log10((uses + 0.1) / (m.tokens + 0.1 * (m.words + 1)))
         d = m.word_discounts
@@ -598,17 +691,17 @@ class _Lookup:
             if m.pairs
             else np.ones(len(words))
         )
-        p, first, last = chance[second], np.repeat(words[runs], size), words[second]
-        before = _before(pack)
+        p, first, last = chance[second], np.repeat(runs, size), words[second]
+        before = _before(pack, common)
         run, context = _runs(first, last, before), _contexts(first, before)
         for n, d in enumerate(m.discounts, 2):
             stats = (
-                np.repeat(self.contexts(2, context[0][np.cumsum(size) - size], words[runs]), size, axis=0)
+                np.repeat(self.contexts(2, context[0][np.cumsum(size) - size], runs), size, axis=0)
                 if n == 2
                 else self.contexts(n, context[n - 2], first)
             )
             total, count = stats[:, 0], self.counts(n, run[n - 2])
-            found = (count - _discount(count, d) + (stats[:, 1:] * np.array(d)).sum(axis=1) * p) / np.maximum(total, 1)
+            found = (count - _discount(count, d) + stats[:, 1:] @ np.array(d) * p) / np.maximum(total, 1)
             p = np.where(total > 0, found, p)
         doc = pack["extra"].astype(np.int64)
         n = int(doc.max()) + 1
@@ -629,17 +722,36 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     texts = docs.select("doc_id", "held_out", F.col("text").cast("string").alias("text"))
     shards = max(1, model.shards)
-    def run(rows: pa.Table) -> pa.Table:
-        shard = rows["shard"][0].as_py()
-        if shard < 0:  # doc_id and held_out of a flush
-            return rows.select(["flush", "pack"]).append_column("head", pa.array([True] * len(rows)))
-        lookup, sums = _Lookup(model, shard), []
-        for value in rows["pack"]:
-            place, tokens, known, base, own = lookup.score(value.as_py())
-            sums.append(freeze(place=_narrow(place), tokens=_narrow(tokens), known=_narrow(known), base=base, own=own))
-        return pa.table(
-            {"flush": rows["flush"], "pack": pa.array(sums, pa.binary()), "head": pa.array([False] * len(sums))}
-        )
+    each = shards_for(shards, GROUPS)
+
+    def summed(flush: int, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        place, *values = map(np.concatenate, zip(*found, strict=True))
+        if len(found) > 1:
+            place, _, *values = _sum_by(place, *values)
+        tokens, known, base, own = values
+        pack = freeze(place=_narrow(place), tokens=_narrow(tokens), known=_narrow(known), base=base, own=own)
+        return pa.RecordBatch.from_pydict({"flush": [flush], "pack": [pack], "head": [False]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of a flush's packs of a group of shards; packs come by group, then by flush."""
+        group, flush, lookups, found = None, None, {}, []
+        for batch in batches:
+            for its_group, its_flush, shard, pack in zip(*(batch[c] for c in ("group", "flush", "shard", "pack")), strict=True):
+                key = its_group.as_py(), its_flush.as_py()
+                if found and key != (group, flush):
+                    yield summed(flush, found)
+                    found = []
+                if key[0] != group:
+                    lookups = {}
+                (group, flush), shard, value = key, shard.as_py(), pack.as_py()
+                if shard < 0:  # doc_id and held_out of a flush
+                    yield pa.RecordBatch.from_pydict({"flush": [flush], "pack": [value], "head": [True]})
+                    continue
+                if shard not in lookups:
+                    lookups[shard] = _Lookup(model, shard)
+                found.append(lookups[shard].score(value))
+        if found:
+            yield summed(flush, found)
 
     def add(rows: pa.Table) -> pa.Table:
         packs = [(h.as_py(), thaw(v.as_py())) for h, v in zip(rows["head"], rows["pack"], strict=True)]
@@ -661,10 +773,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             }
         )
 
+    dealt = texts.mapInArrow(
+        _deal(shards, model.hot, False, model.order, model.common), "shard long, flush long, pack binary"
+    )
     return (
-        texts.mapInArrow(_deal(shards, model.hot, False, model.order), "shard long, flush long, pack binary")
-        .groupBy("shard")
-        .applyInArrow(run, "flush long, pack binary, head boolean")
+        dealt.withColumn("group", F.floor(F.col("shard") / each))
+        .repartition("group")
+        .sortWithinPartitions("group", "flush", "shard")
+        .mapInArrow(run, "flush long, pack binary, head boolean")
         .groupBy("flush")
         .applyInArrow(
             add, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"

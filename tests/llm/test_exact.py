@@ -1,6 +1,7 @@
 """Fingerprints and likeness by hand, models without data or with a file lost."""
 
 import random
+import time
 import zlib
 from pathlib import Path
 from urllib.parse import urlparse
@@ -10,6 +11,7 @@ import regex
 from pyspark.sql import functions as F
 
 from aerolake.llm import kneser_ney, spotsigs, toxicity
+from aerolake.llm.common import stored
 
 from .conftest import frame
 
@@ -111,3 +113,34 @@ def test_a_lost_file_of_the_model_is_an_error(spark, tmp_path, kind):
     next(Path(urlparse(model.path).path).glob(f"{kind}-*")).unlink()
     with pytest.raises(Exception, match="No such file|FileNotFoundError"):
         kneser_ney.score(docs, model).agg(F.sum("score")).first()
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle")}
+
+
+def test_a_stored_frame_leaves_no_shuffle(spark):
+    before = shuffle_files(spark)
+    kept = stored(spark.range(10_000).groupBy((F.col("id") % 997).alias("k")).count(), "test")
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert kept.count() == 997
+
+
+def test_runs_and_their_model_are_small(spark, monkeypatch, tmp_path):
+    """Bytes of a run do not grow with the shards, and the model holds each but once."""
+    monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", 2_000)
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"v{int(rng.paretovariate(0.6)) % 20_000}" for _ in range(500))) for i in range(120)]
+    docs = frame(spark, rows).withColumn("held_out", F.lit(False))
+    path = str(tmp_path / "model")
+    model = kneser_ney.fit(docs, path, order=3)
+    assert model.shards > 50
+    deal = kneser_ney._deal(model.shards, model.hot, False, 3, model.common)
+    dealt = docs.mapInArrow(deal, "shard long, flush long, pack binary")
+    sizes = dealt.where("shard >= 0").agg(F.sum(F.length("pack"))).first()[0]
+    written = sum(p.stat().st_size for p in Path(path).glob("pairs-*"))
+    assert sizes < 12 * model.tokens and written < 12 * model.tokens
