@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import looked_up, map_arrow, stored, tune
+from aerolake.llm.common import looked_up, map_arrow, parts, stored, tune
 from aerolake.llm.hashing import mix, word_hashes
 
 #: Words that neighbouring chunks share; runs of one word more are counted.
@@ -107,15 +107,16 @@ def _chunk_batch(found: dict) -> pa.RecordBatch:
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """lang, own, chunk, n: the distinct chunks of all texts, how many of a chunk's words
-    are its own, and its frequency in the parse."""
+    """lang, own, chunk, n, part: the distinct chunks of all texts, how many of a chunk's words
+    are its own, its frequency in the parse, and a number that chunks of one partition share."""
     tune(docs.sparkSession)
     texts = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"),
         F.col("text").cast("string").alias("text"),
     ).where("text <> ''")
     parsed = texts.mapInArrow(_parse, "lang string, own int, chunk string, n long")
-    return parsed.groupBy("lang", "own", "chunk").agg(F.sum("n").alias("n"))
+    summed = parsed.groupBy("lang", "own", "chunk").agg(F.sum("n").alias("n"))
+    return summed.withColumn("part", F.expr(f"pmod(hash(lang, own, chunk), {parts(docs.sparkSession)})"))
 
 
 # --- counting runs -------------------------------------------------------------------
@@ -162,6 +163,7 @@ class _Words:
         self.hashes = mix(np.concatenate(parts) + salt[self.chunk])
         self.place = np.arange(len(self.chunk)) - (np.cumsum(lengths) - lengths)[self.chunk]
         self.own = self.place < batch["own"].to_numpy()[self.chunk]
+        self.part = batch["part"].to_numpy()
 
     def runs(self, bits: list[_Bits]) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the run of one word more than there are ``bits`` that begins at each
@@ -177,10 +179,11 @@ class _Words:
 
 
 def _hash_counts(chunks_df: DataFrame, smaller: list) -> DataFrame:
-    """h, f: occurrences by hash of the runs whose parts may all be frequent."""
+    """h, f, part: occurrences by hash of the runs whose parts may all be frequent, and
+    the first part of the dictionary that has the run."""
 
-    def summed(hashes: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
-        each, n = np.concatenate(hashes), np.concatenate(times)
+    def summed(hashes: list[np.ndarray], times: list[np.ndarray], places: list[np.ndarray]) -> pa.RecordBatch:
+        each, n, part = np.concatenate(hashes), np.concatenate(times), np.concatenate(places)
         order = np.argsort(each)
         each = each[order]
         first = np.flatnonzero(np.concatenate(([True], each[1:] != each[:-1])))
@@ -188,34 +191,53 @@ def _hash_counts(chunks_df: DataFrame, smaller: list) -> DataFrame:
             {
                 "h": pa.array(each[first].view(np.int64), pa.int64()),
                 "f": pa.array(np.add.reduceat(n[order], first), pa.int64()),
+                "part": pa.array(np.minimum.reduceat(part[order], first), pa.int32()),
             }
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [_Bits(b.value) for b in smaller]
-        hashes, times, size = [], [], 0
+        hashes, times, places, size = [], [], [], 0
         for batch in batches:
             words = _Words(batch)
             each, fit = words.runs(bits)
             at = np.flatnonzero(fit)
             hashes.append(each[at])
             times.append(batch["n"].to_numpy()[words.chunk[at]])
+            places.append(words.part[words.chunk[at]])
             size += len(at)
             if size >= 10 * FLUSH:
-                yield summed(hashes, times)
-                hashes, times, size = [], [], 0
+                yield summed(hashes, times, places)
+                hashes, times, places, size = [], [], [], 0
         if size:
-            yield summed(hashes, times)
+            yield summed(hashes, times, places)
 
-    found = chunks_df.select("lang", "own", "chunk", "n").mapInArrow(run, "h long, f long")
-    return found.groupBy("h").agg(F.sum("f").alias("f"))
+    found = chunks_df.select("lang", "own", "chunk", "n", "part").mapInArrow(run, "h long, f long, part int")
+    return found.groupBy("h").agg(F.sum("f").alias("f"), F.min("part").alias("part"))
 
 
-def _texts(chunks_df: DataFrame, frequent_bits: list) -> DataFrame:
-    """words, h, lang, phrase of the runs that may be frequent, once or a few times a task."""
+def _there(hashes: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Hash of a run together with a part of the dictionary."""
+    return mix(hashes + part.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+
+def _with_part(counts: DataFrame) -> DataFrame:
+    """The same hashes of runs and their parts, as a table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = _there(batch["h"].to_numpy().view(np.uint64), batch["part"].to_numpy())
+            yield pa.RecordBatch.from_pydict({"h": pa.array(both.view(np.int64), pa.int64())})
+
+    return counts.select("h", "part").mapInArrow(run, "h long")
+
+
+def _texts(chunks_df: DataFrame, frequent_bits: list, part_bits: list) -> DataFrame:
+    """words, h, lang, phrase of the runs that may be frequent. Each is given by the part of the
+    dictionary that its count names, and by few others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = [_Bits(b.value) for b in frequent_bits]
+        bits, here = ([_Bits(b.value) for b in some] for some in (frequent_bits, part_bits))
         seen: list[set[int]] = [set() for _ in bits]
         for batch in batches:
             words = _Words(batch)
@@ -226,6 +248,7 @@ def _texts(chunks_df: DataFrame, frequent_bits: list) -> DataFrame:
                     met.clear()
                 each, fit = words.runs(bits[: size - 1])
                 at = np.flatnonzero(fit & bits[size - 1].has(each))
+                at = at[here[size - 1].has(_there(each[at], words.part[words.chunk[at]]))]
                 hashes, first = np.unique(each[at], return_index=True)
                 fresh = [i for i, h in enumerate(hashes.tolist()) if h not in met]
                 met.update(hashes[fresh].tolist())
@@ -239,24 +262,26 @@ def _texts(chunks_df: DataFrame, frequent_bits: list) -> DataFrame:
             yield pa.RecordBatch.from_pydict({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds, strict=True)})
 
     schema = "words int, h long, lang string, phrase string"
-    return chunks_df.select("lang", "own", "chunk", "n").mapInArrow(run, schema)
+    return chunks_df.select("lang", "own", "chunk", "n", "part").mapInArrow(run, schema)
 
 
 def frequent(chunks_df: DataFrame, least: int) -> DataFrame:
     """lang, words, phrase, f of all runs of 1 to 3 words that occur ``least`` times.
 
     Runs are counted by 64-bit hash, longer ones only where all their parts may be
-    frequent, and the texts of the frequent hashes are looked up. Among a billion
+    frequent, and the texts of the frequent hashes are looked up, each in one part of the
+    dictionary. Among a billion
     different runs, a million of them frequent, the chance that any of these has the hash of
     another one (and so a count too high) is 1 in 20,000.
     """
     broadcast = chunks_df.sparkSession.sparkContext.broadcast
-    counts, bits = [], []
+    counts, bits, there = [], [], []
     for size in range(1, OVERLAP + 2):
         found = _hash_counts(chunks_df, bits).where(F.col("f") >= least)
-        counts.append(stored(found.select(F.lit(size).alias("words"), "h", "f"), "run-counts"))
+        counts.append(stored(found.select(F.lit(size).alias("words"), "h", "f", "part"), "run-counts"))
         bits.append(broadcast(_bits(counts[-1])))
-    named = _texts(chunks_df, bits).groupBy("words", "h").agg(F.min(F.struct("lang", "phrase")).alias("text"))
+        there.append(broadcast(_bits(_with_part(counts[-1]))))
+    named = _texts(chunks_df, bits, there).groupBy("words", "h").agg(F.min(F.struct("lang", "phrase")).alias("text"))
     both = reduce(DataFrame.unionByName, counts).join(named, ["words", "h"])
     return both.select("text.lang", "words", "text.phrase", "f")
 

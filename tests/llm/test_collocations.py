@@ -110,3 +110,14 @@ def test_products_beyond_64_bits(spark):
 
 def test_collocations_of_an_empty_table(spark):
     assert found(collocations.collocations(table(spark, []))) == []
+
+
+def test_a_text_comes_once_or_a_few_times(spark, monkeypatch):
+    """Runs that many parts of the dictionary have are named by one of them."""
+    rng = random.Random(3)
+    rows = [("en", " ".join(f"w{rng.randrange(30)}" for _ in range(60)), 1, "p", 2) for _ in range(400)]
+    given, texts = [], collocations._texts
+    monkeypatch.setattr(collocations, "_texts", lambda *some: given.append(texts(*some)) or given[-1])
+    known = collocations.stored(collocations.dictionary(table(spark, rows)), "dictionary").repartition(8, "part")
+    often = collocations.frequent(known, 10)
+    assert given[0].count() <= 1.5 * often.count()
